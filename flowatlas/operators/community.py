@@ -55,18 +55,19 @@ def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels:
     """
     # Symmetric weights; a contracted community keeps its inner weight as a loop.
     links = settle(both_ways(edges, "weight").groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w")))
-    members = settle(vertex_ids(edges).withColumn("node", F.col("id")))
     whole = links.agg(F.sum("w")).first()[0] or 0.0
+    members = vertex_ids(edges).withColumn("node", F.col("id"))
     if whole == 0.0:
         return members.select("id", F.col("node").alias("label"))
+    members = settle(members)
     for level in range(max_levels):
-        groups, moved = _local_moves(links, whole, seed + level, max_rounds, min_gain)
-        if not moved:
+        groups, improved = _local_moves(links, whole, seed + level, max_rounds, min_gain)
+        if not improved:
             break
-        to_label = groups.select(F.col("id").alias("node"), "label")
-        members = settle(members.join(to_label, "node").select("id", F.col("label").alias("node")))
-        source = groups.select(F.col("id").alias("src"), F.col("label").alias("a"))
-        target = groups.select(F.col("id").alias("dst"), F.col("label").alias("b"))
+        groups = groups.select(F.col("id").alias("node"), "label")
+        members = settle(members.join(groups, "node").select("id", F.col("label").alias("node")))
+        source = groups.withColumnsRenamed({"node": "src", "label": "a"})
+        target = groups.withColumnsRenamed({"node": "dst", "label": "b"})
         links = settle(
             links.join(source, "src").join(target, "dst")
             .groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("w").alias("w"))
@@ -77,51 +78,49 @@ def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels:
 
 def _local_moves(links: DataFrame, whole: float, seed: int, max_rounds: int,
                  min_gain: float) -> tuple[DataFrame, bool]:
-    degree = settle(links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k")))
-    # A loop edge of weight 0 makes every vertex see its own community as a candidate.
-    between = links.filter(F.col("src") != F.col("dst"))
-    adjacency = Adjacency(with_loops(between, degree.select("id"), {"w": F.lit(0.0)}))
-    state = degree.select("id", "k", F.col("id").alias("label"))
-    best_state, best_value, idle, changed = None, None, 0, False
-    inner_loops = links.filter(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    """Best partition ``(id, label)`` of one level and whether it beats single vertices."""
+    degree = links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
+    inner = links.filter(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    # The loop of weight 0 makes every vertex see its own community; edges carry the target's weight.
+    between = with_loops(links.filter(F.col("src") != F.col("dst")), degree.select("id"), {"w": F.lit(0.0)})
+    adjacency = Adjacency(between.join(degree.withColumnsRenamed({"id": "dst"}), "dst"))
+    state = settle(degree.select("id", "k", F.col("id").alias("label")))
+    best, best_value, idle, improved = state, None, 0, False
     for turn in range(max_rounds + 1):
-        state = settle(state)
         totals = state.groupBy("label").agg(F.sum("k").alias("tot"))
-        toward = (
-            adjacency.push(state.select("id", "label")).groupBy(F.col("dst").alias("id"), "label")
-            .agg(F.sum("w").alias("w_in"))
-        )
-        own = state.select("id", "k", F.col("label").alias("own"))
-        choices = toward.join(own, "id").join(totals, "label")
-        stays = F.col("label") == F.col("own")
-        tot = F.col("tot") - F.when(stays, F.col("k")).otherwise(0.0)
+        offers = adjacency.push(state.select("id", "label")).groupBy("dst", "label").agg(
+            F.sum("w").alias("w_in"), F.max("k").alias("k"), F.max("loop").alias("own")
+        ).join(totals, "label")
+        tot = F.col("tot") - F.when(F.col("own"), F.col("k")).otherwise(0.0)
         gain = F.col("w_in") - tot * F.col("k") / F.lit(whole)
-        picked = settle(
-            choices.groupBy("id").agg(
-                F.max(F.struct(gain.alias("gain"), (-F.col("label")).alias("minus"))).alias("best"),
-                F.max(F.when(stays, gain)).alias("stay"),
-                F.max(F.when(stays, F.col("w_in"))).alias("w_own"),
-                F.first("own").alias("own"), F.first("k").alias("k"),
-            )
+        picked = offers.groupBy(F.col("dst").alias("id")).agg(
+            F.max("k").alias("k"),
+            F.max(F.struct(gain.alias("gain"), (-F.col("label")).alias("minus"))).alias("best"),
+            F.max(F.when(F.col("own"), gain)).alias("stay"),
+            F.max(F.when(F.col("own"), F.col("w_in"))).alias("w_own"),
+            F.max(F.when(F.col("own"), F.col("label"))).alias("own"),
         )
-        # Modularity of the partition this round started from.
-        inside = picked.agg(F.sum("w_own")).first()[0] + inner_loops
-        squares = totals.agg(F.sum(F.col("tot") * F.col("tot"))).first()[0]
-        value = inside / whole - squares / (whole * whole)
-        if best_value is None or value > best_value + min_gain:
-            changed = best_value is not None
-            best_state, best_value, idle = state, value, 0
+        may_move = F.substring(F.md5(F.concat_ws("#", "id", F.lit(turn), F.lit(seed))), 1, 1) < F.lit("8")
+        moves = may_move & (F.col("best.gain") > F.col("stay") + 1e-12)
+        after = settle(picked.select(
+            "id", "k", F.when(moves, -F.col("best.minus")).otherwise(F.col("own")).alias("label"), "own", "w_own"
+        ))
+        # Modularity of the partition this round started from, one pass over the round's result.
+        figures = after.groupBy("own").agg(F.sum("k").alias("t"), F.sum("w_own").alias("i")).agg(
+            F.sum("i"), F.sum(F.col("t") * F.col("t"))
+        ).first()
+        value = (figures[0] + inner) / whole - figures[1] / (whole * whole)
+        if best_value is None:
+            best_value = value
+        elif value > best_value + min_gain:
+            best, best_value, idle, improved = state, value, 0, True
         else:
             idle += 1
-        if idle == 2 or turn == max_rounds:
+        if idle == 2:
             break
-        may_move = F.substring(F.md5(F.concat_ws("#", "id", F.lit(turn), F.lit(seed))), 1, 1) < F.lit("8")
-        better = F.col("best.gain") > F.col("stay") + 1e-12
-        state = picked.select(
-            "id", "k", F.when(may_move & better, -F.col("best.minus")).otherwise(F.col("own")).alias("label")
-        )
+        state = after.select("id", "k", "label")
     adjacency.release()
-    return best_state.select("id", "label"), changed
+    return best.select("id", "label"), improved
 
 
 def community_summary(groups: DataFrame, scores: DataFrame, names: DataFrame, shown: int = 5) -> DataFrame:

@@ -681,4 +681,5 @@ def embedding_feed(spark, sf):
 
 @query
 def polygon_centroid(spark, sf):
-    return _rounded(geo.polygon_centroids(fx.outlines(spark, sf)), "area", "x", "y")
+    table = _rounded(geo.polygon_centroids(fx.outlines(spark, sf)), "area", "x", "y")
+    return table.withColumns({c: F.col(c) + 0.0 for c in ("x", "y")})  # no negative zero

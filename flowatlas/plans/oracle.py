@@ -1 +1,524 @@
-ORACLES = {}
+"""The SQL each registered query is checked against, written for DuckDB.
+
+Loops are unrolled into chains of materialised CTEs; reachability uses recursive UNION. Nothing here
+is used by the operators.
+"""
+
+from __future__ import annotations
+
+ORACLES: dict[str, str] = {}
+
+# --- views ------------------------------------------------------------------------------------------
+
+TRIPS = """trips AS (
+  SELECT o_orderdate + INTERVAL 1 HOUR * (l_orderkey % 24) AS pickup_datetime,
+         o_orderdate + INTERVAL 1 HOUR * (l_orderkey % 24)
+           + INTERVAL 1 MINUTE * ((l_partkey * 13 + l_linenumber * 7) % 320 - 9) AS dropoff_datetime,
+         s_nationkey AS pu, c_nationkey AS dz,
+         l_quantity * l_discount AS dist,
+         CAST((l_partkey * 13 + l_linenumber * 7) % 320 - 9 AS DOUBLE) AS dur,
+         l_extendedprice * l_tax AS fare,
+         l_linenumber - 1 AS pass
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                JOIN customer ON o_custkey = c_custkey
+                JOIN supplier ON l_suppkey = s_suppkey)"""
+BASE = "(dist > 0 AND dur > 0 AND dur <= 300 AND NOT (pu = dz AND dist < 0.1))"
+STRICT = f"({BASE} AND fare > 0 AND pass > 0)"
+ZONES = """zones AS (
+  SELECT n_nationkey AS zone_id,
+         CASE WHEN n_nationkey % 12 <> 11 THEN n_name END AS zone_name,
+         CASE WHEN n_nationkey % 12 <> 0 THEN CAST(30 AS DOUBLE) + CAST(0.5 AS DOUBLE) * n_nationkey END AS latitude,
+         CASE WHEN n_nationkey % 12 <> 0 THEN CAST(20 AS DOUBLE) + CAST(0.7 AS DOUBLE) * n_nationkey END AS longitude,
+         n_nationkey % 5 = 0 AS is_hotspot, n_nationkey % 5 = 1 AS is_secondary, n_nationkey % 7 = 0 AS is_hub
+  FROM nation)"""
+
+
+def _sum(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
+
+
+def _edges(keep: str, minimum: int = 50) -> str:
+    return f"""SELECT pu AS src, dz AS dst, count(*) AS weight,
+      {_sum('dur')} / count(*) AS avg_duration, {_sum('dist')} / count(*) AS avg_distance,
+      {_sum('fare')} AS total_fare, {_sum('fare')} / count(*) AS avg_fare
+    FROM trips WHERE {keep} AND pu <> dz GROUP BY pu, dz HAVING count(*) >= {minimum}"""
+
+
+CITY = [TRIPS, ZONES, f"e AS MATERIALIZED ({_edges(BASE)})"]
+DEPOTS = """depots AS MATERIALIZED (
+  SELECT src, dst, count(*) AS weight FROM (
+    SELECT l_suppkey AS src, l_partkey % (SELECT count(*) FROM supplier) AS dst FROM lineitem)
+  WHERE src <> dst GROUP BY src, dst)"""
+ALL = [ZONES, DEPOTS, "e AS MATERIALIZED (SELECT * FROM depots)"]
+BUSY = [ZONES, DEPOTS, """e AS MATERIALIZED (
+  SELECT * FROM depots WHERE weight * (SELECT count(*) FROM depots) >= 2 * (SELECT sum(weight) FROM depots))"""]
+VERTICES = "v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e)"
+NAMED = """names AS (
+  SELECT id, coalesce(zone_name, 'Zone-' || id) AS name, coalesce(latitude, 0) AS latitude,
+         coalesce(longitude, 0) AS longitude FROM v LEFT JOIN zones ON id = zone_id)"""
+FLOWS = """flows AS MATERIALIZED (
+  SELECT id, CAST(sum(o + i) AS BIGINT) AS degree, CAST(sum(i) AS BIGINT) AS in_degree,
+         CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i * weight) AS BIGINT) AS in_flow,
+         CAST(sum(o * weight) AS BIGINT) AS out_flow
+  FROM (SELECT src AS id, 1 AS o, 0 AS i, weight FROM e UNION ALL SELECT dst, 0, 1, weight FROM e) GROUP BY id)"""
+CENTRALITY = """deg AS (
+  SELECT id, in_degree / CAST((SELECT count(*) - 1 FROM v) AS DOUBLE) AS in_centrality,
+         out_degree / CAST((SELECT count(*) - 1 FROM v) AS DOUBLE) AS out_centrality FROM flows)"""
+
+
+def sql(ctes: list[str], final: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + final
+
+
+def score_order(column: str) -> str:
+    return f"CAST({column} AS FLOAT) DESC, id"
+
+
+# --- iterative pieces -----------------------------------------------------------------------------------
+
+def rank_chain(iterations: int, weighted: bool = True, out: str = "pr") -> list[str]:
+    """PageRank of (v, e) as one CTE per iteration; result ``out(id, pagerank)``."""
+    w = "CAST(weight AS DOUBLE)" if weighted else "CAST(1 AS DOUBLE)"
+    ctes = [
+        f"{out}_t AS MATERIALIZED (SELECT src, sum({w}) AS total FROM e GROUP BY src)",
+        f"{out}_s AS MATERIALIZED (SELECT e.src, e.dst, {w} / total AS share FROM e JOIN {out}_t t ON e.src = t.src)",
+        f"{out}_0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / (SELECT count(*) FROM v) AS r FROM v)",
+    ]
+    for k in range(iterations):
+        ctes.append(f"""{out}_{k + 1} AS MATERIALIZED (
+  SELECT v.id, (CAST(0.15 AS DOUBLE) + CAST(0.85 AS DOUBLE) * (SELECT coalesce(sum(r), 0) FROM {out}_{k}
+           WHERE id NOT IN (SELECT src FROM {out}_t))) / (SELECT count(*) FROM v)
+         + CAST(0.85 AS DOUBLE) * coalesce(c.s, 0) AS r
+  FROM v LEFT JOIN (SELECT dst, sum(r * share) AS s FROM {out}_s JOIN {out}_{k} ON src = id GROUP BY dst) c ON v.id = c.dst)""")
+    return [*ctes, f"{out} AS MATERIALIZED (SELECT id, r AS pagerank FROM {out}_{iterations})"]
+
+
+RANKED = [VERTICES, *rank_chain(20)]
+
+
+def distance_chain(cost: str, doublings: int, sources: str = "v") -> list[str]:
+    """All shortest distances by min-plus doubling, then path counts along tight edges."""
+    ctes = [f"""d_0 AS MATERIALIZED (
+  SELECT s, t, min(d) AS d FROM (SELECT id AS s, id AS t, 0 AS d FROM v
+    UNION ALL SELECT src, dst, {cost} FROM e) GROUP BY s, t)"""]
+    for k in range(doublings):
+        ctes.append(f"""d_{k + 1} AS MATERIALIZED (
+  SELECT a.s, b.t, min(a.d + b.d) AS d FROM d_{k} a JOIN d_{k} b ON a.t = b.s GROUP BY a.s, b.t)""")
+    ctes.append(f"dist AS MATERIALIZED (SELECT * FROM d_{doublings})")
+    ctes.append(f"""tight AS MATERIALIZED (
+  SELECT a.s, e.src, e.dst FROM dist a JOIN e ON a.t = e.src JOIN dist b ON b.s = a.s AND b.t = e.dst
+  WHERE a.d + {cost} = b.d)""")
+    ctes.append("""walk AS (
+  SELECT id AS s, id AS t FROM v UNION ALL SELECT walk.s, tight.dst FROM walk JOIN tight ON tight.s = walk.s AND tight.src = walk.t)""")
+    ctes.append("paths AS MATERIALIZED (SELECT s, t, CAST(count(*) AS DOUBLE) AS p FROM walk GROUP BY s, t)")
+    ctes.append(f"""raw_between AS MATERIALIZED (
+  SELECT a.t AS id, sum(pa.p * pb.p / pc.p) AS raw
+  FROM dist a JOIN dist b ON a.t = b.s JOIN dist c ON c.s = a.s AND c.t = b.t
+       JOIN paths pa ON pa.s = a.s AND pa.t = a.t JOIN paths pb ON pb.s = b.s AND pb.t = b.t
+       JOIN paths pc ON pc.s = c.s AND pc.t = c.t
+  WHERE a.d + b.d = c.d AND a.s <> a.t AND b.s <> b.t AND a.s <> b.t AND a.s IN (SELECT id FROM {sources})
+  GROUP BY a.t)""")
+    ctes.append(f"""bw AS MATERIALIZED (
+  SELECT v.id, coalesce(raw, 0) * ((SELECT count(*) FROM v) / CAST((SELECT count(*) FROM {sources}) AS DOUBLE))
+    / ((SELECT count(*) FROM v) - 1) / ((SELECT count(*) FROM v) - 2) AS betweenness
+  FROM v LEFT JOIN raw_between r ON v.id = r.id)""")
+    return ctes
+
+
+BETWEEN = distance_chain("weight", 6)
+
+WCC = ["""reach AS (
+  SELECT id AS a, id AS b FROM v UNION
+  SELECT reach.a, x.dst FROM reach JOIN (SELECT src, dst FROM e UNION SELECT dst, src FROM e) x ON reach.b = x.src)""",
+       "wcc AS MATERIALIZED (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)"]
+
+
+def label_chain(rounds: int = 5) -> list[str]:
+    ctes = ["lp_0 AS MATERIALIZED (SELECT id, id AS label FROM v)"]
+    for k in range(rounds):
+        ctes.append(f"""lp_{k + 1} AS MATERIALIZED (
+  SELECT id, label FROM (
+    SELECT x.dst AS id, l.label, row_number() OVER (PARTITION BY x.dst ORDER BY count(*) DESC, l.label) AS n
+    FROM (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e) x JOIN lp_{k} l ON x.src = l.id
+    GROUP BY x.dst, l.label) WHERE n = 1)""")
+    return [*ctes, f"""lp AS MATERIALIZED (SELECT id, label FROM lp_{rounds})""", """
+ sizes AS MATERIALIZED (SELECT label, count(*) AS size,
+   CAST(row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS INTEGER) AS community FROM lp GROUP BY label)""",
+            "comm AS MATERIALIZED (SELECT id, lp.label, community FROM lp JOIN sizes ON lp.label = sizes.label)"]
+
+
+LABELS = label_chain()
+
+REMOVAL = [
+    f"removed AS MATERIALIZED (SELECT id, CAST(n AS INTEGER) AS step FROM (SELECT id, row_number() OVER (ORDER BY {score_order('pagerank')}) AS n FROM pr) WHERE n <= 5)",
+    """ed AS MATERIALIZED (
+  SELECT e.src, e.dst, e.weight, least(coalesce(a.step, 6), coalesce(b.step, 6)) AS death
+  FROM e LEFT JOIN removed a ON e.src = a.id LEFT JOIN removed b ON e.dst = b.id)""",
+    "vd AS MATERIALIZED (SELECT v.id, coalesce(step, 6) AS death FROM v LEFT JOIN removed r ON v.id = r.id)",
+    "steps AS (SELECT CAST(range AS INTEGER) AS step FROM range(6))",
+    "es AS MATERIALIZED (SELECT step, src, dst, weight FROM ed JOIN steps ON step < death)",
+    "vs AS MATERIALIZED (SELECT step, id FROM vd JOIN steps ON step < death)",
+    """flow AS MATERIALIZED (
+  SELECT s.step, r.id AS removed_id,
+         CAST((SELECT coalesce(sum(weight), 0) FROM ed WHERE death > s.step) AS BIGINT) AS remaining_flow,
+         (SELECT count(*) FROM ed WHERE death > s.step) AS remaining_edges,
+         (SELECT count(*) FROM v) - s.step AS nodes_remaining
+  FROM steps s LEFT JOIN removed r ON s.step = r.step)""",
+    """flow_pct AS MATERIALIZED (
+  SELECT *, 100.0::DOUBLE * remaining_flow / CAST((SELECT sum(weight) FROM e) AS DOUBLE) AS remaining_flow_pct,
+         100.0::DOUBLE * remaining_edges / CAST((SELECT count(*) FROM e) AS DOUBLE) AS remaining_edge_pct FROM flow)""",
+]
+REMOVAL_WCC = ["""rreach AS (
+  SELECT step, id AS a, id AS b FROM vs UNION
+  SELECT r.step, r.a, x.dst FROM rreach r
+    JOIN (SELECT step, src, dst FROM es UNION SELECT step, dst, src FROM es) x ON r.step = x.step AND r.b = x.src)""",
+               "rwcc AS MATERIALIZED (SELECT step, a AS id, min(b) AS component FROM rreach GROUP BY step, a)",
+               "rcount AS MATERIALIZED (SELECT step, count(DISTINCT component) AS num_components FROM rwcc GROUP BY step)"]
+REMOVAL_PATHS = [
+    """rlcc AS MATERIALIZED (
+  SELECT step, component FROM (SELECT step, component, row_number() OVER (PARTITION BY step ORDER BY count(*) DESC, component) AS n
+  FROM rwcc GROUP BY step, component) WHERE n = 1)""",
+    "core AS MATERIALIZED (SELECT w.step, w.id FROM rwcc w JOIN rlcc l ON w.step = l.step AND w.component = l.component)",
+    """h_0 AS MATERIALIZED (
+  SELECT step, s, t, min(d) AS d FROM (
+    SELECT step, id AS s, id AS t, 0 AS d FROM core
+    UNION ALL SELECT x.step, x.src, x.dst, 1 FROM (SELECT step, src, dst FROM es UNION SELECT step, dst, src FROM es) x
+      JOIN core c ON c.step = x.step AND c.id = x.src) GROUP BY step, s, t)""",
+    *[f"""h_{k + 1} AS MATERIALIZED (
+  SELECT a.step, a.s, b.t, min(a.d + b.d) AS d FROM h_{k} a JOIN h_{k} b ON a.step = b.step AND a.t = b.s
+  GROUP BY a.step, a.s, b.t)""" for k in range(6)],
+    """rpaths AS MATERIALIZED (
+  SELECT step, count(DISTINCT s) AS core_size,
+         sum(d) / nullif(CAST(count(DISTINCT s) * (count(DISTINCT s) - 1) AS DOUBLE), 0) AS avg_path
+  FROM h_6 GROUP BY step)""",
+]
+
+_r = "round({0}, 8) AS {0}".format
+
+# --- cleaning and aggregation ------------------------------------------------------------------------------
+
+ORACLES["od_edges_base"] = sql([TRIPS], _edges(BASE))
+ORACLES["od_edges_strict"] = sql([TRIPS], _edges(STRICT))
+ORACLES["cleaning_report"] = sql([TRIPS], " UNION ALL ".join(
+    f"""SELECT '{p}' AS profile, count(*) AS raw_rows, count(*) FILTER ({k}) AS kept_rows,
+    count(*) - count(*) FILTER ({k}) AS removed_rows,
+    CAST(100 AS DOUBLE) * (count(*) - count(*) FILTER ({k})) / count(*) AS removed_pct FROM trips"""
+    for p, k in (("base", BASE), ("strict", STRICT))))
+
+
+def _quality(duration: bool) -> str:
+    zero = "count(*) FILTER (dur <= 0)" if duration else "CAST(0 AS BIGINT)"
+    head = "" if duration else "'duration_derived', "
+    return f"""SELECT 'OK' AS status, '' AS errors,
+      concat_ws(',', {head}CASE WHEN count(*) FILTER (dist <= 0) > 0 THEN 'zero_distance' END,
+                CASE WHEN {zero} > 0 THEN 'zero_duration' END) AS warnings,
+      count(*) AS total_rows, count(DISTINCT pu) AS unique_pu, count(DISTINCT dz) AS unique_do,
+      count(*) FILTER (dist <= 0) AS zero_distance,
+      CAST(100 AS DOUBLE) * count(*) FILTER (dist <= 0) / count(*) AS zero_distance_pct,
+      {zero} AS zero_duration, CAST(100 AS DOUBLE) * {zero} / count(*) AS zero_duration_pct FROM trips"""
+
+
+ORACLES["quality_report"] = sql([TRIPS], _quality(True))
+ORACLES["quality_report_raw_feed"] = sql([TRIPS], _quality(False))
+ORACLES["threshold_sweep"] = sql(
+    [TRIPS, f"p AS (SELECT pu, dz, count(*) AS n FROM trips WHERE {BASE} GROUP BY pu, dz)"],
+    """SELECT t AS min_trips, count(*) FILTER (n >= t AND pu <> dz) AS edges,
+       count(*) FILTER (n >= t) AS edges_with_loops
+       FROM p CROSS JOIN (VALUES (40), (45), (50), (55), (60)) x(t) GROUP BY t""")
+_VARIANTS = {"distance": "dist > 0", "distance_duration": "dist > 0 AND dur > 0", "base": BASE,
+             "base_fare": f"{BASE} AND fare > 0", "base_passenger": f"{BASE} AND pass > 0"}
+ORACLES["filter_ablation"] = sql([TRIPS], " UNION ALL ".join(
+    f"""SELECT '{name}' AS variant, CAST(sum(n) AS BIGINT) AS kept_rows,
+      count(*) FILTER (pu <> dz AND n >= 50) AS edges,
+      CAST(coalesce(sum(n) FILTER (pu <> dz AND n >= 50), 0) AS BIGINT) AS flow
+    FROM (SELECT pu, dz, count(*) AS n FROM trips WHERE {keep} GROUP BY pu, dz)""" for name, keep in _VARIANTS.items()))
+ORACLES["profile_comparison"] = sql([TRIPS], " UNION ALL ".join(
+    f"""SELECT '{p}' AS profile, n AS nodes, m AS edges, flow, m / CAST(n * (n - 1) AS DOUBLE) AS density FROM
+      (SELECT count(*) AS m, CAST(sum(weight) AS BIGINT) AS flow FROM ({_edges(k)})) a,
+      (SELECT count(*) AS n FROM (SELECT src FROM ({_edges(k)}) UNION SELECT dst FROM ({_edges(k)}))) b"""
+    for p, k in (("base", BASE), ("strict", STRICT))))
+ORACLES["monthly_counts"] = sql([TRIPS], "SELECT strftime(pickup_datetime, '%Y-%m') AS month, count(*) AS trips FROM trips GROUP BY 1")
+ZONE_FLOW = """zf AS (
+  SELECT id, CAST(sum(i) AS BIGINT) AS inbound, CAST(sum(o) AS BIGINT) AS outbound, CAST(sum(i + o) AS BIGINT) AS flow
+  FROM (SELECT dz AS id, 1 AS i, 0 AS o FROM trips UNION ALL SELECT pu, 0, 1 FROM trips) GROUP BY id)"""
+ORACLES["zone_flow"] = sql([TRIPS, ZONE_FLOW], "SELECT * FROM zf")
+
+# --- sources: every round trip must give back the same trips ------------------------------------------------
+
+_PAIRS = f"""SELECT pu AS src, dz AS dst, count(*) AS trips, {_sum('dist')} AS distance, {_sum('dur')} AS minutes,
+  {_sum('fare')} AS fare, CAST(sum(pass) AS BIGINT) AS passengers,
+  strftime(min(pickup_datetime), '%Y-%m-%d %H:%M:%S') AS first_pickup,
+  strftime(max(dropoff_datetime), '%Y-%m-%d %H:%M:%S') AS last_dropoff FROM trips GROUP BY pu, dz"""
+for _name in ("convert_mapped_trips", "convert_tlc_trips", "merge_sources_monthly", "glob_scan",
+              "source_roundtrip_parquet", "source_roundtrip_csv", "source_roundtrip_tsv", "source_roundtrip_json"):
+    ORACLES[_name] = sql([TRIPS], _PAIRS)
+ORACLES["source_lenient_ts"] = """SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'unreadable' ELSE strftime(o_orderdate, '%Y-%m') END AS month,
+  count(*) AS orders FROM orders GROUP BY 1"""
+ORACLES["zone_lookup_files"] = """SELECT n_nationkey AS zone_id, n_name AS zone_name,
+  CASE WHEN n_nationkey % 3 <> 2 THEN n_nationkey * CAST(0.5 AS DOUBLE) END AS latitude,
+  CASE WHEN n_nationkey % 3 <> 2 THEN n_nationkey * CAST(0.25 AS DOUBLE) END AS longitude
+  FROM nation WHERE n_nationkey % 6 <> 5 AND n_nationkey % 4 <> 3"""
+
+# --- graph tables ---------------------------------------------------------------------------------------------
+
+_EDGE_NAMES = """SELECT e.src, e.dst, e.weight,
+  coalesce(a.zone_name, 'Zone-' || e.src) AS src_name, coalesce(a.latitude, 0) AS src_lat, coalesce(a.longitude, 0) AS src_lon,
+  coalesce(b.zone_name, 'Zone-' || e.dst) AS dst_name, coalesce(b.latitude, 0) AS dst_lat, coalesce(b.longitude, 0) AS dst_lon
+  FROM {0} e LEFT JOIN zones a ON e.src = a.zone_id LEFT JOIN zones b ON e.dst = b.zone_id"""
+_TOP = "(SELECT * FROM e ORDER BY weight DESC, src, dst LIMIT {0})".format
+ORACLES["vertices_named"] = sql([*CITY, VERTICES, NAMED], "SELECT * FROM names")
+ORACLES["edges_named"] = sql(CITY, _EDGE_NAMES.format("e"))
+ORACLES["top_edges"] = sql(ALL, "SELECT src, dst, weight FROM e ORDER BY weight DESC, src, dst LIMIT 200")
+ORACLES["map_edges"] = sql(CITY, f"SELECT * FROM ({_EDGE_NAMES.format(_TOP(300))}) WHERE src_lat <> 0 AND dst_lat <> 0")
+ORACLES["degrees"] = sql([*ALL, FLOWS], "SELECT id, degree, in_degree, out_degree FROM flows")
+ORACLES["weighted_flow"] = sql([*ALL, FLOWS], "SELECT id, in_flow, out_flow FROM flows")
+ORACLES["degree_centrality"] = sql([*ALL, VERTICES, FLOWS, CENTRALITY], "SELECT * FROM deg")
+_STATS = """SELECT (SELECT count(*) FROM v) AS nodes, count(*) AS edges, CAST(sum(weight) AS BIGINT) AS flow,
+  count(*) / CAST((SELECT count(*) * (count(*) - 1) FROM v) AS DOUBLE) AS density,
+  CAST(2 AS DOUBLE) * count(*) / (SELECT count(*) FROM v) AS avg_degree{0} FROM e"""
+ORACLES["graph_stats"] = sql([*ALL, VERTICES], _STATS.format(""))
+
+
+def _histogram(relation: str, column: str, bins: int) -> str:
+    return f"""SELECT bin, lo + bin * w / {bins} AS lower, lo + (bin + 1) * w / {bins} AS upper, count(*) AS n FROM (
+      SELECT CAST(least(floor((x - lo) * {bins} / w), {bins - 1}) AS INTEGER) AS bin, lo, w FROM (
+        SELECT CAST({column} AS DOUBLE) AS x FROM {relation}) a, (
+        SELECT CASE WHEN max({column}) = min({column}) THEN min({column}) - 0.5 ELSE min({column}) END::DOUBLE AS lo,
+               CASE WHEN max({column}) = min({column}) THEN 1 ELSE max({column}) - min({column}) END::DOUBLE AS w
+        FROM {relation}) b) GROUP BY bin, lo, w"""
+
+
+ORACLES["edge_weight_hist"] = sql(ALL, _histogram("e", "weight", 50))
+ORACLES["degree_hist"] = sql([*ALL, FLOWS], _histogram("flows", "degree", 30))
+ORACLES["distribution_summary"] = sql([*ALL, FLOWS], """SELECT CAST(sum(degree) AS DOUBLE) / count(*) AS mean_degree,
+  (SELECT CAST(median(weight) AS DOUBLE) FROM e) AS median_weight FROM flows""")
+ORACLES["undirected_edges"] = sql(ALL, """SELECT least(src, dst) AS src, greatest(src, dst) AS dst,
+  CAST(sum(weight) AS BIGINT) AS weight FROM e GROUP BY 1, 2""")
+ORACLES["isolated_ratio"] = sql([*BUSY, VERTICES], """SELECT *, isolated / CAST(nodes AS DOUBLE) AS ratio,
+  isolated / CAST(nodes AS DOUBLE) > 0.2 AS fragmented FROM (
+    SELECT count(*) AS nodes, count(*) FILTER (id NOT IN (SELECT id FROM v)) AS isolated FROM (
+      SELECT s_suppkey AS id FROM supplier UNION SELECT id FROM v))""")
+_UNIFORM = "CAST(('0x' || substr(md5({0}), 1, 8))::BIGINT AS DOUBLE) / 4294967296".format
+ORACLES["edge_sample"] = sql(ALL, f"""SELECT src, dst, weight FROM e
+  WHERE {_UNIFORM("src || '#' || dst || '#42'")} < CAST(5000 AS DOUBLE) / (SELECT count(*) FROM e)""")
+
+# --- zones --------------------------------------------------------------------------------------------------------
+
+ORACLES["zone_types"] = sql([ZONES], """SELECT zone_id, CASE WHEN is_hotspot THEN 'hotspot' WHEN is_hub THEN 'hub'
+  ELSE 'normal' END AS zone_type FROM zones""")
+ORACLES["zone_weights"] = sql([ZONES], """SELECT zone_id, CAST(CASE WHEN is_hotspot THEN 25 WHEN is_hub THEN 15
+  WHEN is_secondary THEN 12 ELSE 1 END AS DOUBLE) AS zone_weight FROM zones""")
+ORACLES["zone_summary"] = sql([ZONES], """SELECT count(*) AS zones, count(*) FILTER (is_hotspot) AS hotspots,
+  count(*) FILTER (is_secondary) AS secondary, count(*) FILTER (is_hub) AS hubs FROM zones""")
+ORACLES["auto_zone_tiers"] = sql([TRIPS, ZONES, ZONE_FLOW], """SELECT id, coalesce(zone_name, 'Zone-' || id) AS name,
+  inbound, outbound, flow, rank,
+  CASE WHEN rank <= hot THEN 'hotspot' WHEN rank <= hot + CASE WHEN n > hot THEN greatest(1, CAST(floor((n - hot) * 0.15) AS BIGINT)) ELSE 0 END
+       THEN 'secondary' ELSE 'normal' END AS tier,
+  coalesce(is_hub, false) AS is_hub, latitude, longitude
+  FROM (SELECT *, CAST(row_number() OVER (ORDER BY flow DESC, id) AS INTEGER) AS rank, count(*) OVER () AS n,
+               greatest(1, CAST(floor(count(*) OVER () * 0.1) AS BIGINT)) AS hot FROM zf)
+  LEFT JOIN zones ON id = zone_id""")
+ORACLES["slug_names"] = "SELECT n_nationkey AS zone_id, 'sehir_ic_ag__' || replace(lower(n_name), ' ', '_') AS slug FROM nation"
+ORACLES["format_counts"] = sql([TRIPS, ZONE_FLOW], """SELECT id, flow * 37 AS flow,
+  CASE WHEN flow * 37 >= 1000000 THEN (t // 10) || ',' || (t % 10) || 'M'
+       WHEN flow * 37 >= 1000 THEN CAST(floor(flow * 37 / 1000 + 0.5) AS BIGINT) || 'K'
+       ELSE CAST(flow * 37 AS VARCHAR) END AS shown
+  FROM (SELECT *, CAST(floor(flow * 37 / 100000 + 0.5) AS BIGINT) AS t FROM zf)""")
+
+# --- ranks -----------------------------------------------------------------------------------------------------------
+
+_PR = f"SELECT id, {_r('pagerank')} FROM pr"
+ORACLES["pagerank_weighted"] = sql([*ALL, *RANKED], _PR)
+ORACLES["pagerank_unweighted"] = sql([*BUSY, VERTICES, *rank_chain(20, weighted=False)], _PR)
+ORACLES["pagerank_converged"] = sql([*ALL, VERTICES, *rank_chain(30)], _PR)
+_PLACED = f"SELECT *, CAST(row_number() OVER (ORDER BY {score_order('pagerank')}) AS INTEGER) AS rank FROM pr"
+ORACLES["critical_tiers"] = sql([*BUSY, *RANKED], f"""SELECT rank, id, CASE WHEN rank <= 3 THEN 'critical'
+  WHEN rank <= 7 THEN 'high' WHEN rank <= 15 THEN 'medium' ELSE 'normal' END AS tier, {_r('pagerank')}
+  FROM ({_PLACED}) WHERE rank <= 15""")
+ORACLES["top40_subgraph"] = sql([*BUSY, *RANKED, f"best AS (SELECT id FROM ({_PLACED}) WHERE rank <= 40)"],
+                                "SELECT src, dst, weight FROM e WHERE src IN (SELECT id FROM best) AND dst IN (SELECT id FROM best)")
+_BW = f"SELECT id, {_r('betweenness')} FROM bw"
+ORACLES["betweenness_exact"] = sql([*BUSY, VERTICES, *BETWEEN], _BW)
+ORACLES["betweenness_hops"] = sql([*CITY, VERTICES, *distance_chain("1", 4)], _BW)
+ORACLES["betweenness_sampled"] = sql(
+    [*BUSY, VERTICES, "pivots AS MATERIALIZED (SELECT id FROM v ORDER BY md5(id || '#42'), id LIMIT 50)",
+     *distance_chain("weight", 6, "pivots")], _BW)
+ORACLES["rank_disagreement"] = sql([*BUSY, *RANKED, *BETWEEN], f"""SELECT id, {_r('betweenness')},
+  round(betweenness / (SELECT max(betweenness) FROM bw), 8) AS betweenness_norm, betweenness_rank, pagerank_rank,
+  pagerank_rank - betweenness_rank AS gap FROM (
+    SELECT bw.id, betweenness,
+      CAST(row_number() OVER (ORDER BY CAST(betweenness AS FLOAT) DESC, bw.id) AS INTEGER) AS betweenness_rank,
+      CAST(row_number() OVER (ORDER BY CAST(pagerank AS FLOAT) DESC, bw.id) AS INTEGER) AS pagerank_rank
+    FROM bw JOIN pr ON bw.id = pr.id)""")
+_HEAT_COLUMNS = ("pagerank", "betweenness", "in_centrality", "out_centrality")
+ORACLES["centrality_heat"] = sql(
+    [*BUSY, *RANKED, *BETWEEN, FLOWS, CENTRALITY, f"""t AS (SELECT p.rank, p.id, pagerank, betweenness, in_centrality, out_centrality
+      FROM ({_PLACED}) p JOIN bw ON p.id = bw.id JOIN deg ON p.id = deg.id WHERE rank <= 20)"""],
+    "SELECT rank, id, " + ", ".join(f"round(CASE WHEN max({c}) OVER () > 0 THEN {c} / max({c}) OVER () ELSE 0 END, 8) AS {c}" for c in _HEAT_COLUMNS) + " FROM t")
+ORACLES["degree_heat"] = sql(
+    [*BUSY, *RANKED, FLOWS, f"t AS (SELECT p.rank, p.id, pagerank, CAST(degree AS DOUBLE) AS degree FROM ({_PLACED}) p JOIN flows f ON p.id = f.id WHERE rank <= 20)"],
+    "SELECT rank, id, " + ", ".join(f"round({c} / max({c}) OVER (), 8) AS {c}" for c in ("pagerank", "degree")) + " FROM t")
+ORACLES["pr_vs_betweenness"] = sql([*BUSY, *RANKED, *BETWEEN, FLOWS, CENTRALITY], f"""SELECT p.id, {_r('pagerank')}, {_r('betweenness')},
+  round(greatest(in_centrality * 2000, 20), 8) AS size, rank <= 5 AS labelled
+  FROM ({_PLACED}) p JOIN bw ON p.id = bw.id JOIN deg ON p.id = deg.id""")
+
+# --- components, communities, paths -----------------------------------------------------------------------------------
+
+ORACLES["wcc"] = sql([*BUSY, VERTICES, *WCC], "SELECT * FROM wcc")
+ORACLES["component_sizes"] = sql([*BUSY, VERTICES, *WCC], "SELECT component, count(*) AS size FROM wcc GROUP BY component")
+ORACLES["largest_component"] = sql([*BUSY, VERTICES, *WCC], """SELECT id FROM wcc WHERE component = (
+  SELECT component FROM wcc GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)""")
+ORACLES["scc"] = sql([*BUSY, VERTICES, """reach AS (
+  SELECT id AS a, id AS b FROM v UNION SELECT reach.a, e.dst FROM reach JOIN e ON reach.b = e.src)"""],
+    """SELECT x.a AS id, min(x.b) AS component FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY x.a""")
+ORACLES["label_propagation"] = sql([*BUSY, VERTICES, *LABELS], "SELECT * FROM lp")
+ORACLES["community_sizes"] = sql([*BUSY, VERTICES, *LABELS], "SELECT label, size FROM sizes")
+_SUMMARY = """SELECT s.community, s.label, s.size, round(CAST(100 AS DOUBLE) * s.size / (SELECT count(*) FROM v), 8) AS share_pct,
+  (SELECT string_agg(name, '; ' ORDER BY id) FROM (SELECT c.id, name FROM comm c JOIN names n ON c.id = n.id
+     WHERE c.label = s.label ORDER BY c.id LIMIT 5)) AS top_members,
+  round((SELECT avg(pagerank) FROM comm c JOIN pr ON c.id = pr.id WHERE c.label = s.label), 8) AS avg_pagerank
+  FROM sizes s"""
+ORACLES["community_summary"] = sql([*BUSY, *RANKED, NAMED, *LABELS], _SUMMARY)
+ORACLES["modularity"] = sql([*BUSY, VERTICES, *LABELS], """SELECT round(sum(i) / max(m) - sum(t * t) / (max(m) * max(m)), 8) AS modularity FROM (
+  SELECT a.label, CAST(sum(weight) AS DOUBLE) AS t, CAST(coalesce(sum(weight) FILTER (a.label = b.label), 0) AS DOUBLE) AS i,
+         CAST((SELECT 2 * sum(weight) FROM e) AS DOUBLE) AS m
+  FROM (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e) x
+    JOIN lp a ON x.src = a.id JOIN lp b ON x.dst = b.id GROUP BY a.label)""")
+_STEP0 = ["es AS MATERIALIZED (SELECT 0 AS step, src, dst FROM e)", "vs AS MATERIALIZED (SELECT 0 AS step, id FROM v)"]
+ORACLES["avg_path_length"] = sql([*BUSY, VERTICES, *_STEP0, *REMOVAL_WCC, *REMOVAL_PATHS],
+                                 f"SELECT core_size, {_r('avg_path')} FROM rpaths")
+
+# --- removal ------------------------------------------------------------------------------------------------------------
+
+ORACLES["removal_flow"] = sql([*BUSY, *RANKED, *REMOVAL], """SELECT step, removed_id, remaining_flow, remaining_edges,
+  remaining_flow_pct, remaining_edge_pct, nodes_remaining FROM flow_pct""")
+ORACLES["removal_components"] = sql([*BUSY, *RANKED, *REMOVAL, *REMOVAL_WCC], "SELECT * FROM rcount")
+ORACLES["removal_paths"] = sql([*BUSY, *RANKED, *REMOVAL, *REMOVAL_WCC, *REMOVAL_PATHS],
+                               f"SELECT step, core_size, {_r('avg_path')} FROM rpaths")
+
+
+def _step_ranks() -> list[str]:
+    """PageRank(10), unweighted, of every remaining graph."""
+    ctes = ["n AS MATERIALIZED (SELECT step, count(*) AS n FROM vs WHERE step > 0 GROUP BY step)",
+            "o AS MATERIALIZED (SELECT step, src, CAST(count(*) AS DOUBLE) AS o FROM es WHERE step > 0 GROUP BY step, src)",
+            "q_0 AS MATERIALIZED (SELECT vs.step, vs.id, CAST(1 AS DOUBLE) / n AS r, o FROM vs JOIN n ON vs.step = n.step LEFT JOIN o ON o.step = vs.step AND o.src = vs.id)"]
+    for k in range(10):
+        ctes.append(f"""q_{k + 1} AS MATERIALIZED (
+  SELECT q.step, q.id, (CAST(0.15 AS DOUBLE) + CAST(0.85 AS DOUBLE) * coalesce(m.mass, 0)) / n.n + CAST(0.85 AS DOUBLE) * coalesce(c.s, 0) AS r, q.o
+  FROM q_{k} q JOIN n ON q.step = n.step
+    LEFT JOIN (SELECT step, sum(r) AS mass FROM q_{k} WHERE o IS NULL GROUP BY step) m ON m.step = q.step
+    LEFT JOIN (SELECT es.step, es.dst, sum(r / o) AS s FROM es JOIN q_{k} p ON p.step = es.step AND p.id = es.src GROUP BY es.step, es.dst) c
+      ON c.step = q.step AND c.dst = q.id)""")
+    return ctes
+
+
+ORACLES["removal_new_top3"] = sql([*BUSY, *RANKED, *REMOVAL, *_step_ranks()], """SELECT step, CAST(place AS INTEGER) AS place, id,
+  round(r, 8) AS pagerank FROM (SELECT step, id, r, row_number() OVER (PARTITION BY step ORDER BY CAST(r AS FLOAT) DESC, id) AS place FROM q_10)
+  WHERE place <= 3""")
+_TIMELINE = """SELECT *, round(sum(flow_drop_raw) OVER (ORDER BY step), 8) AS cumulative_loss, round(flow_drop_raw, 8) AS flow_drop FROM (
+  SELECT f.step, removed_id, remaining_flow, remaining_edges, remaining_flow_pct, remaining_edge_pct, nodes_remaining, num_components{0},
+    lag(remaining_flow_pct, 1, 100) OVER (ORDER BY f.step) - remaining_flow_pct AS flow_drop_raw,
+    coalesce(lag(num_components) OVER (ORDER BY f.step) = 1 AND num_components > 1, false) AS splits
+  FROM flow_pct f JOIN rcount c ON f.step = c.step{1})"""
+ORACLES["removal_timeline"] = sql(
+    [*BUSY, *RANKED, *REMOVAL, *REMOVAL_WCC, *REMOVAL_PATHS],
+    f"""SELECT step, removed_id, remaining_flow, remaining_edges, {_r('remaining_flow_pct')}, {_r('remaining_edge_pct')},
+    nodes_remaining, num_components, {_r('avg_path')}, flow_drop, cumulative_loss, splits FROM (
+    {_TIMELINE.format(', avg_path', ' JOIN rpaths p ON f.step = p.step')})""")
+
+# --- reports on the trip graph --------------------------------------------------------------------------------------------
+
+_CITY_ALL = [*CITY, *RANKED, NAMED, FLOWS, *LABELS]
+_FEATURES = f"""features AS MATERIALIZED (SELECT p.id, name, n.latitude, n.longitude, pagerank,
+  pagerank / (SELECT max(pagerank) FROM pr) AS pagerank_norm, betweenness,
+  CASE WHEN (SELECT max(betweenness) FROM bw) > 0 THEN betweenness / (SELECT max(betweenness) FROM bw) ELSE 0 END AS betweenness_norm,
+  in_flow, out_flow, CAST(in_flow AS DOUBLE) / (SELECT max(in_flow) FROM flows) AS in_flow_norm, community,
+  CASE WHEN is_hotspot THEN 'hotspot' WHEN is_hub THEN 'hub' ELSE 'normal' END AS zone_type, rank
+  FROM ({_PLACED}) p JOIN names n ON p.id = n.id JOIN bw ON p.id = bw.id JOIN flows f ON p.id = f.id
+    JOIN comm c ON p.id = c.id LEFT JOIN zones z ON p.id = z.zone_id)"""
+ORACLES["node_features"] = sql([*_CITY_ALL, *BETWEEN, _FEATURES], f"""SELECT id, name, latitude, longitude, {_r('pagerank')},
+  {_r('pagerank_norm')}, {_r('betweenness')}, {_r('betweenness_norm')}, in_flow, out_flow, {_r('in_flow_norm')}, community, zone_type, rank
+  FROM features""")
+_EDGE_FEATURES = f"""SELECT x.*, e.avg_duration, x.weight / CAST((SELECT max(weight) FROM e) AS DOUBLE) AS weight_norm
+  FROM ({_EDGE_NAMES.format(_TOP(300))}) x JOIN e ON x.src = e.src AND x.dst = e.dst WHERE src_lat <> 0 AND dst_lat <> 0"""
+ORACLES["edge_features"] = sql(CITY, _EDGE_FEATURES)
+ORACLES["map_centre"] = sql([*CITY, VERTICES, NAMED], """SELECT round(coalesce(avg(latitude), 41), 8) AS center_lat,
+  round(coalesce(avg(longitude), 29), 8) AS center_lon FROM names WHERE latitude <> 0 AND longitude <> 0""")
+ORACLES["top_bottlenecks"] = sql([*CITY, *RANKED, NAMED], f"""SELECT rank, p.id, name, {_r('pagerank')} FROM ({_PLACED}) p
+  JOIN names n ON p.id = n.id WHERE rank <= 10 AND latitude <> 0 AND longitude <> 0""")
+_LOCATED = f"SELECT src, dst, weight FROM ({_EDGE_NAMES.format('e')}) WHERE src_lat <> 0 AND dst_lat <> 0"
+ORACLES["geo_feed"] = sql([*_CITY_ALL, f"shown AS (SELECT * FROM ({_LOCATED}) ORDER BY weight DESC, src, dst LIMIT 200)"], f"""
+  SELECT 'node' AS kind, p.id, CAST(NULL AS INTEGER) AS dst, round(greatest(pagerank * 50000, 30), 8) AS size,
+    round(community / CAST((SELECT count(*) FROM sizes) AS DOUBLE), 8) AS colour, rank <= 10 AS labelled
+  FROM ({_PLACED}) p JOIN names n ON p.id = n.id JOIN comm c ON p.id = c.id WHERE latitude <> 0 AND longitude <> 0
+  UNION ALL SELECT 'edge', src, dst, round(0.3::DOUBLE + weight / (SELECT max(weight) FROM shown)::DOUBLE * 2, 8),
+    round(0.05::DOUBLE + weight / (SELECT max(weight) FROM shown)::DOUBLE * 0.3::DOUBLE, 8), NULL FROM shown""")
+ORACLES["topology_feed"] = sql([*BUSY, *RANKED, *LABELS, f"best AS MATERIALIZED (SELECT * FROM ({_PLACED}) WHERE rank <= 40)",
+    "inner_e AS MATERIALIZED (SELECT * FROM e WHERE src IN (SELECT id FROM best) AND dst IN (SELECT id FROM best))"], """
+  SELECT 'node' AS kind, b.id, CAST(NULL AS BIGINT) AS dst, round(pagerank * 30000, 8) AS size, community, rank <= 15 AS labelled
+  FROM best b JOIN comm c ON b.id = c.id
+  UNION ALL SELECT 'edge', src, dst, round(0.5::DOUBLE + weight / (SELECT max(weight) FROM inner_e)::DOUBLE * 3, 8), NULL, NULL FROM inner_e""")
+ORACLES["visible_map"] = sql([*CITY, *RANKED, NAMED, f"placed AS MATERIALIZED ({_PLACED})",
+    "gone AS (SELECT id FROM placed WHERE rank <= 3)", f"shown AS ({_EDGE_NAMES.format(_TOP(300))})"], """
+  SELECT 'node' AS kind, p.id, CAST(NULL AS INTEGER) AS dst, p.id IN (SELECT id FROM gone) AS gone
+  FROM placed p JOIN names n ON p.id = n.id WHERE latitude <> 0 AND longitude <> 0 AND rank <= 15
+  UNION ALL SELECT * FROM (SELECT 'edge', src, dst, NULL::BOOLEAN FROM shown WHERE src_lat <> 0 AND dst_lat <> 0
+    AND src NOT IN (SELECT id FROM gone) AND dst NOT IN (SELECT id FROM gone) ORDER BY weight DESC, src, dst LIMIT 40)""")
+ORACLES["full_stats"] = sql([*BUSY, VERTICES, *WCC, *LABELS], _STATS.format(
+    ", (SELECT count(DISTINCT component) FROM wcc) AS components, (SELECT count(*) FROM sizes) AS communities"))
+ORACLES["map_document"] = sql([*_CITY_ALL, *BETWEEN, _FEATURES, *REMOVAL, *REMOVAL_WCC], f"""
+  SELECT 'node' AS section, CAST(rank AS BIGINT) AS seq, CAST(id AS BIGINT) AS id, CAST(NULL AS BIGINT) AS dst, name,
+    CAST(community AS BIGINT) AS number, round(pagerank, 6) AS value FROM features
+  UNION ALL SELECT 'edge', NULL, src, dst, NULL, weight, NULL FROM ({_EDGE_FEATURES})
+  UNION ALL SELECT 'simulation', f.step, removed_id, NULL, NULL, num_components, CAST(remaining_flow AS DOUBLE)
+    FROM flow f JOIN rcount c ON f.step = c.step WHERE f.step > 0
+  UNION ALL SELECT 'community', community, label, NULL, top_members, size, round(avg_pagerank, 6) FROM ({_SUMMARY})""")
+ORACLES["summary_report"] = sql([*_CITY_ALL, *REMOVAL, *REMOVAL_WCC], f"""
+  SELECT 'nodes' AS metric, '' AS label, CAST(count(*) AS DOUBLE) AS value FROM v
+  UNION ALL SELECT 'edges', '', count(*) FROM e UNION ALL SELECT 'flow', '', sum(weight) FROM e
+  UNION ALL SELECT 'communities', '', count(*) FROM sizes
+  UNION ALL SELECT 'top_' || rank, name, {_r('pagerank')} FROM ({_PLACED}) p JOIN names n ON p.id = n.id WHERE rank <= 5
+  UNION ALL SELECT 'first_removal_loss', '', round(100 - remaining_flow_pct, 8) FROM flow_pct WHERE step = 1
+  UNION ALL SELECT 'all_removals_loss', '', round(100 - remaining_flow_pct, 8) FROM flow_pct WHERE step = 5
+  UNION ALL SELECT 'components_before', '', num_components FROM rcount WHERE step = 0
+  UNION ALL SELECT 'components_after', '', num_components FROM rcount WHERE step = 5""")
+
+# --- walks and vectors ------------------------------------------------------------------------------------------------------
+
+ORACLES["random_walks"] = sql([*BUSY, VERTICES,
+    "r AS MATERIALIZED (SELECT src, dst, sum(weight) OVER w AS hi, sum(weight) OVER w - weight AS lo, sum(weight) OVER (PARTITION BY src) AS total FROM e WINDOW w AS (PARTITION BY src ORDER BY dst ROWS UNBOUNDED PRECEDING))",
+    "t AS MATERIALIZED (SELECT DISTINCT src, CAST(total AS BIGINT) AS total FROM r)",
+    f"""walk AS (
+  SELECT id || '-' || n AS walk_id, 0 AS pos, id AS node FROM v, (SELECT range AS n FROM range(10))
+  UNION ALL
+  SELECT walk_id, pos + 1, r.dst FROM walk JOIN t ON t.src = node JOIN r ON r.src = node
+    AND r.lo <= floor({_UNIFORM("walk_id || '#' || (pos + 1) || '#42'")} * t.total)
+    AND floor({_UNIFORM("walk_id || '#' || (pos + 1) || '#42'")} * t.total) < r.hi
+  WHERE pos < 79)"""], "SELECT walk_id, pos, node FROM walk")
+ORACLES["embedding_coverage"] = sql([*ALL, VERTICES], "SELECT id FROM v WHERE id NOT IN (SELECT vec_id FROM embeddings)")
+_VECTORS = """vec AS MATERIALIZED (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+ lens AS MATERIALIZED (SELECT id, x, sqrt(list_sum(list_transform(x, lambda a: a * a))) AS n FROM vec)"""
+_COSINE = "list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) / (a.n * b.n)"
+ORACLES["cosine_topn"] = sql([*ALL, FLOWS, _VECTORS,
+    "anchors AS MATERIALIZED (SELECT id FROM flows ORDER BY in_flow + out_flow DESC, id LIMIT 10)"], f"""
+  SELECT anchor, CAST(place AS INTEGER) AS place, id, round(s, 8) AS similarity FROM (
+    SELECT anchor, id, s, row_number() OVER (PARTITION BY anchor ORDER BY CAST(s AS FLOAT) DESC, id) AS place FROM (
+      SELECT a.id AS anchor, b.id, {_COSINE} AS s FROM lens a JOIN lens b ON a.id <> b.id WHERE a.id IN (SELECT id FROM anchors)))
+  WHERE place <= 5""")
+ORACLES["similar_zones"] = sql([*BUSY, *RANKED, NAMED, _VECTORS, f"placed AS MATERIALIZED ({_PLACED})"], f"""
+  SELECT s.anchor, a.name AS anchor_name, p.rank AS anchor_rank, CAST(place AS INTEGER) AS place, s.id, n.name,
+    round(s.s, 8) AS similarity, round(q.pagerank, 8) AS pagerank FROM (
+    SELECT anchor, id, s, row_number() OVER (PARTITION BY anchor ORDER BY CAST(s AS FLOAT) DESC, id) AS place FROM (
+      SELECT a.id AS anchor, b.id, {_COSINE} AS s FROM lens a JOIN lens b ON a.id <> b.id
+      WHERE a.id IN (SELECT id FROM placed WHERE rank <= 10) AND b.id IN (SELECT id FROM v))) s
+  JOIN names a ON s.anchor = a.id JOIN placed p ON s.anchor = p.id JOIN names n ON s.id = n.id JOIN placed q ON s.id = q.id
+  WHERE place <= 5""")
+
+# --- outlines -----------------------------------------------------------------------------------------------------------------
+
+ORACLES["polygon_centroid"] = """WITH o AS (
+  SELECT n_nationkey AS z, range AS k, n_nationkey + cos(range * 3.141592653589793 / 3) AS x,
+         n_regionkey + 0.5 * sin(range * 3.141592653589793 / 3) AS y FROM nation, range(6)),
+ s AS (SELECT a.z, a.x, a.y, b.x AS x2, b.y AS y2, a.x * b.y - b.x * a.y AS c FROM o a JOIN o b ON a.z = b.z AND b.k = (a.k + 1) % 6)
+ SELECT z AS zone_id, round(abs(sum(c) / 2), 8) AS area, round(sum((x + x2) * c) / (3 * sum(c)), 8) + 0 AS x,
+   round(sum((y + y2) * c) / (3 * sum(c)), 8) + 0 AS y FROM s GROUP BY z"""
