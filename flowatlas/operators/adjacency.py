@@ -1,12 +1,14 @@
 """Message passing along edges, the step shared by all iterative graph operators.
 
 A graph is a relation ``(src, dst, ...)``, optionally with leading key columns (for example
-``step``) when several graphs are processed side by side. ``Adjacency`` lays the edges out once:
+``step``) when several graphs are processed side by side. ``Adjacency`` lays the edges out once and
+picks, from counted sizes, how state rows meet them:
 
-* up to ``BROADCAST_EDGES`` edges (counted, not guessed) are broadcast, so a push moves no state;
-* beyond that the edges are hash partitioned by ``(src, part)`` and kept, so a push moves only the
-  state. ``part`` splits the edges of one source into pieces of about ``EDGES_PER_PART``; a source
-  holding a third of all edges becomes many keys, and its state row is copied to each of them.
+* state of at most ``BROADCAST_ROWS`` rows: the state is broadcast and the edges stay where they are;
+* else edges of at most ``BROADCAST_ROWS`` rows: the edges are broadcast and the state stays;
+* else the edges are kept hash partitioned by ``(src, part)`` and a push moves only the state. ``part``
+  splits the edges of one source into pieces of about ``ROWS_PER_PART``; a source holding a third of
+  all edges becomes many keys, and its state row is copied to each of them.
 
 Messages are always combined by a hash aggregation on the target, which Spark combines before the
 shuffle, so a hot target does not become a hot task.
@@ -18,22 +20,27 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowatlas.operators.skew import BROADCAST_ROWS, ROWS_PER_PART
 from flowatlas.session import settle
 
-BROADCAST_EDGES = 500_000
-EDGES_PER_PART = 250_000
-
 
 class Adjacency:
-    def __init__(self, edges: DataFrame, keys: tuple[str, ...] = (), broadcast_edges: int = BROADCAST_EDGES,
-                 edges_per_part: int = EDGES_PER_PART):
+    """``state_rows`` is an upper bound on the rows of any state that will be pushed."""
+
+    def __init__(self, edges: DataFrame, state_rows: int, keys: tuple[str, ...] = (),
+                 broadcast_rows: int = BROADCAST_ROWS, edges_per_part: int = ROWS_PER_PART):
         self.keys = list(keys)
         self.on = [*self.keys, "src"]
         self.edges = settle(edges)
         self.count = self.edges.count()
-        self.small = self.count <= broadcast_edges
         self.hot = None
-        if not self.small:
+        if state_rows <= min(broadcast_rows, self.count):
+            self.mode = "state"
+            self.edges = self.edges.persist(StorageLevel.MEMORY_AND_DISK)
+        elif self.count <= broadcast_rows:
+            self.mode = "edges"
+        else:
+            self.mode = "shuffle"
             self._spread(edges_per_part)
 
     def _spread(self, edges_per_part: int) -> None:
@@ -54,7 +61,9 @@ class Adjacency:
     def push(self, state: DataFrame, at: str = "id") -> DataFrame:
         """Each state row meets all edges leaving ``state[at]``; ``at`` is renamed to ``src``."""
         state = state.withColumnRenamed(at, "src")
-        if self.small:
+        if self.mode == "state":
+            return self.edges.join(F.broadcast(state), self.on)
+        if self.mode == "edges":
             return state.join(F.broadcast(self.edges), self.on)
         state = (
             state.join(self.hot, self.on, "left")
@@ -64,7 +73,7 @@ class Adjacency:
         return state.join(self.edges, [*self.on, "_part"]).drop("_part")
 
     def release(self) -> None:
-        if not self.small:
+        if self.mode != "edges":
             self.edges.unpersist()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
 from flowatlas.operators.ordering import global_rank
+from flowatlas.operators.skew import join_unique
 from flowatlas.session import settle
 
 
@@ -19,7 +20,8 @@ def label_propagation(edges: DataFrame, rounds: int = 5, vertices: DataFrame | N
     if vertices is None:
         vertices = vertex_ids(edges)
     votes = both_ways(edges.withColumn("vote", F.lit(1)), "vote")
-    links = Adjacency(with_loops(votes, vertices.select("id"), {"vote": F.lit(0)}))
+    vertices = settle(vertices.select("id"))
+    links = Adjacency(with_loops(votes, vertices, {"vote": F.lit(0)}), vertices.count())
     state = vertices.select("id", F.col("id").alias("label"))
     for _ in range(rounds):
         counted = links.push(state).groupBy("dst", "label").agg(F.sum("vote").alias("votes"))
@@ -34,7 +36,7 @@ def modularity(edges: DataFrame, groups: DataFrame) -> DataFrame:
     double = both_ways(edges, "weight")
     source = groups.select(F.col("id").alias("src"), F.col("label").alias("a"))
     target = groups.select(F.col("id").alias("dst"), F.col("label").alias("b"))
-    by_group = double.join(source, "src").join(target, "dst").groupBy("a").agg(
+    by_group = join_unique(join_unique(double, source, ["src"]), target, ["dst"]).groupBy("a").agg(
         F.sum("weight").cast("double").alias("tot"),
         F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0)).cast("double").alias("inside"),
     )
@@ -65,15 +67,16 @@ def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels:
         if not improved:
             break
         groups = groups.select(F.col("id").alias("node"), "label")
-        members = settle(members.join(groups, "node").select("id", F.col("label").alias("node")))
+        count = groups.count()
+        members = settle(join_unique(members, groups, ["node"], count).select("id", F.col("label").alias("node")))
         source = groups.withColumnsRenamed({"node": "src", "label": "a"})
         target = groups.withColumnsRenamed({"node": "dst", "label": "b"})
         links = settle(
-            links.join(source, "src").join(target, "dst")
+            join_unique(join_unique(links, source, ["src"], count), target, ["dst"], count)
             .groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("w").alias("w"))
         )
     names = members.groupBy("node").agg(F.min("id").alias("label"))
-    return members.join(names, "node").select("id", "label")
+    return join_unique(members, names, ["node"]).select("id", "label")
 
 
 def _local_moves(links: DataFrame, whole: float, seed: int, max_rounds: int,
@@ -83,14 +86,17 @@ def _local_moves(links: DataFrame, whole: float, seed: int, max_rounds: int,
     inner = links.filter(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
     # The loop of weight 0 makes every vertex see its own community; edges carry the target's weight.
     between = with_loops(links.filter(F.col("src") != F.col("dst")), degree.select("id"), {"w": F.lit(0.0)})
-    adjacency = Adjacency(between.join(degree.withColumnsRenamed({"id": "dst"}), "dst"))
     state = settle(degree.select("id", "k", F.col("id").alias("label")))
+    rows = state.count()
+    weighed = join_unique(between, state.select(F.col("id").alias("dst"), "k"), ["dst"], rows)
+    adjacency = Adjacency(weighed, rows)
     best, best_value, idle, improved = state, None, 0, False
     for turn in range(max_rounds + 1):
         totals = state.groupBy("label").agg(F.sum("k").alias("tot"))
         offers = adjacency.push(state.select("id", "label")).groupBy("dst", "label").agg(
             F.sum("w").alias("w_in"), F.max("k").alias("k"), F.max("loop").alias("own")
-        ).join(totals, "label")
+        )
+        offers = join_unique(offers, totals, ["label"], rows)
         tot = F.col("tot") - F.when(F.col("own"), F.col("k")).otherwise(0.0)
         gain = F.col("w_in") - tot * F.col("k") / F.lit(whole)
         picked = offers.groupBy(F.col("dst").alias("id")).agg(
@@ -155,4 +161,4 @@ def numbered(groups: DataFrame) -> DataFrame:
     """``(id, label, community)`` with communities numbered from 0 by size."""
     sizes = groups.groupBy("label").agg(F.count("*").alias("size"))
     ranked = global_rank(sizes, [F.desc("size"), F.asc("label")], "community")
-    return groups.join(ranked.select("label", (F.col("community") - 1).alias("community")), "label")
+    return join_unique(groups, ranked.select("label", (F.col("community") - 1).alias("community")), ["label"])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
+from flowatlas.operators.skew import join_unique
 from flowatlas.session import settle
 
 
@@ -18,7 +19,9 @@ def _smallest_reaching(edges: DataFrame, vertices: DataFrame, keys: tuple[str, .
     label of the vertex it names, which is also a vertex with a path to here. The jump doubles the
     distance a label has travelled, so the number of rounds is logarithmic on long chains.
     """
-    links = Adjacency(with_loops(edges.select(*keys, "src", "dst"), vertices.select(*keys, "id"), {}), keys)
+    vertices = settle(vertices.select(*keys, "id"))
+    rows = vertices.count()
+    links = Adjacency(with_loops(edges.select(*keys, "src", "dst"), vertices, {}), rows, keys)
     state = vertices.select(*keys, "id", F.col("id").alias("label"), F.col("id").alias("start"))
     while True:
         for _ in range(2):
@@ -30,9 +33,9 @@ def _smallest_reaching(edges: DataFrame, vertices: DataFrame, keys: tuple[str, .
         if state.filter(F.col("label") != F.col("start")).isEmpty():
             links.release()
             return state.select(*keys, "id", "label")
-        # Many vertices share a label; the named side is unique, so a large skewed join is split by AQE.
+        # Many vertices share a label; the named side has one row per vertex.
         named = state.select(*keys, F.col("id").alias("label"), F.col("label").alias("further"))
-        state = state.join(named, [*keys, "label"]).select(
+        state = join_unique(state, named, [*keys, "label"], rows).select(
             *keys, "id", F.col("further").alias("label"), F.col("further").alias("start")
         )
 
@@ -73,7 +76,7 @@ def strong_components(edges: DataFrame, vertices: DataFrame | None = None) -> Da
         source = open_ends.select(F.col("id").alias("src"), F.col("up").alias("u1"), F.col("down").alias("d1"))
         target = open_ends.select(F.col("id").alias("dst"), F.col("up").alias("u2"), F.col("down").alias("d2"))
         rest = settle(
-            rest.join(source, "src").join(target, "dst")
+            join_unique(join_unique(rest, source, ["src"]), target, ["dst"])
             .filter((F.col("u1") == F.col("u2")) & (F.col("d1") == F.col("d2"))).select("src", "dst")
         )
     if not found:
@@ -96,4 +99,5 @@ def largest_component(edges: DataFrame, vertices: DataFrame | None = None,
     sizes = groups.groupBy(*keys, "component").agg(F.count("*").alias("size"))
     best = F.max(F.struct(F.col("size"), (-F.col("component")).alias("minus"))).alias("best")
     chosen = sizes.groupBy(*keys).agg(best).select(*keys, (-F.col("best.minus")).alias("component"))
-    return groups.join(chosen, [*keys, "component"], "left_semi").select(*keys, "id")
+    # One row per key: the number of graphs side by side.
+    return groups.join(F.broadcast(chosen), [*keys, "component"], "left_semi").select(*keys, "id")

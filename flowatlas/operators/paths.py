@@ -22,9 +22,9 @@ def distances(edges: DataFrame, sources: DataFrame, vertices: DataFrame, keys: t
     Frontier relaxation: only vertices whose distance fell in the last round send along their edges;
     loops carry the known distances, so a round is one join and one combined aggregation.
     """
-    links = Adjacency(with_loops(edges.select(*keys, "src", "dst", "cost"), vertices.select(*keys, "id"),
-                                 {"cost": F.lit(0).cast(dict(edges.dtypes)["cost"])}), keys)
     zero = F.lit(0).cast(dict(edges.dtypes)["cost"])
+    links = Adjacency(with_loops(edges.select(*keys, "src", "dst", "cost"), vertices.select(*keys, "id"),
+                                 {"cost": zero}), sources.count() * vertices.count(), keys)
     state = settle(sources.select(*keys, F.col("id").alias("source"), "id", zero.alias("dist"),
                                   F.lit(True).alias("fresh")))
     while True:
@@ -104,7 +104,7 @@ def betweenness(edges: DataFrame, cost: str = "weight", sample: int | None = Non
     k = min(k, n)
     priced = settle(edges.select("src", "dst", path_cost(cost).alias("cost")))
     dist = distances(priced, sources, vertices)
-    links = Adjacency(priced)
+    links = Adjacency(priced, n * k)
     reached = dist.select("source", F.col("id").alias("dst"), F.col("dist").alias("there"))
     tight = settle(
         links.push(dist).withColumn("there", F.col("dist") + F.col("cost"))

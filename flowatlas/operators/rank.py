@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowatlas.operators.adjacency import Adjacency, vertex_ids
+from flowatlas.operators.skew import join_unique
 from flowatlas.session import settle
 
 TOL_CHECK_EVERY = 10
@@ -18,7 +19,7 @@ def edge_shares(edges: DataFrame, weighted: bool, keys: tuple[str, ...] = ()) ->
     on = [*keys, "src"]
     weight = F.col("weight").cast("double") if weighted else F.lit(1.0)
     totals = edges.groupBy(*on).agg(F.sum(weight).alias("_total"))
-    return edges.join(totals, on).select(*on, "dst", (weight / F.col("_total")).alias("share"))
+    return join_unique(edges, totals, on).select(*on, "dst", (weight / F.col("_total")).alias("share"))
 
 
 def _factors(sums: list[float], iterations: int) -> list[float]:
@@ -44,10 +45,11 @@ def pagerank(edges: DataFrame, weighted: bool = True, max_iter: int = 20, alpha:
     the L1 change between two iterates is below ``n * tol``. ``scale="n"`` multiplies by the number
     of vertices. Vertices given without edges get the base score.
     """
+    edges = settle(edges.select(*keys, "src", "dst", "weight"))
     if vertices is None:
         vertices = vertex_ids(edges, keys)
-    links = Adjacency(edge_shares(edges, weighted, keys), keys)
     current = settle(vertices.select(*keys, "id", F.lit(1.0).alias("y")))
+    links = Adjacency(edge_shares(edges, weighted, keys), current.count(), keys)
     levels = [current]
     scores = None
     while scores is None:

@@ -103,7 +103,9 @@ def to_trips(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
     df = require_columns(derive_duration(rename_columns(df, mapping or {})))
     columns = []
     for field in TRIP_SCHEMA:
-        if isinstance(field.dataType, T.TimestampNTZType):
+        if df.schema[field.name].dataType == field.dataType:
+            value = F.col(field.name)  # untouched, so filters on it still reach the scan
+        elif isinstance(field.dataType, T.TimestampNTZType):
             value = lenient_timestamp(df, field.name)
         elif isinstance(field.dataType, T.IntegerType):
             # "3.0" is how integer columns with gaps arrive as text.
