@@ -20,35 +20,34 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.operators.skew import BROADCAST_ROWS, ROWS_PER_PART
+from flowatlas.operators import skew
 from flowatlas.session import settle
 
 
 class Adjacency:
     """``state_rows`` is an upper bound on the rows of any state that will be pushed."""
 
-    def __init__(self, edges: DataFrame, state_rows: int, keys: tuple[str, ...] = (),
-                 broadcast_rows: int = BROADCAST_ROWS, edges_per_part: int = ROWS_PER_PART):
+    def __init__(self, edges: DataFrame, state_rows: int, keys: tuple[str, ...] = ()):
         self.keys = list(keys)
         self.on = [*self.keys, "src"]
         self.edges = settle(edges)
         self.count = self.edges.count()
         self.hot = None
-        if state_rows <= min(broadcast_rows, self.count):
+        if state_rows <= min(skew.BROADCAST_ROWS, self.count):
             self.mode = "state"
             self.edges = self.edges.persist(StorageLevel.MEMORY_AND_DISK)
-        elif self.count <= broadcast_rows:
+        elif self.count <= skew.BROADCAST_ROWS:
             self.mode = "edges"
         else:
             self.mode = "shuffle"
-            self._spread(edges_per_part)
+            self._spread()
 
-    def _spread(self, edges_per_part: int) -> None:
+    def _spread(self) -> None:
         degree = self.edges.groupBy(*self.on).agg(F.count("*").alias("_degree"))
-        # At most count / edges_per_part rows; AQE broadcasts or splits the join by measured size.
+        # At most count / ROWS_PER_PART rows; Spark broadcasts or splits the join by measured size.
         self.hot = settle(
-            degree.filter(F.col("_degree") > edges_per_part)
-            .select(*self.on, F.ceil(F.col("_degree") / edges_per_part).cast("int").alias("_parts"))
+            degree.filter(F.col("_degree") > skew.ROWS_PER_PART)
+            .select(*self.on, F.ceil(F.col("_degree") / skew.ROWS_PER_PART).cast("int").alias("_parts"))
         )
         part = F.pmod(F.xxhash64("dst"), F.coalesce("_parts", F.lit(1))).cast("int")
         width = int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))

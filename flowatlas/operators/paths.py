@@ -119,7 +119,7 @@ def betweenness(edges: DataFrame, cost: str = "weight", sample: int | None = Non
     dependency = paths.join(back, ["source", "id"]).filter(F.col("source") != F.col("id")).groupBy("id").agg(
         F.sum(F.col("paths") * F.col("x") - 1.0).alias("raw")
     )
-    scale = (n / k) / ((n - 1) * (n - 2)) if n > 2 else 0.0
+    scale = (n / max(k, 1)) / ((n - 1) * (n - 2)) if n > 2 else 0.0
     return vertices.join(dependency, "id", "left").select(
         "id", (F.coalesce("raw", F.lit(0.0)) * F.lit(scale)).alias("betweenness")
     )

@@ -11,25 +11,25 @@ BROADCAST_ROWS = 500_000
 ROWS_PER_PART = 250_000
 
 
-def join_unique(big: DataFrame, small: DataFrame, on: list[str], rows: int | None = None, how: str = "inner",
-                broadcast_rows: int = BROADCAST_ROWS, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def join_unique(big: DataFrame, small: DataFrame, on: list[str], rows: int | None = None,
+                how: str = "inner") -> DataFrame:
     """Join ``big`` with ``small``, which has unique keys ``on``.
 
     ``small`` is broadcast when its count (or the bound ``rows``) allows. Otherwise keys with more
-    than ``rows_per_part`` rows in ``big`` are split into parts and their single ``small`` row is copied
+    than ``ROWS_PER_PART`` rows in ``big`` are split into parts and their single ``small`` row is copied
     to each part, so no task receives a whole hot key. AQE alone would not split such a join
     when ``small`` comes straight out of an aggregation on the same key.
     """
     if rows is None:
         small = settle(small)
         rows = small.count()
-    if rows <= broadcast_rows:
+    if rows <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
     big = settle(big)
-    counted = big.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_part)
-    # At most one row per rows_per_part rows of ``big``.
-    hot = settle(counted.select(*on, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")))
-    if hot.count() <= broadcast_rows:
+    counted = big.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > ROWS_PER_PART)
+    # At most one row per ROWS_PER_PART rows of ``big``.
+    hot = settle(counted.select(*on, F.ceil(F.col("_n") / ROWS_PER_PART).cast("int").alias("_parts")))
+    if hot.count() <= BROADCAST_ROWS:
         hot = F.broadcast(hot)
     parts = F.coalesce("_parts", F.lit(1))
     others = [c for c in big.columns if c not in on] or on
