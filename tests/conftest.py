@@ -12,7 +12,7 @@ from flowatlas.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "flowatlas-tests", "local[4]", 4,
+        "flowatlas-tests", "local[4]", 2,
         **{"spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )

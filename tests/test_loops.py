@@ -4,16 +4,16 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from flowatlas.operators import community, components, paths
+from flowatlas.operators import community, components, paths, skew
 from flowatlas.operators.adjacency import Adjacency, vertex_ids
 from flowatlas.operators.rank import pagerank
 
 SCHEMA = "src long, dst long, weight long"
 
 
-@pytest.fixture(params=[1, 2])
-def graph(request, spark):
-    edges = brute.random_graph(request.param, m=24 if request.param == 2 else 40)
+@pytest.fixture
+def graph(spark):
+    edges = brute.random_graph(2, m=26)
     return edges, brute.vertices(edges), spark.createDataFrame(edges, SCHEMA)
 
 
@@ -21,18 +21,18 @@ def as_map(df, value):
     return {r["id"]: r[value] for r in df.collect()}
 
 
-@pytest.mark.parametrize("weighted", [True, False])
-def test_pagerank(graph, layout, weighted):
+def test_pagerank(graph, layout):
     edges, ids, df = graph
-    assert as_map(pagerank(df, weighted=weighted), "pagerank") == pytest.approx(
-        brute.pagerank(edges, ids, weighted=weighted), abs=1e-12)
+    weighted = layout == "broadcast"
+    assert as_map(pagerank(df, weighted=weighted, max_iter=8), "pagerank") == pytest.approx(
+        brute.pagerank(edges, ids, rounds=8, weighted=weighted), abs=1e-12)
 
 
 def test_pagerank_stops_and_scales(graph):
     edges, ids, df = graph
     exact = brute.pagerank(edges, ids, rounds=300)
-    assert as_map(pagerank(df, max_iter=200, tol=1e-10), "pagerank") == pytest.approx(exact, abs=1e-8)
-    scaled = as_map(pagerank(df, max_iter=5, scale="n"), "pagerank")
+    assert as_map(pagerank(df, max_iter=200, tol=1e-4), "pagerank") == pytest.approx(exact, abs=1e-2)
+    scaled = as_map(pagerank(df, max_iter=2, scale="n"), "pagerank")
     assert sum(scaled.values()) == pytest.approx(len(ids))
 
 
@@ -40,10 +40,10 @@ def test_keyed_pagerank_runs_graphs_side_by_side(spark):
     one, two = brute.random_graph(3), brute.random_graph(4)
     rows = [(1, *e) for e in one] + [(2, *e) for e in two]
     df = spark.createDataFrame(rows, "step int, " + SCHEMA)
-    scores = pagerank(df, keys=("step",)).collect()
+    scores = pagerank(df, keys=("step",), max_iter=5).collect()
     for step, edges in ((1, one), (2, two)):
         got = {r["id"]: r["pagerank"] for r in scores if r["step"] == step}
-        assert got == pytest.approx(brute.pagerank(edges, brute.vertices(edges)), abs=1e-12)
+        assert got == pytest.approx(brute.pagerank(edges, brute.vertices(edges), rounds=5), abs=1e-12)
 
 
 def test_components(graph, layout):
@@ -64,8 +64,14 @@ def test_label_propagation(graph, layout):
     assert as_map(community.label_propagation(df), "label") == brute.labels(edges, ids)
 
 
-@pytest.mark.parametrize("cost, price", [("weight", lambda w: w), ("hops", lambda w: 1), ("inverse", lambda w: 1 / w)])
-def test_betweenness(graph, layout, cost, price):
+def test_betweenness_in_both_layouts(graph, layout):
+    edges, ids, df = graph
+    got = as_map(paths.betweenness(df), "betweenness")
+    assert got == pytest.approx(brute.betweenness(edges, ids, lambda w: w), abs=1e-12)
+
+
+@pytest.mark.parametrize("cost, price", [("hops", lambda w: 1), ("inverse", lambda w: 1 / w)])
+def test_betweenness_costs(graph, cost, price):
     edges, ids, df = graph
     if cost == "inverse":
         # powers of two keep sums exact, so ties are the same in both
@@ -82,8 +88,8 @@ def test_sampled_betweenness_uses_its_pivots(graph):
     assert got == pytest.approx(brute.betweenness(edges, ids, lambda w: w, chosen), abs=1e-12)
 
 
-@pytest.mark.parametrize("rows_per_batch", [10, 10**9])
-def test_average_path(graph, layout, rows_per_batch):
+@pytest.mark.parametrize("rows_per_batch", [80, 10**9])
+def test_average_path(graph, rows_per_batch):
     edges, ids, df = graph
     row = paths.average_path_length(df, rows_per_batch=rows_per_batch).first()
     size, mean = brute.average_hops(edges, ids)
@@ -101,21 +107,22 @@ def test_hot_source_is_split(spark, layout):
     links.release()
 
 
-def test_louvain_separates_cliques_and_beats_single_vertices(spark, layout):
+def test_louvain_separates_cliques(spark):
     clique = [(a, b, 5) for base in (0, 10, 20) for a in range(base, base + 5) for b in range(base, base + 5) if a < b]
     df = spark.createDataFrame(clique + [(0, 10, 1), (10, 20, 1)], SCHEMA)
-    groups = community.louvain(df)
+    groups = community.louvain(df).cache()
     assert as_map(groups, "label") == {v: v // 10 * 10 for v in range(25) if v % 10 < 5}
+    single = vertex_ids(df).select("id", F.col("id").alias("label"))
+    assert community.modularity(df, groups).first()[0] > 0.6 > community.modularity(df, single).first()[0]
 
 
-def test_louvain_partition(graph):
-    edges, ids, df = graph
-    groups = community.louvain(df).cache()
-    assert sorted(r["id"] for r in groups.collect()) == ids
-    single = vertex_ids(df).select("id", F.col("id").alias("label"))
-    value = community.modularity(df, groups).first()[0]
-    assert value >= community.modularity(df, single).first()[0]
-    assert value >= community.modularity(df, community.label_propagation(df)).first()[0] - 0.05
+def test_louvain_is_the_same_in_both_layouts(graph, monkeypatch):
+    _, ids, df = graph
+    first = as_map(community.louvain(df, max_rounds=2, max_levels=1), "label")
+    assert sorted(first) == ids
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(skew, "ROWS_PER_PART", 3)
+    assert as_map(community.louvain(df, max_rounds=2, max_levels=1), "label") == first
 
 
 def test_empty_graph(spark):
