@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
 from flowatlas.operators.ordering import global_rank
 from flowatlas.operators.skew import join_unique
-from flowatlas.session import settle
+from flowatlas.session import settle, store
 
 
 def label_propagation(edges: DataFrame, rounds: int = 5, vertices: DataFrame | None = None) -> DataFrame:
@@ -68,10 +68,10 @@ def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels:
             break
         groups = groups.select(F.col("id").alias("node"), "label")
         count = groups.count()
-        members = settle(join_unique(members, groups, ["node"], count).select("id", F.col("label").alias("node")))
+        members = store(join_unique(members, groups, ["node"], count).select("id", F.col("label").alias("node")))
         source = groups.withColumnsRenamed({"node": "src", "label": "a"})
         target = groups.withColumnsRenamed({"node": "dst", "label": "b"})
-        links = settle(
+        links = store(
             join_unique(join_unique(links, source, ["src"], count), target, ["dst"], count)
             .groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("w").alias("w"))
         )
@@ -86,7 +86,7 @@ def _local_moves(links: DataFrame, whole: float, seed: int, max_rounds: int,
     inner = links.filter(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
     # The loop of weight 0 makes every vertex see its own community; edges carry the target's weight.
     between = with_loops(links.filter(F.col("src") != F.col("dst")), degree.select("id"), {"w": F.lit(0.0)})
-    state = settle(degree.select("id", "k", F.col("id").alias("label")))
+    state = store(degree.select("id", "k", F.col("id").alias("label")))
     rows = state.count()
     weighed = join_unique(between, state.select(F.col("id").alias("dst"), "k"), ["dst"], rows)
     adjacency = Adjacency(weighed, rows)
@@ -108,7 +108,7 @@ def _local_moves(links: DataFrame, whole: float, seed: int, max_rounds: int,
         )
         may_move = F.substring(F.md5(F.concat_ws("#", "id", F.lit(turn), F.lit(seed))), 1, 1) < F.lit("8")
         moves = may_move & (F.col("best.gain") > F.col("stay") + 1e-12)
-        after = settle(picked.select(
+        after = store(picked.select(
             "id", "k", F.when(moves, -F.col("best.minus")).otherwise(F.col("own")).alias("label"), "own", "w_own"
         ))
         # Modularity of the partition this round started from, one pass over the round's result.

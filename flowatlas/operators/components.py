@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
 from flowatlas.operators.skew import join_unique
-from flowatlas.session import settle
+from flowatlas.session import settle, store
 
 
 def _smallest_reaching(edges: DataFrame, vertices: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -29,7 +29,7 @@ def _smallest_reaching(edges: DataFrame, vertices: DataFrame, keys: tuple[str, .
                 links.push(state).groupBy(*keys, F.col("dst").alias("id"))
                 .agg(F.min("label").alias("label"), F.max(F.when(F.col("loop"), F.col("start"))).alias("start"))
             )
-        state = settle(state)
+        state = store(state)
         if state.filter(F.col("label") != F.col("start")).isEmpty():
             links.release()
             return state.select(*keys, "id", "label")
@@ -67,7 +67,7 @@ def strong_components(edges: DataFrame, vertices: DataFrame | None = None) -> Da
             F.struct(F.lit(1).alias("way"), F.col("dst").alias("src"), F.col("src").alias("dst")),
         )).alias("e")).select("e.*")
         labels = _smallest_reaching(two_ways, vertex_ids(two_ways, ("way",)), ("way",))
-        pairs = settle(labels.groupBy("id").agg(
+        pairs = store(labels.groupBy("id").agg(
             F.max(F.when(F.col("way") == 0, F.col("label"))).alias("up"),
             F.max(F.when(F.col("way") == 1, F.col("label"))).alias("down"),
         ))
@@ -75,7 +75,7 @@ def strong_components(edges: DataFrame, vertices: DataFrame | None = None) -> Da
         open_ends = pairs.filter(F.col("up") != F.col("down"))
         source = open_ends.select(F.col("id").alias("src"), F.col("up").alias("u1"), F.col("down").alias("d1"))
         target = open_ends.select(F.col("id").alias("dst"), F.col("up").alias("u2"), F.col("down").alias("d2"))
-        rest = settle(
+        rest = store(
             join_unique(join_unique(rest, source, ["src"]), target, ["dst"])
             .filter((F.col("u1") == F.col("u2")) & (F.col("d1") == F.col("d2"))).select("src", "dst")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.session import settle
+from flowatlas.session import store
 
 BROADCAST_ROWS = 500_000
 ROWS_PER_PART = 250_000
@@ -21,14 +21,14 @@ def join_unique(big: DataFrame, small: DataFrame, on: list[str], rows: int | Non
     when ``small`` comes straight out of an aggregation on the same key.
     """
     if rows is None:
-        small = settle(small)
+        small = store(small)
         rows = small.count()
     if rows <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
-    big = settle(big)
+    big = store(big)
     counted = big.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > ROWS_PER_PART)
     # At most one row per ROWS_PER_PART rows of ``big``.
-    hot = settle(counted.select(*on, F.ceil(F.col("_n") / ROWS_PER_PART).cast("int").alias("_parts")))
+    hot = store(counted.select(*on, F.ceil(F.col("_n") / ROWS_PER_PART).cast("int").alias("_parts")))
     if hot.count() <= BROADCAST_ROWS:
         hot = F.broadcast(hot)
     parts = F.coalesce("_parts", F.lit(1))

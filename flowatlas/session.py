@@ -66,3 +66,15 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Like ``settle``, as a written table.
+
+    For loops that join a state with itself: a checkpoint keeps the size Spark estimated for the plan,
+    a product over its joins, which then squares in every round until planning stalls. A table
+    has the size of its files.
+    """
+    path = scratch_path(df.sparkSession, "table.parquet")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
