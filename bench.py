@@ -1,6 +1,7 @@
 """Time the headline queries; print one JSON line.
 
-``BENCH_SF_DIR`` (tables), ``BENCH_CPUS`` (local threads) and ``BENCH_COPIES`` come from the environment.
+``BENCH_SF_DIR`` (tables), ``BENCH_CPUS`` (local threads), ``BENCH_QUERIES`` and ``BENCH_COPIES`` (0: no scale run) come
+from the environment.
 ``trips_at_scale`` cleans and aggregates the trip table repeated until it has about as many rows as the
 published run of the reference (38.3 million), read back from Parquet.
 """
@@ -23,10 +24,10 @@ from flowatlas.plans import fixtures  # noqa: E402
 from flowatlas.plans.catalogue import QUERIES  # noqa: E402
 from flowatlas.session import build_session, scratch_path, settle  # noqa: E402
 
-HEADLINE = ["od_edges_base", "od_edges_strict", "cleaning_report", "filter_ablation", "threshold_sweep",
-            "quality_report", "zone_flow", "graph_stats", "degrees", "undirected_edges", "edge_weight_hist",
-            "auto_zone_tiers", "pagerank_weighted", "label_propagation", "wcc", "scc", "removal_flow",
-            "summary_report"]
+HEADLINE = os.environ.get(
+    "BENCH_QUERIES",
+    "od_edges_base cleaning_report filter_ablation graph_stats pagerank_weighted label_propagation wcc summary_report",
+).split()
 
 
 def analysis(trips, zones):

@@ -13,7 +13,7 @@ from flowatlas.operators.embed import cosine_neighbours
 from flowatlas.operators.ordering import exact_median, global_rank, running_total
 from flowatlas.operators.removal import Removal
 from flowatlas.operators.skew import join_unique
-from flowatlas.sources.trips import TRIP_SCHEMA
+from flowatlas.sources.trips import TRIP_SCHEMA, read_trips
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +58,7 @@ def test_edges_and_reports(spark, trip_rows):
 def test_filters_reach_the_scan(spark, trip_rows, tmp_path):
     path = str(tmp_path / "trips.parquet")
     spark.createDataFrame(trip_rows, TRIP_SCHEMA).write.parquet(path)
-    from flowatlas.sources.trips import read_trips
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
     plan = cleaning.od_edges(read_trips(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(trip_distance,0.0)" in plan and "LessThanOrEqual(trip_duration_minutes,300.0)" in plan
     scan = plan[plan.index("ReadSchema"):]
