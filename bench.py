@@ -58,7 +58,7 @@ def main() -> None:
     extra = {}
     if copies:
         path = scratch_path(spark, "trips.parquet")
-        repeated = fixtures.trips(spark, sf_dir).selectExpr("*", f"explode(sequence(1, {copies})) AS copy").drop("copy")
+        repeated = fixtures.trips(spark, sf_dir).repartition(2 * int(cpus)).selectExpr("*", f"explode(sequence(1, {copies})) AS copy").drop("copy")
         repeated.write.parquet(path)
         trips = spark.read.parquet(path)
         rows = trips.count()
