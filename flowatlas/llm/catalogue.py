@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from flowatlas.llm.bpe import op1_bpe
+from flowatlas.llm.licenses import op2_license_scan
 
-QUERIES = {f.__name__: f for f in (op1_bpe,)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_license_scan)}
 
 ORACLES: dict[str, str] = {}
