@@ -6,7 +6,8 @@ from flowatlas.llm.bpe import op1_bpe
 from flowatlas.llm.decontaminate import op9_decontaminate
 from flowatlas.llm.licenses import op2_license_scan
 from flowatlas.llm.minhash import op7_minhash
+from flowatlas.llm.quality import op4_quality
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_license_scan, op7_minhash, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_license_scan, op4_quality, op7_minhash, op9_decontaminate)}
 
 ORACLES: dict[str, str] = {}
