@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from flowatlas.llm.bpe import op1_bpe
 from flowatlas.llm.decontaminate import op9_decontaminate
+from flowatlas.llm.embeddings import op3_embedding_forest
 from flowatlas.llm.licenses import op2_license_scan
 from flowatlas.llm.minhash import op7_minhash
 from flowatlas.llm.quality import op4_quality
 from flowatlas.llm.secrets import op10_secrets
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_license_scan, op4_quality, op7_minhash, op9_decontaminate, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_license_scan, op3_embedding_forest, op4_quality, op7_minhash, op9_decontaminate, op10_secrets)}
 
 ORACLES: dict[str, str] = {}
