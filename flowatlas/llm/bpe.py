@@ -22,9 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from flowatlas.llm.common import column, read_table, slices
+from flowatlas.llm.common import column, extended, read_table, slices, without
 
 #: Characters taken together, pieces remembered by a worker, and symbols from which a word is merged alone.
 BATCH_CHARS, REMEMBERED, LONG_WORD = 4_000_000, 500_000, 256
@@ -245,20 +244,15 @@ def _encoder(shared) -> Encoder:
     return _ENCODERS[shared.value.token]
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in df.columns:
-        raise ValueError(f"the table already has a column {name!r}")
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
 def _append(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
+    rest = batch.select(without(batch.schema.names, name))
+    return pa.RecordBatch.from_arrays([*rest.columns, values], names=[*rest.schema.names, name])
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with a column of token ids; special tokens written out in a text become their own id.
 
-    The other columns are kept. Raises if a column ``ids`` is already there.
+    The other columns are kept; a column that is already called ``ids`` is replaced.
     """
     vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
@@ -272,7 +266,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
                 values = pa.array(np.frombuffer(b"".join(rows), np.int32))
                 yield _append(batch.slice(a, b - a), ids, pa.ListArray.from_arrays(pa.array(offsets), values))
 
-    return df.mapInArrow(run, _added(df, ids, T.ArrayType(T.IntegerType())))
+    return df.mapInArrow(run, extended(df, without(df.columns, ids), f"`{ids}` array<int>"))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -294,7 +288,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
                 out.append(b"".join(table[found].tolist()).decode("utf-8", "replace"))
             yield _append(batch, text, pa.array(out, pa.string()))
 
-    return df.mapInArrow(run, _added(df, text, T.StringType()))
+    return df.mapInArrow(run, extended(df, without(df.columns, text), f"`{text}` string"))
 
 
 def ids_digest(ids: str) -> Column:

@@ -51,6 +51,16 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def without(names: list[str], *dropped: str) -> list[str]:
+    """Columns that an operator passes on: its own results replace columns of the same name."""
+    return [n for n in names if n not in dropped]
+
+
+def extended(df: DataFrame, kept: list[str], added: str) -> str:
+    """Schema of the kept columns and the added ones."""
+    return ", ".join([*(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in kept), added])
+
+
 def slices(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` with about ``limit`` characters each, one text at least."""
     start = size = 0

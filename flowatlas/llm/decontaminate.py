@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import ALNUM, column, hashed_words, read_table, slices
+from flowatlas.llm.common import ALNUM, column, extended, hashed_words, read_table, slices, without
 
 WINDOW = 13
 #: Words of benchmark items sent to the workers at once.
@@ -157,14 +157,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
     """``docs`` without the text column, plus ``n_words`` and ``matches`` (see ``MATCH``): the longest verbatim matches
     with each item and where they lie in both.
 
-    One column of matches per block of items; a single one in the usual case of a benchmark below the bound.
+    Columns that are already called so are replaced.
     """
-    kept = [c for c in docs.columns if c != text]
-    if clash := {"n_words", "matches"} & set(kept):
-        raise ValueError(f"the table already has the columns {sorted(clash)}")
+    kept = without(docs.columns, text, "n_words", "matches")
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast(Items(ids, texts, window)) for ids, texts in item_blocks(benchmark, item_id, "text")]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), "n_words long", f"matches {MATCH}"])
+    schema = extended(docs, kept, f"n_words long, matches {MATCH}")
     kind = pa.list_(pa.struct([("item", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("words", pa.int32())]))
 
     def scan(batches):
@@ -190,6 +188,11 @@ def covered_words(found: str = "matches") -> Column:
     ), lambda s: s["total"].cast("long"))
 
 
+def contaminated() -> Column:
+    """Hit words are at least a twentieth of the document's words."""
+    return (covered_words() > 0) & (20 * covered_words() >= F.col("n_words"))
+
+
 def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document its words, hit words, matching items and whether it counts as contaminated (a twentieth of its words)."""
     found = matches(docs.select("doc_id", "text"), benchmark, window)
@@ -200,6 +203,13 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
+    # Packed, so that no column of docs can clash with a result.
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return matches(rows, benchmark, window).filter(~contaminated()).select("row.*")
+
+
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Verbatim overlap of every document with the benchmark."""
     return judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

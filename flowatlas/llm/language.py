@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import column, read_table, slices
+from flowatlas.llm.common import column, extended, read_table, slices, without
 
 LONGEST, BITS, ALPHA = 3, 15, 0.5
 #: Languages times buckets at most in the matrix sent to all workers.
@@ -111,9 +111,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[s
 
 def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
     """``docs`` without the text column, with ``lang_pred`` and ``score``."""
-    kept = [c for c in docs.columns if c != text]
-    if clash := {"lang_pred", "score"} & set(kept):
-        raise ValueError(f"the table already has the columns {sorted(clash)}")
+    kept = without(docs.columns, text, "lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -132,8 +130,7 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
                     names = [langs[k] if ok else "und" for k, ok in zip(best.tolist(), letters.tolist())]
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, n).columns, pa.array(names), pa.array(scores)], names=[*rest.schema.names, "lang_pred", "score"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), "lang_pred string, score double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, extended(docs, kept, "lang_pred string, score double"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import SPACED, column, hashed_words, read_table, slices
+from flowatlas.llm.common import SPACED, column, extended, hashed_words, read_table, slices, without
 from flowatlas.session import scratch_path
 
 #: Characters scored together; tokens a task counts before it passes its partial counts on; tokens per range of bigrams.
@@ -406,10 +406,8 @@ class Scorer:
 def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` without the text column, with ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10; perplexity is
     ``10 ** (-score / n_tokens)``)."""
-    kept = [c for c in docs.columns if c != text]
     names = ["n_tokens", "n_known", "base_score", "score"]
-    if clash := set(names) & set(kept):
-        raise ValueError(f"the table already has the columns {sorted(clash)}")
+    kept = without(docs.columns, text, *names)
 
     def run(batches):
         key = (model["folder"], "scorer")
@@ -421,9 +419,7 @@ def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             for a, b in slices(texts, BATCH_CHARS):
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, *map(pa.array, _OPEN[key].score(texts[a:b]))], names=[*rest.schema.names, *names])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema),
-                        "n_tokens long, n_known long, base_score double, score double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, extended(docs, kept, "n_tokens long, n_known long, base_score double, score double"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -11,7 +11,7 @@ the small side: their number is checked, and each worker holds an index of their
 Phrases are templates with threshold 1 whose words must also stand consecutively; that is checked inside their matching blocks.
 
 Null and empty texts have no words, no places and no labels (empty strings), score 0. Rows are treated one by one; extra
-columns are ignored by the query and kept by ``scan``.
+columns are ignored by the query and kept by ``scan``, unless they have the name of a result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import ALNUM, column, hashed_words, read_table, slices
+from flowatlas.llm.common import ALNUM, column, extended, hashed_words, read_table, slices, without
 
 #: Words between the starts of two blocks; the longest template.
 STRIDE = 64
@@ -202,10 +202,8 @@ def scan(df: DataFrame, templates: list[Template], threshold: float = THRESHOLD,
         raise ValueError(f"a template has 1 to {STRIDE + 1} words; cut longer texts into several")
     vocabulary = np.unique(hashes)
     index = df.sparkSession.sparkContext.broadcast(Index(templates, vocabulary, token_counts(df, vocabulary, text), threshold))
-    kept = [c for c in df.columns if c != text]
-    if clash := {"n_words", "places", "matches"} & set(kept):
-        raise ValueError(f"the table already has the columns {sorted(clash)}")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(kept).schema), SCAN_FIELDS])
+    kept = without(df.columns, text, "n_words", "places", "matches")
+    schema = extended(df, kept, SCAN_FIELDS)
     place = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
     match = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64()), ("containment", pa.float64())]))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowatlas.llm import common
-from flowatlas.llm.common import column, mix, read_table, slices, written
+from flowatlas.llm.common import column, extended, mix, read_table, slices, without, written
 
 #: Bound of the training sample, a documented parameter.
 SAMPLE_ROWS = 16_000
@@ -159,9 +159,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
 
 
 def scored(docs: DataFrame, weights: np.ndarray | None, text: str = "text", score: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1. Other columns are kept; raises if the score's name is taken."""
-    if score in docs.columns:
-        raise ValueError(f"the table already has a column {score!r}")
+    """``docs`` with a score from 0 to 1. Other columns are kept; one that has the score's name is replaced."""
+    kept = without(docs.columns, score)
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -172,11 +171,16 @@ def scored(docs: DataFrame, weights: np.ndarray | None, text: str = "text", scor
                 bounds, at, values = features(texts[a:b])
                 sums = _running(w[at] * values)
                 margin = sums[bounds[1:]] - sums[bounds[:-1]] + w[-1]
-                part = batch.slice(a, b - a)
+                part = batch.select(kept).slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(margin))], names=[*part.schema.names, score])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{score}` double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, extended(docs, kept, f"`{score}` double"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the cut, with the columns of ``docs``; learned from ``labels(doc_id, label)``."""
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return scored(rows, train(docs, labels)).filter(F.col("score") >= cut).select("row.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -184,14 +188,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fitted(spark, sf_dir: str) -> np.ndarray | None:
-    """Model from the labelled documents that are not held out."""
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).filter(~held_out())
-    return train(read_table(spark, sf_dir, "documents"), labels)
+def known_labels(spark, sf_dir: str) -> DataFrame:
+    """Labels that may be learned from."""
+    return read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).filter(~held_out())
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = scored(docs, fitted(spark, sf_dir))
+    rows = scored(docs, train(docs, known_labels(spark, sf_dir)))
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
