@@ -7,11 +7,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowatlas.llm import bpe
+from flowatlas.llm import bpe, decontaminate, minhash, quality, secrets
+from flowatlas.llm.common import read_table
 from flowatlas.session import shared_root
 
-#: Columns every stage but the last passes on.
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned from the labels, does not reject."""
+    return quality.accepted(docs, quality.known_labels(spark, sf_dir))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return minhash.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without too much of a benchmark item in them."""
+    return decontaminate.cleaned(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked."""
+    return secrets.redacted(docs, secrets.findings(docs))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +37,8 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.tokenized(docs, bpe.default_path())
 
 
-STAGES = [("bpe", tokenise)]
+STAGES = [("quality", keep_good), ("near_duplicates", keep_one_of_each), ("decontaminate", drop_contaminated),
+          ("secrets", mask_secrets), ("bpe", tokenise)]
 
 #: No SQL: the stages hold trained models and a tokenizer.
 ORACLE_SQL = None
