@@ -330,9 +330,10 @@ def train(docs: DataFrame, text: str = "text") -> dict:
         if not os.path.exists(os.path.join(folder, f"follow{k}.npy")):
             _save(folder, f"follow{k}", np.zeros((int(model["offsets"][k + 1] - model["offsets"][k]), 4), np.int64))
             _save(folder, f"preceded{k}", np.zeros(int(model["offsets"][k + 1] - model["offsets"][k]), np.int64))
-    if not words:
-        for name, empty in (("pairs", np.zeros(0, np.uint64)), ("times", np.zeros(0, np.uint8)), ("large", np.zeros((2, 0), np.int64))):
-            _save(folder, f"{name}0", empty)
+    for k in range(len(model["pair_bounds"]) + 1):
+        if not os.path.exists(os.path.join(folder, f"pairs{k}.npy")):
+            for name, empty in (("pairs", np.zeros(0, np.uint64)), ("times", np.zeros(0, np.uint8)), ("large", np.zeros((2, 0), np.int64))):
+                _save(folder, f"{name}{k}", empty)
     lower = np.sum([[0, 0, 0, 0], *(r["times"] for r in ends)], axis=0)
     pairs = sum(r["total"] for r in ends)
     model["discounts"], model["lower_discounts"] = discounts(times.tolist()), discounts(lower.tolist())
