@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters that lose their accent, and one letter without a base form that is dropped.
-ACCENTED = "İŞşĞğÜüÖöÇç"
-PLAIN = "ISsGgUuOoCc"
-DROPPED = "ı"
+
+
+def _decompositions() -> dict[str, str]:
+    """ASCII letters of every letter of the Latin blocks of Unicode that has some, by compatibility decomposition."""
+    blocks = [range(0xC0, 0x250), range(0x1E00, 0x1F00), range(0xFB00, 0xFB07)]
+    found = {chr(code): unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode() for block in blocks for code in block}
+    return {letter: plain for letter, plain in found.items() if plain}
+
+
+_SINGLE = {letter: plain for letter, plain in _decompositions().items() if len(plain) == 1}
+_SEVERAL = {letter: plain for letter, plain in _decompositions().items() if len(plain) > 1}
 
 
 def share_pct(part: Column, whole: Column) -> Column:
@@ -22,8 +31,10 @@ def ratio_to_max(value: Column, maximum: Column) -> Column:
 
 
 def slug(name: Column) -> Column:
-    """ASCII folder name: accents off, other non-ASCII dropped, lower case, spaces to underscores."""
-    plain = F.translate(name, ACCENTED + DROPPED, PLAIN)
+    """ASCII folder name: accents off (any letter that decomposes), other non-ASCII dropped, lower case, spaces to underscores."""
+    plain = F.translate(name, "".join(_SINGLE), "".join(_SINGLE.values()))
+    for letters, value in _SEVERAL.items():
+        plain = F.replace(plain, F.lit(letters), F.lit(value))
     return F.lower(F.replace(F.regexp_replace(plain, "[^\\x00-\\x7F]", ""), F.lit(" "), F.lit("_")))
 
 

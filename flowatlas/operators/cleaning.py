@@ -12,18 +12,23 @@ MIN_TRIPS = 50
 _C = F.col
 
 
+def positive(name: str) -> Column:
+    """Above zero and a number: Spark counts NaN as larger than anything."""
+    return (_C(name) > 0) & ~F.isnan(name)
+
+
 def rules(profile: str = "base") -> Column:
     """Predicate of rows to keep. ``strict`` also asks for a fare and a passenger."""
     keep = (
-        (_C("trip_distance") > 0)
-        & (_C("trip_duration_minutes") > 0)
+        positive("trip_distance")
+        & positive("trip_duration_minutes")
         & (_C("trip_duration_minutes") <= MAX_DURATION_MINUTES)
         & ~((_C("PULocationID") == _C("DOLocationID")) & (_C("trip_distance") < MIN_LOOP_DISTANCE))
     )
     if profile == "base":
         return keep
     if profile == "strict":
-        return keep & (_C("fare_amount") > 0) & (_C("passenger_count") > 0)
+        return keep & positive("fare_amount") & (_C("passenger_count") > 0)
     raise ValueError(f"unknown profile {profile!r}; use 'base' or 'strict'")
 
 
@@ -31,15 +36,6 @@ def clean(trips: DataFrame, profile: str = "base") -> DataFrame:
     return trips.filter(rules(profile))
 
 
-def exact_sum(column: Column) -> Column:
-    """Sum that does not depend on row order (decimal inside, double outside)."""
-    return F.sum(column.cast("decimal(18,4)")).cast("double")
-
-
-def exact_avg(column: Column) -> Column:
-    return exact_sum(column) / F.count(column)
-
-
 def od_edges(trips: DataFrame, profile: str = "base", min_trips: int = MIN_TRIPS) -> DataFrame:
     """Directed edges between zones. Self-loops go before grouping, so they are never shuffled."""
     return (
@@ -48,10 +44,10 @@ def od_edges(trips: DataFrame, profile: str = "base", min_trips: int = MIN_TRIPS
         .groupBy(_C("PULocationID").alias("src"), _C("DOLocationID").alias("dst"))
         .agg(
             F.count("*").alias("weight"),
-            exact_avg(_C("trip_duration_minutes")).alias("avg_duration"),
-            exact_avg(_C("trip_distance")).alias("avg_distance"),
-            exact_sum(_C("fare_amount")).alias("total_fare"),
-            exact_avg(_C("fare_amount")).alias("avg_fare"),
+            F.avg("trip_duration_minutes").alias("avg_duration"),
+            F.avg("trip_distance").alias("avg_distance"),
+            F.sum("fare_amount").alias("total_fare"),
+            F.avg("fare_amount").alias("avg_fare"),
         )
         .filter(_C("weight") >= min_trips)
     )
@@ -91,33 +87,40 @@ def pair_counts(trips: DataFrame, variants: dict[str, Column]) -> DataFrame:
     return wide.unpivot(["src", "dst"], list(variants), "variant", "n").filter(_C("n") > 0)
 
 
+def _every(table: DataFrame, name: str, values: list) -> DataFrame:
+    """``table`` with a row for each of the values; those it lacks have counts of 0."""
+    rows = table.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, values))).alias(name))
+    counts = [c for c in table.columns if c != name]
+    return rows.join(table, name, "left").select(name, *[F.coalesce(c, F.lit(0).cast(table.schema[c].dataType)).alias(c) for c in counts])
+
+
 def threshold_sweep(trips: DataFrame, thresholds: tuple[int, ...] = (40, 45, 50, 55, 60)) -> DataFrame:
     """Edges kept at each minimum trip count, without and with self-loops."""
     pairs = pair_counts(trips, {"base": rules("base")})
     levels = pairs.withColumn("min_trips", F.explode(F.array(*[F.lit(t) for t in thresholds])))
     kept = _C("n") >= _C("min_trips")
-    return levels.groupBy("min_trips").agg(
+    return _every(levels.groupBy("min_trips").agg(
         F.count_if(kept & (_C("src") != _C("dst"))).alias("edges"),
         F.count_if(kept).alias("edges_with_loops"),
-    )
+    ), "min_trips", list(thresholds))
 
 
 def filter_ablation(trips: DataFrame, min_trips: int = MIN_TRIPS) -> DataFrame:
     """Rows, edges and flow under five rule sets."""
     base = rules("base")
     variants = {
-        "distance": _C("trip_distance") > 0,
-        "distance_duration": (_C("trip_distance") > 0) & (_C("trip_duration_minutes") > 0),
+        "distance": positive("trip_distance"),
+        "distance_duration": positive("trip_distance") & positive("trip_duration_minutes"),
         "base": base,
-        "base_fare": base & (_C("fare_amount") > 0),
+        "base_fare": base & positive("fare_amount"),
         "base_passenger": base & (_C("passenger_count") > 0),
     }
     edge = (_C("src") != _C("dst")) & (_C("n") >= min_trips)
-    return pair_counts(trips, variants).groupBy("variant").agg(
+    return _every(pair_counts(trips, variants).groupBy("variant").agg(
         F.sum("n").alias("kept_rows"),
         F.count_if(edge).alias("edges"),
         F.coalesce(F.sum(F.when(edge, _C("n"))), F.lit(0)).cast("long").alias("flow"),
-    )
+    ), "variant", list(variants))
 
 
 def profile_comparison(trips: DataFrame, min_trips: int = MIN_TRIPS) -> DataFrame:
@@ -131,7 +134,7 @@ def profile_comparison(trips: DataFrame, min_trips: int = MIN_TRIPS) -> DataFram
     sizes = per_zone.groupBy(_C("variant").alias("profile")).agg(
         F.count("*").alias("nodes"), F.sum("out_edges").alias("edges"), F.sum("out_flow").cast("long").alias("flow")
     )
-    return sizes.withColumn("density", density(_C("nodes"), _C("edges")))
+    return _every(sizes, "profile", ["base", "strict"]).withColumn("density", density(_C("nodes"), _C("edges")))
 
 
 def density(nodes: Column, edges: Column) -> Column:
@@ -149,9 +152,10 @@ def zone_flow(trips: DataFrame) -> DataFrame:
         F.struct(_C("DOLocationID").alias("id"), F.lit(True).alias("inbound")),
         F.struct(_C("PULocationID").alias("id"), F.lit(False).alias("inbound")),
     )).alias("e")
-    measured = F.when(_C("trip_distance").isNotNull(), 1).otherwise(0).alias("n")
+    # Pairs first: only they are doubled, not the trips.
+    pairs = trips.groupBy("PULocationID", "DOLocationID").agg(F.count("trip_distance").alias("n"))
     return (
-        trips.select(ends, measured).filter(_C("e.id").isNotNull())
+        pairs.select(ends, "n").filter(_C("e.id").isNotNull())
         .groupBy(_C("e.id").alias("id"))
         .agg(
             F.sum(F.when(_C("e.inbound"), _C("n")).otherwise(0)).alias("inbound"),

@@ -4,34 +4,33 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
+from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids
 from flowatlas.operators.components import largest_component
 from flowatlas.session import settle
 
-EXACT_UPTO = 1000
-PIVOTS = 500
 ROWS_PER_BATCH = 200_000_000
 
 
 def distances(edges: DataFrame, sources: DataFrame, vertices: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """``(keys..., source, id, dist)`` over edges ``(src, dst, cost)`` with positive cost.
 
-    Frontier relaxation: only vertices whose distance fell in the last round send along their edges;
-    loops carry the known distances, so a round is one join and one combined aggregation.
+    Frontier relaxation: only vertices whose distance fell in the last round meet their edges. What they send and the
+    known distances go through one aggregation.
     """
     zero = F.lit(0).cast(dict(edges.dtypes)["cost"])
-    links = Adjacency(with_loops(edges.select(*keys, "src", "dst", "cost"), vertices.select(*keys, "id"),
-                                 {"cost": zero}), sources.count() * vertices.count(), keys)
+    links = Adjacency(edges.select(*keys, "src", "dst", "cost"), sources.count() * vertices.count(), keys)
     state = settle(sources.select(*keys, F.col("id").alias("source"), "id", zero.alias("dist"),
                                   F.lit(True).alias("fresh")))
     while True:
-        sent = links.push(state).filter(F.col("loop") | F.col("fresh"))
-        best, old = F.min(F.col("dist") + F.col("cost")), F.max(F.when(F.col("loop"), F.col("dist")))
+        sent = links.push(state.filter("fresh")).select(
+            *keys, "source", F.col("dst").alias("id"), (F.col("dist") + F.col("cost")).alias("dist"), F.lit(None).cast(dict(state.dtypes)["dist"]).alias("old"))
+        known = state.select(*keys, "source", "id", "dist", F.col("dist").alias("old"))
         state = settle(
-            sent.groupBy(*keys, "source", F.col("dst").alias("id")).agg(best.alias("dist"), old.alias("old"))
+            known.unionByName(sent).groupBy(*keys, "source", "id").agg(F.min("dist").alias("dist"), F.max("old").alias("old"))
             .select(*keys, "source", "id", "dist", (F.col("old").isNull() | (F.col("dist") < F.col("old"))).alias("fresh"))
         )
         if state.filter("fresh").isEmpty():
@@ -86,11 +85,11 @@ def pivots(vertices: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 
 def betweenness(edges: DataFrame, cost: str = "weight", sample: int | None = None, seed: int = 42,
-                exact_upto: int = EXACT_UPTO) -> DataFrame:
+                rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
     """``(id, betweenness)``, directed and normalised by (n-1)(n-2).
 
-    Exact up to ``exact_upto`` vertices, else from ``PIVOTS`` sources scaled by n/k; ``sample``
-    forces a number of sources. Only (source, vertex) rows are kept, never (source, target, vertex).
+    Exact at any size; with ``sample=k`` from k sources, scaled by n/k. Sources run in batches by a hash of their id, as
+    many as keep the (source, vertex) rows of one batch near ``rows_per_batch``. Rows (source, target, vertex) are never made.
 
     With D the distances, an edge (u, v) is tight for s when D(s,u) + cost = D(s,v). Shortest-path
     counts are sums over tight edges, hop by hop; the dependency of s on v is
@@ -99,12 +98,25 @@ def betweenness(edges: DataFrame, cost: str = "weight", sample: int | None = Non
     """
     vertices = settle(vertex_ids(edges))
     n = vertices.count()
-    k = sample or (n if n <= exact_upto else PIVOTS)
+    k = min(sample or n, n)
     sources = vertices if k >= n else settle(pivots(vertices, k, seed))
-    k = min(k, n)
     priced = settle(edges.select("src", "dst", path_cost(cost).alias("cost")))
+    batches = max(1, -(-n * k // rows_per_batch))
+    parts = []
+    for batch in range(batches):
+        chosen = sources.filter(F.pmod(F.xxhash64("id"), F.lit(batches)) == batch) if batches > 1 else sources
+        parts.append(settle(_dependencies(priced, chosen, vertices, n * k // batches)))
+    dependency = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("raw").alias("raw"))
+    scale = (n / max(k, 1)) / ((n - 1) * (n - 2)) if n > 2 else 0.0
+    return vertices.join(dependency, "id", "left").select(
+        "id", (F.coalesce("raw", F.lit(0.0)) * F.lit(scale)).alias("betweenness")
+    )
+
+
+def _dependencies(priced: DataFrame, sources: DataFrame, vertices: DataFrame, rows: int) -> DataFrame:
+    """``(id, raw)``: dependency of the given sources on every vertex, summed."""
     dist = distances(priced, sources, vertices)
-    links = Adjacency(priced, n * k)
+    links = Adjacency(priced, rows)
     reached = dist.select("source", F.col("id").alias("dst"), F.col("dist").alias("there"))
     tight = settle(
         links.push(dist).withColumn("there", F.col("dist") + F.col("cost"))
@@ -116,18 +128,17 @@ def betweenness(edges: DataFrame, cost: str = "weight", sample: int | None = Non
     ).withColumnRenamed("x", "paths")
     paths = settle(paths)
     back = _sum_along(tight, paths.select("source", "id", (1.0 / F.col("paths")).alias("x")), "dst", "src")
-    dependency = paths.join(back, ["source", "id"]).filter(F.col("source") != F.col("id")).groupBy("id").agg(
+    return paths.join(back, ["source", "id"]).filter(F.col("source") != F.col("id")).groupBy("id").agg(
         F.sum(F.col("paths") * F.col("x") - 1.0).alias("raw")
     )
-    scale = (n / max(k, 1)) / ((n - 1) * (n - 2)) if n > 2 else 0.0
-    return vertices.join(dependency, "id", "left").select(
-        "id", (F.coalesce("raw", F.lit(0.0)) * F.lit(scale)).alias("betweenness")
-    )
 
 
 def _sum_along(tight: DataFrame, start: DataFrame, tail: str, head: str) -> DataFrame:
     """Total of ``start`` values carried along all tight walks of every length (a DAG per source)."""
-    hops = tight.select("source", F.col(tail).alias("id"), F.col(head).alias("to"))
+    # Laid out once by the key of every hop's join; only the values move.
+    width = int(tight.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hops = tight.select("source", F.col(tail).alias("id"), F.col(head).alias("to")).repartition(width, "source", "id") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     levels, current = [start], start
     while True:
         current = settle(
@@ -136,4 +147,5 @@ def _sum_along(tight: DataFrame, start: DataFrame, tail: str, head: str) -> Data
         if current.isEmpty():
             break
         levels.append(current)
+    hops.unpersist()
     return reduce(DataFrame.unionByName, levels).groupBy("source", "id").agg(F.sum("x").alias("x"))

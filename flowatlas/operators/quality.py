@@ -20,10 +20,13 @@ def quality_report(df: DataFrame) -> DataFrame:
         row = ("FAIL", ",".join(errors), ",".join(warnings), *[None] * 7)
         return df.sparkSession.createDataFrame([row], schema)
     duration_bad = F.count_if(F.col(DURATION) <= 0) if DURATION in df.columns else F.lit(0).cast("long")
-    counts = df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(F.col("trip_distance") <= 0).alias("zero_distance"),
-        duration_bad.alias("zero_duration"),
+    # Counted per pair of zones first: distinct ends next to plain counts would make Spark copy every trip three times.
+    pairs = df.groupBy("PULocationID", "DOLocationID").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("trip_distance") <= 0).alias("no_distance"), duration_bad.alias("no_duration"))
+    counts = pairs.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("no_distance"), F.lit(0)).alias("zero_distance"),
+        F.coalesce(F.sum("no_duration"), F.lit(0)).cast("long").alias("zero_duration"),
         F.count_distinct("PULocationID").alias("unique_pu"),
         F.count_distinct("DOLocationID").alias("unique_do"),
     )

@@ -20,7 +20,7 @@ from flowatlas.operators.removal import Removal
 from flowatlas.plans import fixtures as fx
 from flowatlas.session import scratch_path, settle
 from flowatlas.sources import sinks, zones as zone_sources
-from flowatlas.sources.trips import IBB_MAPPING, TLC_MAPPING, merge_sources, read_any, read_trips, to_trips
+from flowatlas.sources.trips import IBB_MAPPING, TLC_MAPPING, read_any, read_months, read_trips, to_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,10 @@ def query(function: Query) -> Query:
     return function
 
 
+#: Removals after which the thinned depot graph falls apart.
+SPLITTING = 12
+
+
 def _r(name: str, digits: int = 8) -> Column:
     return F.round(F.col(name), digits).alias(name)
 
@@ -41,14 +45,27 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 # --- cleaning and aggregation -------------------------------------------------------------------
 
+def _edge_sums(edges: DataFrame) -> DataFrame:
+    """The order in which doubles are added does not show in six digits of the sums."""
+    means = [(F.round(F.col(c) * F.col("weight"), 6) / F.col("weight")).alias(c) for c in ("avg_duration", "avg_distance", "avg_fare")]
+    return edges.select("src", "dst", "weight", _r("total_fare", 6), *means)
+
+
 @query
 def od_edges_base(spark, sf):
-    return cleaning.od_edges(fx.trips(spark, sf), "base")
+    return _edge_sums(cleaning.od_edges(fx.trips(spark, sf), "base"))
+
+
+@query
+def od_edges_fine(spark, sf):
+    """Distances and fares with endless decimals."""
+    trips = fx.trips(spark, sf)
+    return _edge_sums(cleaning.od_edges(trips.withColumns({c: F.col(c) / 7 for c in ("trip_distance", "fare_amount")})))
 
 
 @query
 def od_edges_strict(spark, sf):
-    return cleaning.od_edges(fx.trips(spark, sf), "strict")
+    return _edge_sums(cleaning.od_edges(fx.trips(spark, sf), "strict"))
 
 
 @query
@@ -99,9 +116,9 @@ def _pair_totals(trips: DataFrame) -> DataFrame:
     """Small fingerprint of a trip relation that uses every column."""
     return trips.groupBy(F.col("PULocationID").alias("src"), F.col("DOLocationID").alias("dst")).agg(
         F.count("*").alias("trips"),
-        cleaning.exact_sum(F.col("trip_distance")).alias("distance"),
-        cleaning.exact_sum(F.col("trip_duration_minutes")).alias("minutes"),
-        cleaning.exact_sum(F.col("fare_amount")).alias("fare"),
+        F.round(F.sum("trip_distance"), 6).alias("distance"),
+        F.sum("trip_duration_minutes").alias("minutes"),
+        F.round(F.sum("fare_amount"), 6).alias("fare"),
         F.sum("passenger_count").alias("passengers"),
         F.date_format(F.min("pickup_datetime"), "yyyy-MM-dd HH:mm:ss").alias("first_pickup"),
         F.date_format(F.max("dropoff_datetime"), "yyyy-MM-dd HH:mm:ss").alias("last_dropoff"),
@@ -120,14 +137,22 @@ def convert_tlc_trips(spark, sf):
 
 @query
 def merge_sources_monthly(spark, sf):
-    """Trips written as one Parquet folder per half year and merged again."""
-    trips = settle(fx.trips(spark, sf))
+    """Trips written once, partitioned by half year, and the two parts merged again."""
+    root = scratch_path(spark, "halves")
+    trips = fx.trips(spark, sf)
+    trips.withColumn("half", F.when(F.month("pickup_datetime") <= 6, "first").otherwise("second")).write.partitionBy("half").parquet(root)
+    # A part is a folder of its own to the reader, named by its extension.
+    return _pair_totals(read_months(spark, [f"{root}/half={half}/*.parquet" for half in ("first", "second")]))
+
+
+@query
+def merge_mixed_types(spark, sf):
+    """Two months in which the passenger count has different types."""
+    trips = fx.trips(spark, sf)
     early = F.month("pickup_datetime") <= 6
-    written = [
-        sinks.write_table(trips.filter(keep), scratch_path(spark, f"{name}.parquet"))
-        for name, keep in (("first", early), ("second", ~early))
-    ]
-    return _pair_totals(to_trips(merge_sources(spark, written)))
+    as_double = trips.filter(~early).withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    written = [sinks.write_table(part, scratch_path(spark, f"{name}.parquet")) for name, part in (("int", trips.filter(early)), ("double", as_double))]
+    return _pair_totals(read_months(spark, written))
 
 
 @query
@@ -136,7 +161,7 @@ def glob_scan(spark, sf):
     root = scratch_path(spark, "months")
     month = F.date_format("pickup_datetime", "yyyy-MM")
     fx.trips(spark, sf).withColumn("month", month).write.partitionBy("month").parquet(root)
-    return _pair_totals(to_trips(spark.read.parquet(f"{root}/month=*")))
+    return _pair_totals(read_trips(spark, f"{root}/month=*/*.parquet"))
 
 
 def _round_trip(spark, sf, extension: str) -> DataFrame:
@@ -164,6 +189,35 @@ def source_roundtrip_json(spark, sf):
     return _round_trip(spark, sf, "jsonl")
 
 
+@query
+def source_json_lines(spark, sf):
+    """One record per line in files called ``.json``."""
+    return _round_trip(spark, sf, "json")
+
+
+@query
+def source_json_array(spark, sf):
+    """One array over many lines per file, a file per nation and quarter, called ``.json``."""
+    trips = fx.trips(spark, sf)
+    path = scratch_path(spark, "arrays.json")
+    rows = trips.groupBy("PULocationID", F.quarter("pickup_datetime").alias("quarter")).agg(F.collect_list(F.struct(*trips.columns)).alias("rows"))
+    rows.select(F.replace(F.to_json("rows"), F.lit("},{"), F.lit("},\n{")).alias("value")) \
+        .write.option("maxRecordsPerFile", 1).text(path)
+    return _pair_totals(read_trips(spark, path))
+
+
+@query
+def source_dotted_dates(spark, sf):
+    """A feed with dates such as 15.01.2023 10:00:00; every tenth pickup cannot be read."""
+    raw = fx.raw_feed(spark, sf, IBB_MAPPING)
+    dotted = {c: F.date_format(c, "dd.MM.yyyy HH:mm:ss") for c in ("BINIS_TARIH", "INIS_TARIH")}
+    broken = F.when(F.col("YOLCU_SAYISI") == 3, F.lit("unknown")).otherwise(dotted["BINIS_TARIH"])
+    path = sinks.write_table(raw.withColumns({**dotted, "BINIS_TARIH": broken}), scratch_path(spark, "dotted.csv"))
+    trips = read_trips(spark, path, IBB_MAPPING, timestamp_formats=["dd.MM.yyyy HH:mm:ss"])
+    month = F.coalesce(F.date_format("pickup_datetime", "yyyy-MM"), F.lit("unreadable"))
+    return trips.groupBy(month.alias("month")).agg(F.count("*").alias("trips"), F.sum("trip_duration_minutes").alias("minutes"))
+
+
 @query
 def source_lenient_ts(spark, sf):
     """Pickup times as text, every order divisible by 10 broken; broken text becomes null."""
@@ -245,12 +299,12 @@ def graph_stats(spark, sf):
 
 @query
 def edge_weight_hist(spark, sf):
-    return graph.edge_weight_histogram(settle(fx.depot_edges(spark, sf))).drop("log_count")
+    return graph.edge_weight_histogram(settle(fx.depot_edges(spark, sf))).withColumn("log_count", _r("log_count"))
 
 
 @query
 def degree_hist(spark, sf):
-    return graph.degree_histogram(settle(fx.depot_edges(spark, sf))).drop("log_count")
+    return graph.degree_histogram(settle(fx.depot_edges(spark, sf))).withColumn("log_count", _r("log_count"))
 
 
 @query
@@ -265,9 +319,9 @@ def undirected_edges(spark, sf):
 
 @query
 def isolated_ratio(spark, sf):
-    """Depots (all suppliers) that carry no busy edge."""
+    """Depots (all suppliers) without an edge of at least ``MIN_MOVES`` moves."""
     depots = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
-    edges = fx.busy_depot_edges(spark, sf)
+    edges = fx.depot_graph(spark, sf, fx.MIN_MOVES)
     return graph.isolated_ratio(graph.add_isolated(vertex_ids(edges), depots), edges)
 
 
@@ -307,13 +361,15 @@ def auto_zone_tiers(spark, sf):
 @query
 def slug_names(spark, sf):
     """Folder names of zones, with accented letters added to exercise the rule."""
-    accented = F.concat(F.lit("Şehir İç Ağ ı "), F.col("n_name"))
+    accented = F.concat(F.lit("Şehir İç Ağ ı "), F.col("n_name"), F.lit(" São Málaga Kâğıthane Ærø Łódź Ǆ ﬁ ộ"))
     return fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("zone_id"), slug(accented).alias("slug"))
 
 
 @query
 def format_counts(spark, sf):
-    per_zone = cleaning.zone_flow(fx.trips(spark, sf)).select("id", (F.col("flow") * 37).alias("flow"))
+    factor = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 37).otherwise(3_701)
+    small = F.when(F.col("id") % 6 == 0, F.col("flow") % 1_000).otherwise(F.col("flow") * factor)
+    per_zone = cleaning.zone_flow(fx.trips(spark, sf)).select("id", small.cast("long").alias("flow"))
     return per_zone.select("id", "flow", compact_count(F.col("flow")).alias("shown"))
 
 
@@ -326,7 +382,7 @@ def pagerank_weighted(spark, sf):
 
 @query
 def pagerank_unweighted(spark, sf):
-    return pagerank(fx.busy_depot_edges(spark, sf), weighted=False, max_iter=20).select("id", _r("pagerank"))
+    return pagerank(fx.depot_graph(spark, sf), weighted=False, max_iter=20).select("id", _r("pagerank"))
 
 
 @query
@@ -336,8 +392,8 @@ def pagerank_converged(spark, sf):
     return scores.select("id", _r("pagerank"))
 
 
-def _ranked_zones(spark, sf) -> tuple[DataFrame, DataFrame]:
-    edges = fx.busy_depot_edges(spark, sf)
+def _ranked_zones(spark, sf, min_trips: int = 1) -> tuple[DataFrame, DataFrame]:
+    edges = fx.depot_graph(spark, sf, min_trips)
     return edges, settle(pagerank(edges))
 
 
@@ -355,7 +411,7 @@ def top40_subgraph(spark, sf):
 
 @query
 def betweenness_exact(spark, sf):
-    return paths.betweenness(fx.busy_depot_edges(spark, sf)).select("id", _r("betweenness"))
+    return paths.betweenness(fx.depot_graph(spark, sf)).select("id", _r("betweenness"))
 
 
 @query
@@ -365,7 +421,7 @@ def betweenness_hops(spark, sf):
 
 @query
 def betweenness_sampled(spark, sf):
-    return paths.betweenness(fx.busy_depot_edges(spark, sf), sample=50).select("id", _r("betweenness"))
+    return paths.betweenness(fx.depot_graph(spark, sf), sample=50).select("id", _r("betweenness"))
 
 
 @query
@@ -399,37 +455,37 @@ def pr_vs_betweenness(spark, sf):
 
 @query
 def wcc(spark, sf):
-    return components.weak_components(fx.busy_depot_edges(spark, sf))
+    return components.weak_components(fx.depot_graph(spark, sf, fx.MIN_MOVES))
 
 
 @query
 def scc(spark, sf):
-    return components.strong_components(fx.busy_depot_edges(spark, sf))
+    return components.strong_components(fx.depot_graph(spark, sf, fx.MIN_MOVES))
 
 
 @query
 def component_sizes(spark, sf):
-    return components.group_sizes(components.weak_components(fx.busy_depot_edges(spark, sf)), "component")
+    return components.group_sizes(components.weak_components(fx.depot_graph(spark, sf, fx.MIN_MOVES)), "component")
 
 
 @query
 def largest_component(spark, sf):
-    return components.largest_component(fx.busy_depot_edges(spark, sf))
+    return components.largest_component(fx.depot_graph(spark, sf, fx.MIN_MOVES))
 
 
 @query
 def label_propagation(spark, sf):
-    return community.label_propagation(fx.busy_depot_edges(spark, sf))
+    return community.label_propagation(fx.depot_graph(spark, sf))
 
 
 @query
 def community_sizes(spark, sf):
-    return components.group_sizes(community.label_propagation(fx.busy_depot_edges(spark, sf)), "label")
+    return components.group_sizes(community.label_propagation(fx.depot_graph(spark, sf)), "label")
 
 
 @query
 def community_summary(spark, sf):
-    edges = fx.busy_depot_edges(spark, sf)
+    edges = fx.depot_graph(spark, sf)
     scores = settle(pagerank(edges))
     names = graph.named_vertices(vertex_ids(edges), fx.zones(spark, sf))
     summary = community.community_summary(community.label_propagation(edges), scores, names)
@@ -438,18 +494,18 @@ def community_summary(spark, sf):
 
 @query
 def modularity(spark, sf):
-    edges = fx.busy_depot_edges(spark, sf)
+    edges = fx.depot_graph(spark, sf)
     return community.modularity(edges, community.label_propagation(edges)).select(_r("modularity"))
 
 
 @query
 def louvain(spark, sf):
-    return community.louvain(fx.busy_depot_edges(spark, sf))
+    return community.louvain(fx.depot_graph(spark, sf))
 
 
 @query
 def louvain_summary(spark, sf):
-    edges = fx.busy_depot_edges(spark, sf)
+    edges = fx.depot_graph(spark, sf)
     scores = settle(pagerank(edges))
     names = graph.named_vertices(vertex_ids(edges), fx.zones(spark, sf))
     return community.community_summary(settle(community.louvain(edges)), scores, names)
@@ -457,14 +513,14 @@ def louvain_summary(spark, sf):
 
 @query
 def avg_path_length(spark, sf):
-    return paths.average_path_length(fx.busy_depot_edges(spark, sf)).select("core_size", _r("avg_path"))
+    return paths.average_path_length(fx.depot_graph(spark, sf)).select("core_size", _r("avg_path"))
 
 
 # --- removal ------------------------------------------------------------------------------------------
 
-def _removal(spark, sf) -> Removal:
-    edges, scores = _ranked_zones(spark, sf)
-    return Removal(edges, scores)
+def _removal(spark, sf, min_trips: int = 1, k: int = 5) -> Removal:
+    edges, scores = _ranked_zones(spark, sf, min_trips)
+    return Removal(edges, scores, k)
 
 
 @query
@@ -474,7 +530,7 @@ def removal_flow(spark, sf):
 
 @query
 def removal_components(spark, sf):
-    return _removal(spark, sf).components()
+    return _removal(spark, sf, fx.MIN_MOVES, SPLITTING).components()
 
 
 @query
@@ -489,7 +545,7 @@ def removal_new_top3(spark, sf):
 
 @query
 def removal_timeline(spark, sf):
-    table = _removal(spark, sf).timeline()
+    table = _removal(spark, sf, fx.MIN_MOVES, SPLITTING).timeline()
     return _rounded(
         table, "remaining_flow_pct", "remaining_edge_pct", "avg_path", "flow_drop", "cumulative_loss"
     )
@@ -614,7 +670,7 @@ def map_document(spark, sf):
 
 @query
 def full_stats(spark, sf):
-    edges = fx.busy_depot_edges(spark, sf)
+    edges = fx.depot_graph(spark, sf)
     groups = community.label_propagation(edges).withColumnRenamed("label", "community")
     return report.full_stats(edges, components.weak_components(edges), groups)
 
@@ -632,20 +688,20 @@ def summary_report(spark, sf):
 
 @query
 def random_walks(spark, sf):
-    return embed.walk_rows(embed.random_walks(fx.busy_depot_edges(spark, sf)))
+    return embed.walk_rows(embed.random_walks(fx.depot_graph(spark, sf)))
 
 
 @query
 def node_embeddings(spark, sf):
-    edges = fx.busy_depot_edges(spark, sf)
+    edges = fx.depot_graph(spark, sf)
     vectors = embed.train_vectors(embed.random_walks(edges))
     return embed.check_coverage(vertex_ids(edges), vectors).select("id", F.size("vector").alias("dimensions"))
 
 
 @query
 def embedding_coverage(spark, sf):
-    """Depots of the whole graph for which the driver table has no vector."""
-    return embed.missing_vectors(vertex_ids(fx.depot_edges(spark, sf)), fx.vectors(spark, sf))
+    """Customers, taken as zones, for which the driver table has no vector."""
+    return embed.missing_vectors(fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), fx.vectors(spark, sf))
 
 
 @query

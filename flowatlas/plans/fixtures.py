@@ -83,12 +83,13 @@ def depot_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moves.filter(_C("src") != _C("dst")).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def busy_depot_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Depot edges carrying at least twice the mean weight (the minimum-trips rule, set from the data)."""
-    edges = settle(depot_edges(spark, sf_dir))
-    totals = edges.agg(F.sum("weight").alias("w"), F.count("*").alias("c"))
-    weight, count = totals.select("w").scalar(), totals.select("c").scalar()
-    return settle(edges.filter(_C("weight") * count >= 2 * weight))
+#: Minimum number of moves in queries about components: without it every depot is linked with every other one.
+MIN_MOVES = 12
+
+
+def depot_graph(spark: SparkSession, sf_dir: str, min_trips: int = 1) -> DataFrame:
+    """Depot edges with at least ``min_trips`` moves (the minimum-trips rule), aggregated once."""
+    return settle(depot_edges(spark, sf_dir).filter(_C("weight") >= min_trips))
 
 
 def outlines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,13 +34,13 @@ ZONES = """zones AS (
 
 
 def _sum(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"sum({x})"
 
 
 def _edges(keep: str, minimum: int = 50) -> str:
     return f"""SELECT pu AS src, dz AS dst, count(*) AS weight,
-      {_sum('dur')} / count(*) AS avg_duration, {_sum('dist')} / count(*) AS avg_distance,
-      {_sum('fare')} AS total_fare, {_sum('fare')} / count(*) AS avg_fare
+      round({_sum('dur')}, 6) / count(*) AS avg_duration, round({_sum('dist')}, 6) / count(*) AS avg_distance,
+      round({_sum('fare')}, 6) AS total_fare, round({_sum('fare')}, 6) / count(*) AS avg_fare
     FROM trips WHERE {keep} AND pu <> dz GROUP BY pu, dz HAVING count(*) >= {minimum}"""
 
 
@@ -50,8 +50,7 @@ DEPOTS = """depots AS MATERIALIZED (
     SELECT l_suppkey AS src, l_partkey % (SELECT count(*) FROM supplier) AS dst FROM lineitem)
   WHERE src <> dst GROUP BY src, dst)"""
 ALL = [ZONES, DEPOTS, "e AS MATERIALIZED (SELECT * FROM depots)"]
-BUSY = [ZONES, DEPOTS, """e AS MATERIALIZED (
-  SELECT * FROM depots WHERE weight * (SELECT count(*) FROM depots) >= 2 * (SELECT sum(weight) FROM depots))"""]
+THIN = [ZONES, DEPOTS, "e AS MATERIALIZED (SELECT * FROM depots WHERE weight >= 12)"]
 VERTICES = "v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e)"
 NAMED = """names AS (
   SELECT id, coalesce(zone_name, 'Zone-' || id) AS name, coalesce(latitude, 0) AS latitude,
@@ -149,25 +148,30 @@ def label_chain(rounds: int = 5) -> list[str]:
 
 LABELS = label_chain()
 
-REMOVAL = [
-    f"removed AS MATERIALIZED (SELECT id, CAST(n AS INTEGER) AS step FROM (SELECT id, row_number() OVER (ORDER BY {score_order('pagerank')}) AS n FROM pr) WHERE n <= 5)",
-    """ed AS MATERIALIZED (
-  SELECT e.src, e.dst, e.weight, least(coalesce(a.step, 6), coalesce(b.step, 6)) AS death
+def removal(k: int) -> list[str]:
+    """Graphs left after each of the k best-ranked vertices is removed in turn."""
+    return [
+        f"removed AS MATERIALIZED (SELECT id, CAST(n AS INTEGER) AS step FROM (SELECT id, row_number() OVER (ORDER BY {score_order('pagerank')}) AS n FROM pr) WHERE n <= {k})",
+        f"""ed AS MATERIALIZED (
+  SELECT e.src, e.dst, e.weight, least(coalesce(a.step, {k + 1}), coalesce(b.step, {k + 1})) AS death
   FROM e LEFT JOIN removed a ON e.src = a.id LEFT JOIN removed b ON e.dst = b.id)""",
-    "vd AS MATERIALIZED (SELECT v.id, coalesce(step, 6) AS death FROM v LEFT JOIN removed r ON v.id = r.id)",
-    "steps AS (SELECT CAST(range AS INTEGER) AS step FROM range(6))",
-    "es AS MATERIALIZED (SELECT step, src, dst, weight FROM ed JOIN steps ON step < death)",
-    "vs AS MATERIALIZED (SELECT step, id FROM vd JOIN steps ON step < death)",
-    """flow AS MATERIALIZED (
+        f"vd AS MATERIALIZED (SELECT v.id, coalesce(step, {k + 1}) AS death FROM v LEFT JOIN removed r ON v.id = r.id)",
+        f"steps AS (SELECT CAST(range AS INTEGER) AS step FROM range({k + 1}))",
+        "es AS MATERIALIZED (SELECT step, src, dst, weight FROM ed JOIN steps ON step < death)",
+        "vs AS MATERIALIZED (SELECT step, id FROM vd JOIN steps ON step < death)",
+        """flow AS MATERIALIZED (
   SELECT s.step, r.id AS removed_id,
-         CAST((SELECT coalesce(sum(weight), 0) FROM ed WHERE death > s.step) AS BIGINT) AS remaining_flow,
-         (SELECT count(*) FROM ed WHERE death > s.step) AS remaining_edges,
-         (SELECT count(*) FROM v) - s.step AS nodes_remaining
+             CAST((SELECT coalesce(sum(weight), 0) FROM ed WHERE death > s.step) AS BIGINT) AS remaining_flow,
+             (SELECT count(*) FROM ed WHERE death > s.step) AS remaining_edges,
+             (SELECT count(*) FROM v) - s.step AS nodes_remaining
   FROM steps s LEFT JOIN removed r ON s.step = r.step)""",
-    """flow_pct AS MATERIALIZED (
+        """flow_pct AS MATERIALIZED (
   SELECT *, 100.0::DOUBLE * remaining_flow / CAST((SELECT sum(weight) FROM e) AS DOUBLE) AS remaining_flow_pct,
-         100.0::DOUBLE * remaining_edges / CAST((SELECT count(*) FROM e) AS DOUBLE) AS remaining_edge_pct FROM flow)""",
-]
+             100.0::DOUBLE * remaining_edges / CAST((SELECT count(*) FROM e) AS DOUBLE) AS remaining_edge_pct FROM flow)""",
+    ]
+
+
+REMOVAL = removal(5)
 REMOVAL_WCC = ["""rreach AS (
   SELECT step, id AS a, id AS b FROM vs UNION
   SELECT r.step, r.a, x.dst FROM rreach r
@@ -198,6 +202,8 @@ _r = "round({0}, 8) AS {0}".format
 # --- cleaning and aggregation ------------------------------------------------------------------------------
 
 ORACLES["od_edges_base"] = sql([TRIPS], _edges(BASE))
+ORACLES["od_edges_fine"] = sql([TRIPS.replace("l_quantity * l_discount AS", "l_quantity * l_discount / 7 AS").replace(
+    "l_extendedprice * l_tax AS", "l_extendedprice * l_tax / 7 AS")], _edges(BASE))
 ORACLES["od_edges_strict"] = sql([TRIPS], _edges(STRICT))
 ORACLES["cleaning_report"] = sql([TRIPS], " UNION ALL ".join(
     f"""SELECT '{p}' AS profile, count(*) AS raw_rows, count(*) FILTER ({k}) AS kept_rows,
@@ -245,13 +251,16 @@ ORACLES["zone_flow"] = sql([TRIPS, ZONE_FLOW], "SELECT * FROM zf")
 
 # --- sources: every round trip must give back the same trips ------------------------------------------------
 
-_PAIRS = f"""SELECT pu AS src, dz AS dst, count(*) AS trips, {_sum('dist')} AS distance, {_sum('dur')} AS minutes,
-  {_sum('fare')} AS fare, CAST(sum(pass) AS BIGINT) AS passengers,
+_PAIRS = f"""SELECT pu AS src, dz AS dst, count(*) AS trips, round({_sum('dist')}, 6) AS distance, {_sum('dur')} AS minutes,
+  round({_sum('fare')}, 6) AS fare, CAST(sum(pass) AS BIGINT) AS passengers,
   strftime(min(pickup_datetime), '%Y-%m-%d %H:%M:%S') AS first_pickup,
   strftime(max(dropoff_datetime), '%Y-%m-%d %H:%M:%S') AS last_dropoff FROM trips GROUP BY pu, dz"""
 for _name in ("convert_mapped_trips", "convert_tlc_trips", "merge_sources_monthly", "glob_scan",
-              "source_roundtrip_parquet", "source_roundtrip_csv", "source_roundtrip_tsv", "source_roundtrip_json"):
+              "source_roundtrip_parquet", "source_roundtrip_csv", "source_roundtrip_tsv", "source_roundtrip_json",
+              "source_json_lines", "source_json_array", "merge_mixed_types"):
     ORACLES[_name] = sql([TRIPS], _PAIRS)
+ORACLES["source_dotted_dates"] = sql([TRIPS], """SELECT CASE WHEN pass = 3 THEN 'unreadable' ELSE strftime(pickup_datetime, '%Y-%m') END AS month,
+  count(*) AS trips, sum(CASE WHEN pass <> 3 THEN dur END) AS minutes FROM trips GROUP BY 1""")
 ORACLES["source_lenient_ts"] = """SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'unreadable' ELSE strftime(o_orderdate, '%Y-%m') END AS month,
   count(*) AS orders FROM orders GROUP BY 1"""
 ORACLES["zone_lookup_files"] = """SELECT n_nationkey AS zone_id, n_name AS zone_name,
@@ -280,7 +289,7 @@ ORACLES["graph_stats"] = sql([*ALL, VERTICES], _STATS.format(""))
 
 
 def _histogram(relation: str, column: str, bins: int) -> str:
-    return f"""SELECT bin, lo + bin * w / {bins} AS lower, lo + (bin + 1) * w / {bins} AS upper, count(*) AS n FROM (
+    return f"""SELECT bin, lo + bin * w / {bins} AS lower, lo + (bin + 1) * w / {bins} AS upper, count(*) AS n, round(log10(count(*)), 8) AS log_count FROM (
       SELECT CAST(least(floor((x - lo) * {bins} / w), {bins - 1}) AS INTEGER) AS bin, lo, w FROM (
         SELECT CAST({column} AS DOUBLE) AS x FROM {relation}) a, (
         SELECT CASE WHEN max({column}) = min({column}) THEN min({column}) - 0.5 ELSE min({column}) END::DOUBLE AS lo,
@@ -294,7 +303,7 @@ ORACLES["distribution_summary"] = sql([*ALL, FLOWS], """SELECT CAST(sum(degree)
   (SELECT CAST(median(weight) AS DOUBLE) FROM e) AS median_weight FROM flows""")
 ORACLES["undirected_edges"] = sql(ALL, """SELECT least(src, dst) AS src, greatest(src, dst) AS dst,
   CAST(sum(weight) AS BIGINT) AS weight FROM e GROUP BY 1, 2""")
-ORACLES["isolated_ratio"] = sql([*BUSY, VERTICES], """SELECT *, isolated / CAST(nodes AS DOUBLE) AS ratio,
+ORACLES["isolated_ratio"] = sql([*THIN, VERTICES], """SELECT *, isolated / CAST(nodes AS DOUBLE) AS ratio,
   isolated / CAST(nodes AS DOUBLE) > 0.2 AS fragmented FROM (
     SELECT count(*) AS nodes, count(*) FILTER (id NOT IN (SELECT id FROM v)) AS isolated FROM (
       SELECT s_suppkey AS id FROM supplier UNION SELECT id FROM v))""")
@@ -318,32 +327,33 @@ ORACLES["auto_zone_tiers"] = sql([TRIPS, ZONES, ZONE_FLOW], """SELECT id, coales
   FROM (SELECT *, CAST(row_number() OVER (ORDER BY flow DESC, id) AS INTEGER) AS rank, count(*) OVER () AS n,
                greatest(1, CAST(floor(count(*) OVER () * 0.1) AS BIGINT)) AS hot FROM zf)
   LEFT JOIN zones ON id = zone_id""")
-ORACLES["slug_names"] = "SELECT n_nationkey AS zone_id, 'sehir_ic_ag__' || replace(lower(n_name), ' ', '_') AS slug FROM nation"
-ORACLES["format_counts"] = sql([TRIPS, ZONE_FLOW], """SELECT id, flow * 37 AS flow,
-  CASE WHEN flow * 37 >= 1000000 THEN (t // 10) || ',' || (t % 10) || 'M'
-       WHEN flow * 37 >= 1000 THEN CAST(floor(flow * 37 / 1000 + 0.5) AS BIGINT) || 'K'
-       ELSE CAST(flow * 37 AS VARCHAR) END AS shown
-  FROM (SELECT *, CAST(floor(flow * 37 / 100000 + 0.5) AS BIGINT) AS t FROM zf)""")
+ORACLES["slug_names"] = "SELECT n_nationkey AS zone_id, 'sehir_ic_ag__' || replace(lower(n_name), ' ', '_') || '_sao_malaga_kagthane_r_odz_dz_fi_o' AS slug FROM nation"
+ORACLES["format_counts"] = sql([TRIPS, ZONE_FLOW], """SELECT id, f AS flow,
+  CASE WHEN f >= 1000000 THEN (t // 10) || ',' || (t % 10) || 'M'
+       WHEN f >= 1000 THEN CAST(floor(f / 1000 + 0.5) AS BIGINT) || 'K'
+       ELSE CAST(f AS VARCHAR) END AS shown
+  FROM (SELECT id, f, CAST(floor(f / 100000 + 0.5) AS BIGINT) AS t FROM (
+    SELECT id, CAST(CASE WHEN id % 6 = 0 THEN flow % 1000 WHEN id % 3 = 0 THEN flow WHEN id % 3 = 1 THEN flow * 37 ELSE flow * 3701 END AS BIGINT) AS f FROM zf))""")
 
 # --- ranks -----------------------------------------------------------------------------------------------------------
 
 _PR = f"SELECT id, {_r('pagerank')} FROM pr"
 ORACLES["pagerank_weighted"] = sql([*ALL, *RANKED], _PR)
-ORACLES["pagerank_unweighted"] = sql([*BUSY, VERTICES, *rank_chain(20, weighted=False)], _PR)
+ORACLES["pagerank_unweighted"] = sql([*ALL, VERTICES, *rank_chain(20, weighted=False)], _PR)
 ORACLES["pagerank_converged"] = sql([*ALL, VERTICES, *rank_chain(30)], _PR)
 _PLACED = f"SELECT *, CAST(row_number() OVER (ORDER BY {score_order('pagerank')}) AS INTEGER) AS rank FROM pr"
-ORACLES["critical_tiers"] = sql([*BUSY, *RANKED], f"""SELECT rank, id, CASE WHEN rank <= 3 THEN 'critical'
+ORACLES["critical_tiers"] = sql([*ALL, *RANKED], f"""SELECT rank, id, CASE WHEN rank <= 3 THEN 'critical'
   WHEN rank <= 7 THEN 'high' WHEN rank <= 15 THEN 'medium' ELSE 'normal' END AS tier, {_r('pagerank')}
   FROM ({_PLACED}) WHERE rank <= 15""")
-ORACLES["top40_subgraph"] = sql([*BUSY, *RANKED, f"best AS (SELECT id FROM ({_PLACED}) WHERE rank <= 40)"],
+ORACLES["top40_subgraph"] = sql([*ALL, *RANKED, f"best AS (SELECT id FROM ({_PLACED}) WHERE rank <= 40)"],
                                 "SELECT src, dst, weight FROM e WHERE src IN (SELECT id FROM best) AND dst IN (SELECT id FROM best)")
 _BW = f"SELECT id, {_r('betweenness')} FROM bw"
-ORACLES["betweenness_exact"] = sql([*BUSY, VERTICES, *BETWEEN], _BW)
+ORACLES["betweenness_exact"] = sql([*ALL, VERTICES, *BETWEEN], _BW)
 ORACLES["betweenness_hops"] = sql([*CITY, VERTICES, *distance_chain("1", 4)], _BW)
 ORACLES["betweenness_sampled"] = sql(
-    [*BUSY, VERTICES, "pivots AS MATERIALIZED (SELECT id FROM v ORDER BY md5(id || '#42'), id LIMIT 50)",
+    [*ALL, VERTICES, "pivots AS MATERIALIZED (SELECT id FROM v ORDER BY md5(id || '#42'), id LIMIT 50)",
      *distance_chain("weight", 6, "pivots")], _BW)
-ORACLES["rank_disagreement"] = sql([*BUSY, *RANKED, *BETWEEN], f"""SELECT id, {_r('betweenness')},
+ORACLES["rank_disagreement"] = sql([*ALL, *RANKED, *BETWEEN], f"""SELECT id, {_r('betweenness')},
   round(betweenness / (SELECT max(betweenness) FROM bw), 8) AS betweenness_norm, betweenness_rank, pagerank_rank,
   pagerank_rank - betweenness_rank AS gap FROM (
     SELECT bw.id, betweenness,
@@ -352,48 +362,48 @@ ORACLES["rank_disagreement"] = sql([*BUSY, *RANKED, *BETWEEN], f"""SELECT id, {_
     FROM bw JOIN pr ON bw.id = pr.id)""")
 _HEAT_COLUMNS = ("pagerank", "betweenness", "in_centrality", "out_centrality")
 ORACLES["centrality_heat"] = sql(
-    [*BUSY, *RANKED, *BETWEEN, FLOWS, CENTRALITY, f"""t AS (SELECT p.rank, p.id, pagerank, betweenness, in_centrality, out_centrality
+    [*ALL, *RANKED, *BETWEEN, FLOWS, CENTRALITY, f"""t AS (SELECT p.rank, p.id, pagerank, betweenness, in_centrality, out_centrality
       FROM ({_PLACED}) p JOIN bw ON p.id = bw.id JOIN deg ON p.id = deg.id WHERE rank <= 20)"""],
     "SELECT rank, id, " + ", ".join(f"round(CASE WHEN max({c}) OVER () > 0 THEN {c} / max({c}) OVER () ELSE 0 END, 8) AS {c}" for c in _HEAT_COLUMNS) + " FROM t")
 ORACLES["degree_heat"] = sql(
-    [*BUSY, *RANKED, FLOWS, f"t AS (SELECT p.rank, p.id, pagerank, CAST(degree AS DOUBLE) AS degree FROM ({_PLACED}) p JOIN flows f ON p.id = f.id WHERE rank <= 20)"],
+    [*ALL, *RANKED, FLOWS, f"t AS (SELECT p.rank, p.id, pagerank, CAST(degree AS DOUBLE) AS degree FROM ({_PLACED}) p JOIN flows f ON p.id = f.id WHERE rank <= 20)"],
     "SELECT rank, id, " + ", ".join(f"round({c} / max({c}) OVER (), 8) AS {c}" for c in ("pagerank", "degree")) + " FROM t")
-ORACLES["pr_vs_betweenness"] = sql([*BUSY, *RANKED, *BETWEEN, FLOWS, CENTRALITY], f"""SELECT p.id, {_r('pagerank')}, {_r('betweenness')},
+ORACLES["pr_vs_betweenness"] = sql([*ALL, *RANKED, *BETWEEN, FLOWS, CENTRALITY], f"""SELECT p.id, {_r('pagerank')}, {_r('betweenness')},
   round(greatest(in_centrality * 2000, 20), 8) AS size, rank <= 5 AS labelled
   FROM ({_PLACED}) p JOIN bw ON p.id = bw.id JOIN deg ON p.id = deg.id""")
 
 # --- components, communities, paths -----------------------------------------------------------------------------------
 
-ORACLES["wcc"] = sql([*BUSY, VERTICES, *WCC], "SELECT * FROM wcc")
-ORACLES["component_sizes"] = sql([*BUSY, VERTICES, *WCC], "SELECT component, count(*) AS size FROM wcc GROUP BY component")
-ORACLES["largest_component"] = sql([*BUSY, VERTICES, *WCC], """SELECT id FROM wcc WHERE component = (
+ORACLES["wcc"] = sql([*THIN, VERTICES, *WCC], "SELECT * FROM wcc")
+ORACLES["component_sizes"] = sql([*THIN, VERTICES, *WCC], "SELECT component, count(*) AS size FROM wcc GROUP BY component")
+ORACLES["largest_component"] = sql([*THIN, VERTICES, *WCC], """SELECT id FROM wcc WHERE component = (
   SELECT component FROM wcc GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)""")
-ORACLES["scc"] = sql([*BUSY, VERTICES, """reach AS (
+ORACLES["scc"] = sql([*THIN, VERTICES, """reach AS (
   SELECT id AS a, id AS b FROM v UNION SELECT reach.a, e.dst FROM reach JOIN e ON reach.b = e.src)"""],
     """SELECT x.a AS id, min(x.b) AS component FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY x.a""")
-ORACLES["label_propagation"] = sql([*BUSY, VERTICES, *LABELS], "SELECT * FROM lp")
-ORACLES["community_sizes"] = sql([*BUSY, VERTICES, *LABELS], "SELECT label, size FROM sizes")
+ORACLES["label_propagation"] = sql([*ALL, VERTICES, *LABELS], "SELECT * FROM lp")
+ORACLES["community_sizes"] = sql([*ALL, VERTICES, *LABELS], "SELECT label, size FROM sizes")
 _SUMMARY = """SELECT s.community, s.label, s.size, round(CAST(100 AS DOUBLE) * s.size / (SELECT count(*) FROM v), 8) AS share_pct,
   (SELECT string_agg(name, '; ' ORDER BY id) FROM (SELECT c.id, name FROM comm c JOIN names n ON c.id = n.id
      WHERE c.label = s.label ORDER BY c.id LIMIT 5)) AS top_members,
   round((SELECT avg(pagerank) FROM comm c JOIN pr ON c.id = pr.id WHERE c.label = s.label), 8) AS avg_pagerank
   FROM sizes s"""
-ORACLES["community_summary"] = sql([*BUSY, *RANKED, NAMED, *LABELS], _SUMMARY)
-ORACLES["modularity"] = sql([*BUSY, VERTICES, *LABELS], """SELECT round(sum(i) / max(m) - sum(t * t) / (max(m) * max(m)), 8) AS modularity FROM (
+ORACLES["community_summary"] = sql([*ALL, *RANKED, NAMED, *LABELS], _SUMMARY)
+ORACLES["modularity"] = sql([*ALL, VERTICES, *LABELS], """SELECT round(sum(i) / max(m) - sum(t * t) / (max(m) * max(m)), 8) AS modularity FROM (
   SELECT a.label, CAST(sum(weight) AS DOUBLE) AS t, CAST(coalesce(sum(weight) FILTER (a.label = b.label), 0) AS DOUBLE) AS i,
          CAST((SELECT 2 * sum(weight) FROM e) AS DOUBLE) AS m
   FROM (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e) x
     JOIN lp a ON x.src = a.id JOIN lp b ON x.dst = b.id GROUP BY a.label)""")
 _STEP0 = ["es AS MATERIALIZED (SELECT 0 AS step, src, dst FROM e)", "vs AS MATERIALIZED (SELECT 0 AS step, id FROM v)"]
-ORACLES["avg_path_length"] = sql([*BUSY, VERTICES, *_STEP0, *REMOVAL_WCC, *REMOVAL_PATHS],
+ORACLES["avg_path_length"] = sql([*ALL, VERTICES, *_STEP0, *REMOVAL_WCC, *REMOVAL_PATHS],
                                  f"SELECT core_size, {_r('avg_path')} FROM rpaths")
 
 # --- removal ------------------------------------------------------------------------------------------------------------
 
-ORACLES["removal_flow"] = sql([*BUSY, *RANKED, *REMOVAL], """SELECT step, removed_id, remaining_flow, remaining_edges,
+ORACLES["removal_flow"] = sql([*ALL, *RANKED, *REMOVAL], """SELECT step, removed_id, remaining_flow, remaining_edges,
   remaining_flow_pct, remaining_edge_pct, nodes_remaining FROM flow_pct""")
-ORACLES["removal_components"] = sql([*BUSY, *RANKED, *REMOVAL, *REMOVAL_WCC], "SELECT * FROM rcount")
-ORACLES["removal_paths"] = sql([*BUSY, *RANKED, *REMOVAL, *REMOVAL_WCC, *REMOVAL_PATHS],
+ORACLES["removal_components"] = sql([*THIN, *RANKED, *removal(12), *REMOVAL_WCC], "SELECT * FROM rcount")
+ORACLES["removal_paths"] = sql([*ALL, *RANKED, *REMOVAL, *REMOVAL_WCC, *REMOVAL_PATHS],
                                f"SELECT step, core_size, {_r('avg_path')} FROM rpaths")
 
 
@@ -412,7 +422,7 @@ def _step_ranks() -> list[str]:
     return ctes
 
 
-ORACLES["removal_new_top3"] = sql([*BUSY, *RANKED, *REMOVAL, *_step_ranks()], """SELECT step, CAST(place AS INTEGER) AS place, id,
+ORACLES["removal_new_top3"] = sql([*ALL, *RANKED, *REMOVAL, *_step_ranks()], """SELECT step, CAST(place AS INTEGER) AS place, id,
   round(r, 8) AS pagerank FROM (SELECT step, id, r, row_number() OVER (PARTITION BY step ORDER BY CAST(r AS FLOAT) DESC, id) AS place FROM q_10)
   WHERE place <= 3""")
 _TIMELINE = """SELECT *, round(sum(flow_drop_raw) OVER (ORDER BY step), 8) AS cumulative_loss, round(flow_drop_raw, 8) AS flow_drop FROM (
@@ -421,7 +431,7 @@ _TIMELINE = """SELECT *, round(sum(flow_drop_raw) OVER (ORDER BY step), 8) AS cu
     coalesce(lag(num_components) OVER (ORDER BY f.step) = 1 AND num_components > 1, false) AS splits
   FROM flow_pct f JOIN rcount c ON f.step = c.step{1})"""
 ORACLES["removal_timeline"] = sql(
-    [*BUSY, *RANKED, *REMOVAL, *REMOVAL_WCC, *REMOVAL_PATHS],
+    [*THIN, *RANKED, *removal(12), *REMOVAL_WCC, *REMOVAL_PATHS],
     f"""SELECT step, removed_id, remaining_flow, remaining_edges, {_r('remaining_flow_pct')}, {_r('remaining_edge_pct')},
     nodes_remaining, num_components, {_r('avg_path')}, flow_drop, cumulative_loss, splits FROM (
     {_TIMELINE.format(', avg_path', ' JOIN rpaths p ON f.step = p.step')})""")
@@ -453,7 +463,7 @@ ORACLES["geo_feed"] = sql([*_CITY_ALL, f"shown AS (SELECT * FROM ({_LOCATED}) OR
   FROM ({_PLACED}) p JOIN names n ON p.id = n.id JOIN comm c ON p.id = c.id WHERE latitude <> 0 AND longitude <> 0
   UNION ALL SELECT 'edge', src, dst, round(0.3::DOUBLE + weight / (SELECT max(weight) FROM shown)::DOUBLE * 2, 8),
     round(0.05::DOUBLE + weight / (SELECT max(weight) FROM shown)::DOUBLE * 0.3::DOUBLE, 8), NULL FROM shown""")
-ORACLES["topology_feed"] = sql([*BUSY, *RANKED, *LABELS, f"best AS MATERIALIZED (SELECT * FROM ({_PLACED}) WHERE rank <= 40)",
+ORACLES["topology_feed"] = sql([*ALL, *RANKED, *LABELS, f"best AS MATERIALIZED (SELECT * FROM ({_PLACED}) WHERE rank <= 40)",
     "inner_e AS MATERIALIZED (SELECT * FROM e WHERE src IN (SELECT id FROM best) AND dst IN (SELECT id FROM best))"], """
   SELECT 'node' AS kind, b.id, CAST(NULL AS BIGINT) AS dst, round(pagerank * 30000, 8) AS size, community, rank <= 15 AS labelled
   FROM best b JOIN comm c ON b.id = c.id
@@ -464,7 +474,7 @@ ORACLES["visible_map"] = sql([*CITY, *RANKED, NAMED, f"placed AS MATERIALIZED ({
   FROM placed p JOIN names n ON p.id = n.id WHERE latitude <> 0 AND longitude <> 0 AND rank <= 15
   UNION ALL SELECT * FROM (SELECT 'edge', src, dst, NULL::BOOLEAN FROM shown WHERE src_lat <> 0 AND dst_lat <> 0
     AND src NOT IN (SELECT id FROM gone) AND dst NOT IN (SELECT id FROM gone) ORDER BY weight DESC, src, dst LIMIT 40)""")
-ORACLES["full_stats"] = sql([*BUSY, VERTICES, *WCC, *LABELS], _STATS.format(
+ORACLES["full_stats"] = sql([*ALL, VERTICES, *WCC, *LABELS], _STATS.format(
     ", (SELECT count(DISTINCT component) FROM wcc) AS components, (SELECT count(*) FROM sizes) AS communities"))
 ORACLES["map_document"] = sql([*_CITY_ALL, *BETWEEN, _FEATURES, *REMOVAL, *REMOVAL_WCC], f"""
   SELECT 'node' AS section, CAST(rank AS BIGINT) AS seq, CAST(id AS BIGINT) AS id, CAST(NULL AS BIGINT) AS dst, name,
@@ -485,7 +495,7 @@ ORACLES["summary_report"] = sql([*_CITY_ALL, *REMOVAL, *REMOVAL_WCC], f"""
 
 # --- walks and vectors ------------------------------------------------------------------------------------------------------
 
-ORACLES["random_walks"] = sql([*BUSY, VERTICES,
+ORACLES["random_walks"] = sql([*ALL, VERTICES,
     "r AS MATERIALIZED (SELECT src, dst, sum(weight) OVER w AS hi, sum(weight) OVER w - weight AS lo, sum(weight) OVER (PARTITION BY src) AS total FROM e WINDOW w AS (PARTITION BY src ORDER BY dst ROWS UNBOUNDED PRECEDING))",
     "t AS MATERIALIZED (SELECT DISTINCT src, CAST(total AS BIGINT) AS total FROM r)",
     f"""walk AS (
@@ -495,7 +505,7 @@ ORACLES["random_walks"] = sql([*BUSY, VERTICES,
     AND r.lo <= floor({_UNIFORM("walk_id || '#' || (pos + 1) || '#42'")} * t.total)
     AND floor({_UNIFORM("walk_id || '#' || (pos + 1) || '#42'")} * t.total) < r.hi
   WHERE pos < 79)"""], "SELECT walk_id, pos, node FROM walk")
-ORACLES["embedding_coverage"] = sql([*ALL, VERTICES], "SELECT id FROM v WHERE id NOT IN (SELECT vec_id FROM embeddings)")
+ORACLES["embedding_coverage"] = "SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT vec_id FROM embeddings)"
 _VECTORS = """vec AS MATERIALIZED (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
  lens AS MATERIALIZED (SELECT id, x, sqrt(list_sum(list_transform(x, lambda a: a * a))) AS n FROM vec)"""
 _COSINE = "list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) / (a.n * b.n)"
@@ -505,7 +515,7 @@ ORACLES["cosine_topn"] = sql([*ALL, FLOWS, _VECTORS,
     SELECT anchor, id, s, row_number() OVER (PARTITION BY anchor ORDER BY CAST(s AS FLOAT) DESC, id) AS place FROM (
       SELECT a.id AS anchor, b.id, {_COSINE} AS s FROM lens a JOIN lens b ON a.id <> b.id WHERE a.id IN (SELECT id FROM anchors)))
   WHERE place <= 5""")
-ORACLES["similar_zones"] = sql([*BUSY, *RANKED, NAMED, _VECTORS, f"placed AS MATERIALIZED ({_PLACED})"], f"""
+ORACLES["similar_zones"] = sql([*ALL, *RANKED, NAMED, _VECTORS, f"placed AS MATERIALIZED ({_PLACED})"], f"""
   SELECT s.anchor, a.name AS anchor_name, p.rank AS anchor_rank, CAST(place AS INTEGER) AS place, s.id, n.name,
     round(s.s, 8) AS similarity, round(q.pagerank, 8) AS pagerank FROM (
     SELECT anchor, id, s, row_number() OVER (PARTITION BY anchor ORDER BY CAST(s AS FLOAT) DESC, id) AS place FROM (

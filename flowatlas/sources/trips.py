@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,9 +45,33 @@ IBB_MAPPING = {
 }
 
 
-def read_any(spark: SparkSession, path: str) -> DataFrame:
+def _json_layout(spark: SparkSession, path: str) -> str:
+    """``document`` if the files hold one array or object each, ``lines`` if every line is a record.
+
+    Seen from the first line: a record that ends in it, or an array that does, can be read line by line.
+    """
+    first = spark.read.text(path).filter(F.trim("value") != "").select(F.trim("value")).first()
+    text = first[0] if first else ""
+    return "lines" if text[:1] + text[-1:] in ("{}", "[]", "") else "document"
+
+
+def _read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """JSON files with one root value each; a file with more would lose all but the first, so it is refused."""
+    roots = spark.read.text(path, wholetext=True).filter(F.col("value").rlike(r"^\s*\{[\s\S]*\}\s*\{") | F.col("value").rlike(r"\]\s*\[\s*\{"))
+    if not roots.isEmpty():
+        raise ValueError(f"{path}: more than one root value in a file; read it with layout='lines'")
+    return spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+
+
+def read_any(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """Read by extension (glob patterns too). Text formats arrive as strings, so there is no
-    inference scan; ``to_trips`` gives them their types."""
+    inference scan; ``to_trips`` gives them their types.
+
+    JSON records come one per line (``layout="lines"``) or as one array or object per file (``"document"``); for
+    ``.json`` the layout is seen from the first line if it is not given.
+    """
+    if layout not in (None, "lines", "document"):
+        raise ValueError(f"unknown layout {layout!r}; use 'lines' or 'document'")
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
     reader = spark.read
     if extension == ".parquet":
@@ -56,7 +81,10 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     elif extension == ".tsv":
         load = reader.option("header", True).option("sep", "\t").csv
     elif extension == ".json":
-        load = reader.option("multiLine", True).option("primitivesAsString", True).json
+        def load(path):
+            if (layout or _json_layout(spark, path)) == "document":
+                return _read_documents(spark, path)
+            return reader.option("primitivesAsString", True).json(path)
     elif extension in (".jsonl", ".ndjson"):
         load = reader.option("primitivesAsString", True).json
     else:
@@ -74,18 +102,22 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({s: t for t, s in mapping.items() if s in df.columns})
 
 
-def lenient_timestamp(df: DataFrame, name: str) -> Column:
-    """Zone-less timestamp; text that is not a date becomes null instead of failing the job."""
+def lenient_timestamp(df: DataFrame, name: str, formats: list[str] | None = None) -> Column:
+    """Zone-less timestamp; text that is not a date becomes null instead of failing the job.
+
+    ``formats`` are tried in turn before the ISO form, for example ``dd.MM.yyyy HH:mm:ss``.
+    """
     if dict(df.dtypes)[name] == "string":
-        return F.expr(f"try_cast(`{name}` AS timestamp_ntz)")
+        tried = [F.try_to_timestamp(F.col(name), F.lit(f)).cast("timestamp_ntz") for f in formats or []]
+        return F.coalesce(*tried, F.expr(f"try_cast(`{name}` AS timestamp_ntz)"))
     return F.col(name).cast("timestamp_ntz")
 
 
-def derive_duration(df: DataFrame) -> DataFrame:
+def derive_duration(df: DataFrame, formats: list[str] | None = None) -> DataFrame:
     """Add the duration in minutes when the feed has none."""
     if DURATION in df.columns or not {"pickup_datetime", "dropoff_datetime"} <= set(df.columns):
         return df
-    df = df.withColumns({c: lenient_timestamp(df, c) for c in ("pickup_datetime", "dropoff_datetime")})
+    df = df.withColumns({c: lenient_timestamp(df, c, formats) for c in ("pickup_datetime", "dropoff_datetime")})
     micros = F.timestamp_diff("MICROSECOND", F.col("pickup_datetime"), F.col("dropoff_datetime"))
     return df.withColumn(DURATION, micros / 60e6)
 
@@ -98,15 +130,15 @@ def require_columns(df: DataFrame, columns: list[str] = REQUIRED) -> DataFrame:
     return df.select(*columns)
 
 
-def to_trips(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+def to_trips(df: DataFrame, mapping: dict[str, str] | None = None, timestamp_formats: list[str] | None = None) -> DataFrame:
     """Rename, derive the duration and give every column its declared type."""
-    df = require_columns(derive_duration(rename_columns(df, mapping or {})))
+    df = require_columns(derive_duration(rename_columns(df, mapping or {}), timestamp_formats))
     columns = []
     for field in TRIP_SCHEMA:
         if df.schema[field.name].dataType == field.dataType:
             value = F.col(field.name)  # untouched, so filters on it still reach the scan
         elif isinstance(field.dataType, T.TimestampNTZType):
-            value = lenient_timestamp(df, field.name)
+            value = lenient_timestamp(df, field.name, timestamp_formats)
         elif isinstance(field.dataType, T.IntegerType):
             # "3.0" is how integer columns with gaps arrive as text.
             value = F.col(field.name).try_cast("double").try_cast("int")
@@ -116,8 +148,18 @@ def to_trips(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
     return df.select(*columns)
 
 
-def read_trips(spark: SparkSession, path: str, mapping: dict[str, str] | None = None) -> DataFrame:
-    return to_trips(read_any(spark, path), mapping)
+def read_trips(spark: SparkSession, path: str, mapping: dict[str, str] | None = None, layout: str | None = None,
+               timestamp_formats: list[str] | None = None) -> DataFrame:
+    return to_trips(read_any(spark, path, layout), mapping, timestamp_formats)
+
+
+def read_months(spark: SparkSession, paths: list[str], mapping: dict[str, str] | None = None) -> DataFrame:
+    """Several inputs whose columns may differ in type (an integer in one month, a double in the next): each one is read
+    and cast on its own before the union."""
+    if not paths:
+        raise ValueError("no input files")
+    parts = [read_trips(spark, path, mapping) for path in sorted(set(paths))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def merge_sources(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -89,6 +89,13 @@ def test_sampled_betweenness_uses_its_pivots(graph):
     assert got == pytest.approx(brute.betweenness(edges, ids, lambda w: w, chosen), abs=1e-12)
 
 
+def test_betweenness_stays_exact_on_larger_graphs(spark):
+    """400 chains of three: 1,200 vertices, sources in several batches, only the middles lie between others."""
+    chains = [(3 * k, 3 * k + 1, 1) for k in range(400)] + [(3 * k + 1, 3 * k + 2, 1) for k in range(400)]
+    got = as_map(paths.betweenness(spark.createDataFrame(chains, SCHEMA), cost="hops", rows_per_batch=500_000), "betweenness")
+    assert got == pytest.approx({v: (v % 3 == 1) / (1199 * 1198) for v in range(1200)}, abs=1e-15)
+
+
 @pytest.mark.parametrize("rows_per_batch", [80, 10**9])
 def test_average_path(graph, rows_per_batch):
     edges, ids, df = graph

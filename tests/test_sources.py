@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowatlas.operators import report
 from flowatlas.session import scratch_path, shared_root
 from flowatlas.sources import sinks, zones
-from flowatlas.sources.trips import (IBB_MAPPING, TRIP_SCHEMA, merge_sources, read_any, read_trips, require_columns,
+from flowatlas.sources.trips import (IBB_MAPPING, TRIP_SCHEMA, merge_sources, read_any, read_months, read_trips, require_columns,
                                      to_trips)
 
 CSV = """pickup_datetime,dropoff_datetime,PULocationID,DOLocationID,trip_distance,trip_duration_minutes,fare_amount,passenger_count
@@ -34,6 +34,33 @@ def test_formats_and_lenient_values(spark, tmp_path):
         read_any(spark, str(tmp_path / "none*.csv"))
 
 
+def test_json_layouts(spark, tmp_path):
+    records = [{"pickup_datetime": "2023-01-01 00:00:00", "dropoff_datetime": "2023-01-01 00:01:30", "PULocationID": k,
+                "DOLocationID": 2, "trip_distance": 2.0, "fare_amount": 3.0, "passenger_count": 1} for k in range(5)]
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(r) for r in records))
+    (tmp_path / "array.json").write_text(json.dumps(records, indent=1))
+    (tmp_path / "one.json").write_text(json.dumps(records[0], indent=1))
+    (tmp_path / "several.json").write_text("\n".join(json.dumps(r, indent=1) for r in records))
+    assert [read_trips(spark, str(tmp_path / f"{n}.json")).count() for n in ("lines", "array", "one")] == [5, 5, 1]
+    with pytest.raises(ValueError, match="more than one root"):
+        read_any(spark, str(tmp_path / "several.json"))
+    with pytest.raises(ValueError, match="more than one root"):
+        read_any(spark, str(tmp_path / "lines.json"), layout="document")
+    with pytest.raises(ValueError, match="layout"):
+        read_any(spark, str(tmp_path / "lines.json"), layout="x")
+
+
+def test_dotted_dates_and_mixed_months(spark, tmp_path):
+    (tmp_path / "d.csv").write_text(CSV.replace("2023-01-01", "15.01.2023"))
+    rows = read_trips(spark, str(tmp_path / "d.csv"), timestamp_formats=["dd.MM.yyyy HH:mm:ss"]).collect()
+    assert rows[0]["pickup_datetime"].day == 15 and rows[1]["dropoff_datetime"] is None
+    trips = read_trips(spark, str(tmp_path / "d.csv"))
+    trips.write.parquet(str(tmp_path / "a.parquet"))
+    trips.withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(str(tmp_path / "b.parquet"))
+    merged = read_months(spark, [str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet")])
+    assert merged.count() == 4 and merged.schema == TRIP_SCHEMA
+
+
 def test_mapping_skips_absent_and_gate_names_missing(spark):
     df = spark.createDataFrame([("2023-01-01 00:00:00", "2023-01-01 01:00:00", 1, 2, 3.0)],
                                "BINIS_TARIH string, INIS_TARIH string, BINIS_BOLGE_ID int, INIS_BOLGE_ID int, MESAFE_KM double")

@@ -182,3 +182,21 @@ def test_text_functions(spark):
     rows = df.select(slug(F.col("name")).alias("s"), compact_count(F.col("n")).alias("c")).collect()
     assert [r["s"] for r in rows] == ["istanbul_sisli", "ag__o", "nyc"]
     assert [r["c"] for r in rows] == ["1,2M", "1000K", "12"]
+    others = spark.createDataFrame([("São Tomé Kâğıthane Łódź ñ ǆ ﬀ ộ",)], "name string")
+    assert others.select(slug(F.col("name"))).first()[0] == "sao_tome_kagthane_odz_n_dz_ff_o"
+
+
+def test_sums_are_not_rounded_and_nan_is_no_distance(spark):
+    rows = [(1, 2, 1.23456789, 5.0, 1e15, 1), (1, 2, 2.0, 5.0, 0.123456789, 1), (1, 2, float("nan"), 5.0, 1.0, 1), (1, 2, 1.0, float("nan"), 1.0, 1)]
+    trips = spark.createDataFrame(rows, "PULocationID int, DOLocationID int, trip_distance double, trip_duration_minutes double, fare_amount double, passenger_count int")
+    edge = cleaning.od_edges(trips, min_trips=1).first()
+    assert (edge["weight"], edge["avg_distance"], edge["total_fare"]) == (2, pytest.approx(1.617283945, abs=1e-12), pytest.approx(1e15 + 0.123456789))
+
+
+def test_reports_keep_empty_variants(spark):
+    rows = [(1, 2, 1.0, 5.0, 0.0, 0)]
+    trips = spark.createDataFrame(rows, "PULocationID int, DOLocationID int, trip_distance double, trip_duration_minutes double, fare_amount double, passenger_count int")
+    ablation = {r["variant"]: r["kept_rows"] for r in cleaning.filter_ablation(trips, 1).collect()}
+    assert ablation == {"distance": 1, "distance_duration": 1, "base": 1, "base_fare": 0, "base_passenger": 0}
+    assert {r["profile"]: r["edges"] for r in cleaning.profile_comparison(trips, 1).collect()} == {"base": 1, "strict": 0}
+    assert cleaning.threshold_sweep(trips.limit(0)).count() == 5
