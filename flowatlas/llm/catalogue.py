@@ -9,11 +9,12 @@ from flowatlas.llm.language import op6_language
 from flowatlas.llm.language_model import op8_language_model
 from flowatlas.llm.licenses import op2_license_scan
 from flowatlas.llm.minhash import op7_minhash
+from flowatlas.llm.oracle import ORACLES
 from flowatlas.llm.quality import op4_quality
 from flowatlas.llm.secrets import op10_secrets
-from flowatlas.llm.urls import ORACLE as URL_SQL, op5_url_filter
+from flowatlas.llm.urls import op5_url_filter
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_license_scan, op3_embedding_forest, op4_quality, op5_url_filter, op6_language, op7_minhash, op8_language_model, op9_decontaminate, op10_secrets)}
 
-ORACLES: dict[str, str] = {"op5_url_filter": URL_SQL}
+__all__ = ["ORACLES", "QUERIES"]

@@ -212,4 +212,4 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Verbatim overlap of every document with the benchmark."""
-    return judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("longest")
