@@ -18,12 +18,16 @@ from flowatlas.operators.rank import pagerank
 from flowatlas.session import settle
 
 STEP = ("step",)
+#: Removed zones travel to all tasks and every step is a copy of the graph.
+MAX_REMOVED = 1_000
 
 
 class Removal:
     """Cumulative removal of the ``k`` highest scores ``(id, pagerank)``."""
 
     def __init__(self, edges: DataFrame, scores: DataFrame, k: int = 5):
+        if not 0 < k <= MAX_REMOVED:
+            raise ValueError(f"between 1 and {MAX_REMOVED} removals")
         self.k = k
         # k rows: small by construction, so it is broadcast.
         self.removed = settle(top_by(scores, "pagerank", k, "step").select("step", "id"))
@@ -47,7 +51,7 @@ class Removal:
             F.sum("weight").alias("w"), F.count("*").alias("c")
         )
         # From here on there are k + 2 rows at most.
-        start = self.removed.limit(1).select(F.lit(0).alias("step"), F.lit(None).cast(dict(self.removed.dtypes)["id"]).alias("id"))
+        start = self.removed.sparkSession.range(1).select(F.lit(0).alias("step"), F.lit(None).cast(dict(self.removed.dtypes)["id"]).alias("id"))
         steps = start.unionByName(self.removed)
         so_far = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
         totals = self.edges.agg(F.sum("weight").alias("w"), F.count("*").alias("c"))

@@ -11,7 +11,9 @@ from flowatlas.functions.scalar import ratio_to_max
 from flowatlas.operators.community import group_sizes_scalar
 from flowatlas.operators.graph import (degree_centrality, graph_stats, heaviest, induced_subgraph, located,
                                        map_edges, named_edges, named_vertices, per_vertex, rank_by, top_by)
+from flowatlas.operators.skew import join_unique
 from flowatlas.operators.zoning import zone_type
+from flowatlas.session import settle
 
 # Map centre used when no zone has coordinates.
 DEFAULT_CENTRE = (41.0, 29.0)
@@ -73,9 +75,9 @@ def top_bottlenecks(vertices: DataFrame, scores: DataFrame, n: int = 10) -> Data
 def centrality_heat(edges: DataFrame, scores: DataFrame, between: DataFrame, n: int = 20) -> DataFrame:
     """Four scores of the ``n`` best-ranked zones, each divided by its maximum over those zones."""
     best = top_by(scores, "pagerank", n)
-    table = best.join(between, "id", "left").join(degree_centrality(edges), "id", "left").fillna(0.0)
+    # n rows: written once, then their maxima are read from them.
+    table = settle(best.join(between, "id", "left").join(degree_centrality(edges), "id", "left").fillna(0.0))
     columns = ["pagerank", "betweenness", "in_centrality", "out_centrality"]
-    # n rows.
     largest = table.agg(*[F.max(c).alias(c) for c in columns])
     return table.select(
         "rank", "id", *[ratio_to_max(F.col(c), largest.select(c).scalar()).alias(c) for c in columns]
@@ -85,7 +87,7 @@ def centrality_heat(edges: DataFrame, scores: DataFrame, between: DataFrame, n:
 def degree_heat(edges: DataFrame, scores: DataFrame, n: int = 20) -> DataFrame:
     """PageRank and degree of the ``n`` best-ranked zones, each divided by its maximum."""
     degrees = per_vertex(edges).select("id", "degree")
-    table = top_by(scores, "pagerank", n).join(degrees, "id", "left").fillna(0)
+    table = settle(top_by(scores, "pagerank", n).join(degrees, "id", "left").fillna(0))
     largest = table.agg(F.max("pagerank").alias("p"), F.max("degree").alias("d"))
     return table.select(
         "rank", "id",
@@ -133,7 +135,7 @@ def geo_feed(edges: DataFrame, vertices: DataFrame, zones: DataFrame, scores: Da
         )
     )
     # Located first, then the limit (the map document does it the other way round).
-    shown = heaviest(located(named_edges(edges.select("src", "dst", "weight"), zones)), n)
+    shown = settle(heaviest(located(named_edges(edges.select("src", "dst", "weight"), zones)), n))
     largest = shown.agg(F.max("weight")).scalar()
     share = F.col("weight") / largest
     lines = shown.select("src", "dst", "weight", (0.3 + share * 2.0).alias("width"), (0.05 + share * 0.3).alias("opacity"))
@@ -147,7 +149,7 @@ def topology_feed(edges: DataFrame, scores: DataFrame, communities: DataFrame, n
         "id", (F.col("pagerank") * 30000.0).alias("size"), F.coalesce("community", F.lit(0)).cast("int").alias("community"),
         (F.col("rank") <= 15).alias("labelled"),
     )
-    inner = induced_subgraph(edges.select("src", "dst", "weight"), best)
+    inner = settle(induced_subgraph(edges.select("src", "dst", "weight"), best))
     share = F.col("weight") / inner.agg(F.max("weight")).scalar()
     lines = inner.select("src", "dst", "weight", (0.5 + share * 3.0).alias("width"), (0.1 + share * 0.4).alias("opacity"))
     return {"nodes": nodes, "edges": lines}
@@ -157,15 +159,14 @@ def visible_map(features: DataFrame, shown_edges: DataFrame, removed: DataFrame,
                 n_edges: int) -> dict[str, DataFrame]:
     """What the map draws after some zones were removed: the first ``n_edges`` edges touching none of
     them, and located zones that rank high enough or were removed."""
-    gone = removed.select("id")
-    untouched = (
-        shown_edges.join(F.broadcast(gone.withColumnRenamed("id", "src")), "src", "left_anti")
-        .join(F.broadcast(gone.withColumnRenamed("id", "dst")), "dst", "left_anti")
-    )
-    flags = gone.withColumn("gone", F.lit(True))
+    flags = settle(removed.select("id").distinct().withColumn("gone", F.lit(True)))
+    rows = flags.count()  # a table of the caller: sent to all tasks only below the bound
+    untouched = shown_edges
+    for end in ("src", "dst"):
+        untouched = join_unique(untouched, flags.withColumnRenamed("id", end), [end], rows, "left").filter(F.col("gone").isNull()).drop("gone")
+    located_ = features.filter((F.col("latitude") != 0) & (F.col("longitude") != 0))
     nodes = (
-        features.filter((F.col("latitude") != 0) & (F.col("longitude") != 0))
-        .join(F.broadcast(flags), "id", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+        join_unique(located_, flags, ["id"], rows, "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
         .filter((F.col("rank") <= max_rank) | F.col("gone"))
     )
     return {"nodes": nodes, "edges": heaviest(untouched, n_edges)}

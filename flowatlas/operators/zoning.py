@@ -9,6 +9,7 @@ from flowatlas.operators.adjacency import vertex_ids
 from flowatlas.operators.cleaning import zone_flow
 from flowatlas.operators.graph import top_by, zone_label
 from flowatlas.operators.ordering import global_rank
+from flowatlas.session import settle
 from flowatlas.sources.zones import CITY_DEFAULTS
 
 # Traffic weight of each kind of zone.
@@ -58,7 +59,7 @@ def critical_zones(scores: DataFrame, k: int = MEDIUM_UPTO) -> DataFrame:
 def auto_tiers(trips: DataFrame, meta: DataFrame | None = None, hotspot_pct: float = 0.10,
                secondary_pct: float = 0.15) -> DataFrame:
     """Zone table derived from raw trips: hotspot tier, then a share of the rest, by total flow."""
-    flow = zone_flow(trips)
+    flow = settle(zone_flow(trips))  # one row per zone: the trips are read once
     ranked = global_rank(flow, [F.desc("flow"), F.asc("id")])
     n = flow.agg(F.count("*")).scalar()
     hot = F.greatest(F.lit(1), F.floor(n * hotspot_pct)).cast("long")
