@@ -5,10 +5,10 @@ evaluations give twice as many values. ``ROWS`` values form a band; documents th
 documents at the threshold share none of the bands with a probability below 1e-5.
 
 Documents with the same shingle set form one class, and only classes are compared. In a bucket (one band value) every
-class is first compared with the smallest one; classes linked by then need no further comparison with each other. What is left,
-pairs of a bucket in different components, is compared too, so no link between components is missed and a group of near
-copies costs comparisons in proportion to its size, not to its square. Candidate pairs whose sizes alone rule the threshold out
-are skipped, which is exact. Sets are only made for documents in candidate pairs.
+class is first compared with the bucket's hub; classes linked by then need no further comparison with each other. Classes
+of buckets that still hold several components are joined exactly, by prefix, length and positional filters on their shingles, so no
+link between components is missed. A group of near copies thus costs comparisons in proportion to its size, not to its
+square. Sets are only made for classes in shared buckets.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ PERCENT = 75
 BROADCAST_IDS = 500_000
 BATCH_CHARS = 1_000_000
 
+_FITS = f"100 * least(size, n_shingles) >= {PERCENT} * greatest(size, n_shingles)"
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _PLACE = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _FACTOR = _RANDOM.integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,17 +112,54 @@ def _similar(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _shingle_rows(batches):
+    for batch in batches:
+        for rep, raw in zip(column(batch, "rep"), batch.column(1)):
+            found = np.frombuffer(raw.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), rep)), pa.array(found)], names=["rep", "shingle"])
+
+
+def _sets_of(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Shingle sets of the documents ``reps(rep)``, as a table."""
+    ids = written(reps.select(F.col("rep").alias("of")).distinct())
+    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    return written(rows.join(chosen, F.col("rep") == F.col("of"), "left_semi").mapInArrow(_sets, "rep long, shingles binary"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are similar enough."""
-    pairs = written(pairs)
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    chosen = F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed
-    sets = written(docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles binary"))
-    rows = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("right")), "b") \
+    rows = written(pairs).join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("right")), "b") \
         .join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("left")), "a")
     return written(rows.select("a", "b", "left", "right").mapInArrow(_similar, "a long, b long").distinct())
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """``(rep, n_shingles, component)`` of the classes in buckets that hold more than one component."""
+    keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    return written(placed.join(written(keys), "key").select("rep", "n_shingles", "component").distinct())
+
+
+def _prefix_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that can reach the threshold, by exact prefix filtering.
+
+    With the shingles of every class in one order, rarest first, a pair that has ``need`` shingles in common meets on one that has
+    no more than ``size - need`` others before it on either side. Shingles of one class alone take up such places without meeting anything.
+    """
+    rows = sets.join(open_.select("rep"), "rep", "left_semi").mapInArrow(_shingle_rows, "rep long, shingle long")
+    common = written(rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"))
+    ordered = rows.join(common, "shingle", "left").groupBy("rep").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("found"))
+    first = ordered.join(open_, "rep").select(
+        "rep", "n_shingles", "component", F.posexplode(F.slice("found", F.lit(1), F.expr(f"int(n_shingles - ceil({PERCENT} * n_shingles / 100) + 1)"))).alias("place", "token"))
+    first = written(first.filter("token.n > 1").select("rep", "n_shingles", "component", "place", F.col("token.shingle").alias("shingle")))
+    other = first.select("shingle", F.col("rep").alias("b"), F.col("n_shingles").alias("size"), F.col("component").alias("of"), F.col("place").alias("at"))
+    need = f"ceil({PERCENT} * (n_shingles + size) / {100 + PERCENT})"
+    return first.join(other, "shingle").filter("component < of").filter(_FITS) \
+        .filter(f"place <= n_shingles - {need} AND at <= size - {need}") \
+        .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``.
 
@@ -133,23 +171,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = features.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(known.groupBy("digest", "n_shingles", "bands").agg(F.min("doc_id").alias("rep")))
     entries = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    leaders = written(entries.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("leader"), F.count("*").alias("n")).filter("n > 1")
-                      .select("key", F.col("leader.rep").alias("a"), F.col("leader.n_shingles").alias("size")))
-    shared = written(entries.join(leaders, "key"))
-    fits = f"100 * least(size, n_shingles) >= {PERCENT} * greatest(size, n_shingles)"
-    pairs = shared.filter("rep <> a").filter(fits).select("a", F.col("rep").alias("b")).distinct()
-    links = _linked(pairs, docs)
+    sizes = written(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    shared = written(entries.join(sizes, "key"))
+    # The hub of a bucket is the class with most neighbours in all its buckets: in a group of copies, the text nearest to all.
+    weights = written(shared.groupBy("rep").agg(F.sum("n").alias("weight")))
+    shared = written(shared.join(weights, "rep"))
+    hubs = written(shared.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"), "n_shingles")).alias("hub"))
+                   .select("key", (-F.col("hub.rep")).alias("hub"), F.col("hub.n_shingles").alias("size")))
+    shared = written(shared.drop("weight", "n").join(hubs, "key"))
+    sets = _sets_of(shared, docs)
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    pairs = shared.filter("rep <> hub").filter(_FITS).select(F.col("hub").alias("a"), F.col("rep").alias("b")).select(*ends).distinct()
+    links = _linked(pairs, sets)
     labels = written(components(links))
-    # Members of a bucket that are not in one component by now meet each other.
-    placed = written(shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-                     .select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"), F.col("a").alias("leader")))
-    mixed = written(placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key"))
-    open_ = written(placed.join(mixed, "key"))
-    left = open_.select("key", F.col("rep").alias("a"), F.col("n_shingles").alias("size"), F.col("component").alias("of"), "leader")
-    rest = left.join(open_.drop("leader").withColumnRenamed("rep", "b"), "key") \
-        .filter("of < component AND a <> leader AND b <> leader").filter(fits) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _linked(rest, docs)
+    placed = shared.drop("size").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    rest = _prefix_pairs(_mixed(placed), sets)
+    more = _linked(rest, sets)
     if not more.isEmpty():
         labels = written(components(links.unionByName(more)))
     named = written(classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class")))
@@ -159,6 +196,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; of rows equal in id and text one.
+
+    Rows without an id stay. Only the ids of dropped documents meet the texts.
+    """
+    verdicts = written(near_duplicates(docs).select(F.col("doc_id").alias("of"), "kept"))
+    dropped = verdicts.filter("NOT kept").select("of").distinct()
+    repeated = written(verdicts.filter("kept AND of IS NOT NULL").groupBy("of").agg(F.count("*").alias("n")).filter("n > 1").select("of"))
+    dropped = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
+    rows = docs.join(dropped, docs["doc_id"].cast("long") == F.col("of"), "left_anti")
+    if repeated.isEmpty():
+        return rows
+    again = rows["doc_id"].cast("long") == F.col("of")
+    return rows.join(repeated, again, "left_anti").unionByName(rows.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
