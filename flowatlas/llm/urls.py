@@ -34,7 +34,7 @@ def url_host(url: Column) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(url, r"(?s)^(?>.*?://)[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def matched(places: DataFrame, rules: DataFrame) -> DataFrame:
