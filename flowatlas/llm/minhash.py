@@ -201,15 +201,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows without an id stay. Only the ids of dropped documents meet the texts.
     """
-    verdicts = written(near_duplicates(docs).select(F.col("doc_id").alias("of"), "kept"))
+    verdicts = written(near_duplicates(docs.select("doc_id", "text")).select(F.col("doc_id").alias("of"), "kept"))
     dropped = verdicts.filter("NOT kept").select("of").distinct()
     repeated = written(verdicts.filter("kept AND of IS NOT NULL").groupBy("of").agg(F.count("*").alias("n")).filter("n > 1").select("of"))
     dropped = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
-    rows = docs.join(dropped, docs["doc_id"].cast("long") == F.col("of"), "left_anti")
-    if repeated.isEmpty():
-        return rows
-    again = rows["doc_id"].cast("long") == F.col("of")
-    return rows.join(repeated, again, "left_anti").unionByName(rows.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    # Packed, so that no column of docs can clash with the ids.
+    rows = docs.select(F.col("doc_id").cast("long").alias("of"), "text", F.struct(*docs.columns).alias("row")).join(dropped, "of", "left_anti")
+    if not repeated.isEmpty():
+        rows = rows.join(repeated, "of", "left_anti").unionByName(rows.join(repeated, "of", "left_semi").dropDuplicates(["of", "text"]))
+    return rows.select("row.*")
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:

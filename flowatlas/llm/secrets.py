@@ -59,11 +59,13 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
     found = rows.withColumn("found", F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), 0)))
     found = found.filter(F.size("found") > 0).select("row_key", "doc_id", "path", "text", F.explode("found").alias("candidate"))
     at = F.instr("text", F.col("candidate"))
-    return found.withColumn("start", at).select(
+    placed = found.withColumn("start", at).select(
         "row_key", "doc_id", "path", "candidate", "start",
         F.expr(f"substring(text, greatest(start - {CONTEXT}, 1), least(start - 1, {CONTEXT}))").alias("before"),
         F.expr(f"substring(text, start + length(candidate), {CONTEXT})").alias("after"),
-    ).distinct()
+    )
+    # Repeated rows may differ in their source: one finding, with the first source in order.
+    return placed.groupBy("row_key", "doc_id", "candidate", "start", "before", "after").agg(F.min("path").alias("path"))
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -176,14 +178,15 @@ def per_document(docs: DataFrame, found: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with every confirmed secret replaced by a mask, wherever it stands; ``n_chars``, if there, is counted anew."""
     secrets = found.filter("secret").groupBy("row_key").agg(F.sort_array(F.collect_set("candidate"), asc=False).alias("secrets"))
-    rows = _key(docs)
     has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    changed = rows.filter(has).join(secrets, "row_key", "left").withColumn(
-        "text", F.when(F.col("secrets").isNotNull(), F.aggregate("secrets", F.col("text"), lambda text, s: F.replace(text, s, F.lit(MASK)))).otherwise(F.col("text")))
+    # Packed, so that no column of docs can clash with the key or the secrets.
+    rows = docs.filter(has).select(F.xxhash64("doc_id", "text").alias("row_key"), F.struct(*docs.columns).alias("row"))
+    changed = rows.join(secrets, "row_key", "left").withColumn(
+        "masked", F.aggregate("secrets", F.col("row.text"), lambda text, s: F.replace(text, s, F.lit(MASK))))
+    new = {"text": F.coalesce("masked", "row.text")}
     if "n_chars" in docs.columns:
-        counted = F.when(F.col("secrets").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        changed = changed.withColumn("n_chars", counted)
-    return changed.select(docs.columns).unionByName(rows.filter(~has).select(docs.columns))
+        new["n_chars"] = F.when(F.col("masked").isNotNull(), F.length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return changed.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns]).unionByName(docs.filter(~has))
 
 
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
