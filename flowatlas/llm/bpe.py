@@ -23,10 +23,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import column, extended, read_table, slices, without
+from flowatlas.llm.common import column, extended, map_arrow, read_table, slices, without
 
 #: Characters taken together, pieces remembered by a worker, and symbols from which a word is merged alone.
-BATCH_CHARS, REMEMBERED, LONG_WORD = 4_000_000, 500_000, 256
+BATCH_CHARS, REMEMBERED, LONG_WORD = 1_000_000, 100_000, 256
 #: Largest vocabulary file that is sent to the workers.
 VOCABULARY_BYTES = 64 << 20
 
@@ -191,9 +191,6 @@ class Encoder:
         """Ids of each text as the bytes of an int32 array."""
         parts = [list(self._parts(t)) for t in texts]
         pieces = [[p if isinstance(p, int) else p.split(" ") for p in part] for part in parts]
-        if len(self.after_space) > REMEMBERED:
-            self.after_space = {}
-        known = self.after_space
         unseen: set[str] = set()
         heads: set[str] = set()
         for part in pieces:
@@ -201,6 +198,10 @@ class Encoder:
                 if not isinstance(p, int):
                     heads.add(p[0])
                     unseen.update(p[1:])
+        if len(self.after_space) > REMEMBERED:
+            # What this batch needs again stays, the rest goes.
+            self.after_space = {p: self.after_space[p] for p in unseen if p in self.after_space}
+        known = self.after_space
         unseen -= known.keys()
         # A space before more white space belongs to that white space: such texts are split as a whole.
         odd = {p for p in unseen if not p or p[0].isspace()}
@@ -266,7 +267,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
                 values = pa.array(np.frombuffer(b"".join(rows), np.int32))
                 yield _append(batch.slice(a, b - a), ids, pa.ListArray.from_arrays(pa.array(offsets), values))
 
-    return df.mapInArrow(run, extended(df, without(df.columns, ids), f"`{ids}` array<int>"))
+    return map_arrow(df, run, extended(df, without(df.columns, ids), f"`{ids}` array<int>"))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -288,7 +289,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
                 out.append(b"".join(table[found].tolist()).decode("utf-8", "replace"))
             yield _append(batch, text, pa.array(out, pa.string()))
 
-    return df.mapInArrow(run, extended(df, without(df.columns, text), f"`{text}` string"))
+    return map_arrow(df, run, extended(df, without(df.columns, text), f"`{text}` string"))
 
 
 def ids_digest(ids: str) -> Column:
@@ -296,11 +297,31 @@ def ids_digest(ids: str) -> Column:
     return F.sha2(F.array_join(F.col(ids).cast("array<string>"), ",").cast("binary"), 256)
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``df`` without the text, with its ids and the text decoded from them."""
+    vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    kept = without(df.columns, text, ids, decoded)
+
+    def run(batches):
+        encoder, table = _encoder(vocabulary), vocabulary.value.bytes
+        for batch in batches:
+            texts, rest = [t or "" for t in column(batch, text)], batch.select(kept)
+            for a, b in slices(texts, BATCH_CHARS):
+                rows = [np.frombuffer(r, np.int32) for r in encoder.encode(texts[a:b])]
+                offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                shown = [b"".join([table[k] for k in row.tolist()]).decode("utf-8", "replace") for row in rows]
+                values = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(shown, pa.string())],
+                                                 names=[*rest.schema.names, ids, decoded])
+
+    return map_arrow(df, run, extended(df, kept, f"`{ids}` array<int>, `{decoded}` string"))
+
+
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """Per document: number of ids, digest of the ids, digest of the text decoded from them."""
-    rows = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return round_trip(docs.select("doc_id", "text"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def default_path() -> str:

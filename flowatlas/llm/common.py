@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from flowatlas.session import scratch_path
 
+#: Rows of a batch that goes to a Python worker.
+BATCH_ROWS = 500
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bytes hashed at once.
 PIECE_BYTES = 1 << 20
 
@@ -47,6 +50,17 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with batches of at most ``BATCH_ROWS`` rows, unless the session sets the size itself.
+
+    Spark's own default of 10,000 rows is tens of megabytes of text, held several times over by every worker.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING) == "10000":
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

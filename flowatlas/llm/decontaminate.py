@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import ALNUM, column, extended, hashed_words, read_table, slices, without
+from flowatlas.llm.common import ALNUM, column, extended, hashed_words, map_arrow, read_table, slices, without
 
 WINDOW = 13
 #: Words of benchmark items sent to the workers at once.
@@ -175,7 +175,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, pa.array([r[0] for r in rows[0]], pa.int64()), pa.array(found, kind)],
                                                  names=[*rest.schema.names, "n_words", "matches"])
 
-    return docs.mapInArrow(scan, schema)
+    return map_arrow(docs, scan, schema)
 
 
 def covered_words(found: str = "matches") -> Column:

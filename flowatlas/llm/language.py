@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import column, extended, read_table, slices, without
+from flowatlas.llm.common import column, extended, map_arrow, read_table, slices, without
 
 LONGEST, BITS, ALPHA = 3, 15, 0.5
 #: Languages times buckets at most in the matrix sent to all workers.
@@ -91,7 +91,7 @@ def counts(rows: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
                                              names=["lang", "bucket", "n"])
 
     rows = rows.select(text, lang).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    return rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return map_arrow(rows, run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -130,7 +130,7 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
                     names = [langs[k] if ok else "und" for k, ok in zip(best.tolist(), letters.tolist())]
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, n).columns, pa.array(names), pa.array(scores)], names=[*rest.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, extended(docs, kept, "lang_pred string, score double"))
+    return map_arrow(docs, run, extended(docs, kept, "lang_pred string, score double"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import SPACED, column, extended, hashed_words, read_table, slices, without
+from flowatlas.llm.common import SPACED, column, extended, hashed_words, map_arrow, read_table, slices, without
 from flowatlas.session import scratch_path
 
 #: Characters scored together; tokens a task counts before it passes its partial counts on; tokens per range of bigrams.
@@ -304,7 +304,7 @@ def train(docs: DataFrame, text: str = "text") -> dict:
     docs = docs.select(text)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = (np.arange(1, parts, dtype=object) * 2**64 // parts).astype(np.uint64)
-    rows = docs.mapInArrow(_partial_words(bounds, text), "part int, keys binary, counts binary") \
+    rows = map_arrow(docs, _partial_words(bounds, text), "part int, keys binary, counts binary") \
         .groupBy("part").applyInPandas(_finish_words(folder), "part int, n long, total long").collect()
     sizes = {r["part"]: r["n"] for r in rows}
     for k in range(parts):
@@ -318,7 +318,7 @@ def train(docs: DataFrame, text: str = "text") -> dict:
     # The start of a text is the id behind the last word, in a part of its own.
     model = {"folder": folder, "word_bounds": bounds, "words": words, "tokens": total, "offsets": np.cumsum([0, *sizes, 1])}
     model["pair_bounds"] = _pair_bounds(folder, model, max(1, round(total / RANGE_TOKENS))) if words else np.zeros(0, np.uint64)
-    sums = docs.mapInArrow(_partial_pairs(model, text), "part int, before binary, runs binary, word binary, counts binary") \
+    sums = map_arrow(docs, _partial_pairs(model, text), "part int, before binary, runs binary, word binary, counts binary") \
         .groupBy("part").applyInPandas(_finish_pairs(model), "part int, context binary, sums binary, word binary, preceded binary, times array<long>")
     # Two jobs read these sums: written, so that the bigrams are merged once.
     path = scratch_path(spark, "sums.parquet")
@@ -420,7 +420,7 @@ def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             for a, b in slices(texts, BATCH_CHARS):
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, *map(pa.array, _OPEN[key].score(texts[a:b]))], names=[*rest.schema.names, *names])
 
-    return docs.mapInArrow(run, extended(docs, kept, "n_tokens long, n_known long, base_score double, score double"))
+    return map_arrow(docs, run, extended(docs, kept, "n_tokens long, n_known long, base_score double, score double"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import ALNUM, column, extended, hashed_words, read_table, slices, without
+from flowatlas.llm.common import ALNUM, column, extended, hashed_words, map_arrow, read_table, slices, without
 
 #: Words between the starts of two blocks; the longest template.
 STRIDE = 64
@@ -182,7 +182,7 @@ def token_counts(df: DataFrame, vocabulary: np.ndarray, text: str = "text") -> n
                 total += np.bincount(np.where(known[at] == hashes, at, len(known)), minlength=len(known) + 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(known))), pa.array(total[:-1])], names=["token", "n"])
 
-    rows = df.select(text).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(df.select(text), run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(len(vocabulary), np.int64)
     for row in rows:
         counts[row["token"]] = row["n"]
@@ -219,7 +219,7 @@ def scan(df: DataFrame, templates: list[Template], threshold: float = THRESHOLD,
                      pa.array([[{"label": x, "word": w, "containment": c} for x, w, c in r[2]] for r in rows], match)],
                     names=[*rest.schema.names, "n_words", "places", "matches"])
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _joined(labels):

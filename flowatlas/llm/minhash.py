@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import SPACED, column, hashed_words, mix, read_table, slices, written
+from flowatlas.llm.common import SPACED, column, hashed_words, map_arrow, mix, read_table, slices, written
 from flowatlas.llm.linking import components
 
 SHINGLE, PERMUTATIONS, ROWS = 5, 64, 4
@@ -124,14 +124,14 @@ def _sets_of(reps: DataFrame, docs: DataFrame) -> DataFrame:
     ids = written(reps.select(F.col("rep").alias("of")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return written(rows.join(chosen, F.col("rep") == F.col("of"), "left_semi").mapInArrow(_sets, "rep long, shingles binary"))
+    return written(map_arrow(rows.join(chosen, F.col("rep") == F.col("of"), "left_semi"), _sets, "rep long, shingles binary"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are similar enough."""
     rows = written(pairs).join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("right")), "b") \
         .join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("left")), "a")
-    return written(rows.select("a", "b", "left", "right").mapInArrow(_similar, "a long, b long").distinct())
+    return written(map_arrow(rows.select("a", "b", "left", "right"), _similar, "a long, b long").distinct())
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
     With the shingles of every class in one order, rarest first, a pair that has ``need`` shingles in common meets on one that has
     no more than ``size - need`` others before it on either side. Shingles of one class alone take up such places without meeting anything.
     """
-    rows = sets.join(open_.select("rep"), "rep", "left_semi").mapInArrow(_shingle_rows, "rep long, shingle long")
+    rows = map_arrow(sets.join(open_.select("rep"), "rep", "left_semi"), _shingle_rows, "rep long, shingle long")
     common = written(rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"))
     ordered = rows.join(common, "shingle", "left").groupBy("rep").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("found"))
@@ -166,8 +166,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null and empty texts have no shingles and are linked with nothing. Rows with a null id are never named and not
     linked: their component is their own null id. Rows that repeat an id share its component.
     """
-    features = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _features, "doc_id long, n_shingles long, digest binary, bands array<long>"))
+    features = written(map_arrow(
+        docs.select(F.col("doc_id").cast("long"), "text"), _features, "doc_id long, n_shingles long, digest binary, bands array<long>"))
     known = features.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(known.groupBy("digest", "n_shingles", "bands").agg(F.min("doc_id").alias("rep")))
     entries = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowatlas.llm import common
-from flowatlas.llm.common import column, extended, mix, read_table, slices, without, written
+from flowatlas.llm.common import column, extended, map_arrow, mix, read_table, slices, without, written
 
 #: Bound of the training sample, a documented parameter.
 SAMPLE_ROWS = 16_000
@@ -174,7 +174,7 @@ def scored(docs: DataFrame, weights: np.ndarray | None, text: str = "text", scor
                 part = batch.select(kept).slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(margin))], names=[*part.schema.names, score])
 
-    return docs.mapInArrow(run, extended(docs, kept, f"`{score}` double"))
+    return map_arrow(docs, run, extended(docs, kept, f"`{score}` double"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
