@@ -325,6 +325,14 @@ def isolated_ratio(spark, sf):
     return graph.isolated_ratio(graph.add_isolated(vertex_ids(edges), depots), edges)
 
 
+@query
+def isolated_ratio_whole(spark, sf):
+    """Depots (all suppliers) without any edge."""
+    depots = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
+    edges = fx.depot_graph(spark, sf)
+    return graph.isolated_ratio(graph.add_isolated(vertex_ids(edges), depots), edges)
+
+
 @query
 def edge_sample(spark, sf):
     return graph.edge_sample(settle(fx.depot_edges(spark, sf)), target=5000)
@@ -473,6 +481,26 @@ def largest_component(spark, sf):
     return components.largest_component(fx.depot_graph(spark, sf, fx.MIN_MOVES))
 
 
+@query
+def wcc_whole(spark, sf):
+    return components.weak_components(fx.depot_graph(spark, sf))
+
+
+@query
+def scc_whole(spark, sf):
+    return components.strong_components(fx.depot_graph(spark, sf))
+
+
+@query
+def component_sizes_whole(spark, sf):
+    return components.group_sizes(components.weak_components(fx.depot_graph(spark, sf)), "component")
+
+
+@query
+def largest_component_whole(spark, sf):
+    return components.largest_component(fx.depot_graph(spark, sf))
+
+
 @query
 def label_propagation(spark, sf):
     return community.label_propagation(fx.depot_graph(spark, sf))
@@ -533,6 +561,11 @@ def removal_components(spark, sf):
     return _removal(spark, sf, fx.MIN_MOVES, SPLITTING).components()
 
 
+@query
+def removal_components_whole(spark, sf):
+    return _removal(spark, sf, k=SPLITTING).components()
+
+
 @query
 def removal_paths(spark, sf):
     return _removal(spark, sf).paths().select("step", "core_size", _r("avg_path"))
@@ -551,6 +584,14 @@ def removal_timeline(spark, sf):
     )
 
 
+@query
+def removal_timeline_whole(spark, sf):
+    table = _removal(spark, sf, k=SPLITTING).timeline()
+    return _rounded(
+        table, "remaining_flow_pct", "remaining_edge_pct", "avg_path", "flow_drop", "cumulative_loss"
+    )
+
+
 # --- reports on the trip graph ---------------------------------------------------------------------------
 
 class _City:

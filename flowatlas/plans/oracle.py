@@ -436,6 +436,12 @@ ORACLES["removal_timeline"] = sql(
     nodes_remaining, num_components, {_r('avg_path')}, flow_drop, cumulative_loss, splits FROM (
     {_TIMELINE.format(', avg_path', ' JOIN rpaths p ON f.step = p.step')})""")
 
+# --- component queries on all depot edges -----------------------------------------------------------------------------
+
+# The same SQL as for the thinned graph, over all edges.
+for _name in ("isolated_ratio", "wcc", "scc", "component_sizes", "largest_component", "removal_components", "removal_timeline"):
+    ORACLES[f"{_name}_whole"] = ORACLES[_name].replace(THIN[-1], ALL[-1])
+
 # --- reports on the trip graph --------------------------------------------------------------------------------------------
 
 _CITY_ALL = [*CITY, *RANKED, NAMED, FLOWS, *LABELS]
