@@ -112,6 +112,51 @@ def test_vectors(spark, monkeypatch, leaf, sample, block):
         assert all(g[1] <= e[1] for g, e in zip(got, expected)) and sum(g[1] for g in got) >= 0.9 * sum(e[1] for e in expected)
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
+def planted(n, mean, seed):
+    """Unit vectors whose mean cosine with each other is about ``mean``."""
+    rnd = np.random.default_rng(seed)
+    x = rnd.standard_normal((n, 64)) * np.sqrt((1 - mean) / 64)
+    x[:, 0] += np.sqrt(mean)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def met(x, i, j):
+    """Which of the pairs share a leaf in some tree."""
+    found = np.zeros(len(i), bool)
+    for root in embeddings._roots(x.shape[1], len(x)):
+        rows, leaves = embeddings.route(x, root, embeddings.fit(x[:embeddings.SAMPLE], root, len(x), 0.95))
+        own = [set() for _ in range(len(x))]
+        for row, leaf in zip(rows.tolist(), leaves.tolist()):
+            own[row].add(leaf)
+        found |= [not own[a].isdisjoint(own[b]) for a, b in zip(i, j)]
+    return found
+
+
+@pytest.mark.parametrize("mean", [0.93, 0.94, 0.945])
+def test_large_dense_groups_keep_their_links(mean):
+    x, rnd = planted(20_000, mean, 3), np.random.default_rng(5)
+    i, j = rnd.integers(0, len(x), (2, 20_000))
+    linked = (i != j) & ((x[i] * x[j]).sum(axis=1) >= 0.95)
+    assert linked.sum() > 500 and met(x, i[linked], j[linked]).mean() >= 0.99
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.6, 0.8])
+def test_pairs_at_the_threshold_meet(mean):
+    """Every tenth vector of a wider cloud has a partner just above the threshold."""
+    x, far = planted(20_000, mean, 3), planted(2_000, 0.0, 4)
+    i, j = np.arange(2_000), np.arange(2_000, 4_000)
+    across = far - (far * x[i]).sum(axis=1, keepdims=True) * x[i]
+    x[j] = 0.951 * x[i] + np.sqrt(1 - 0.951 ** 2) * across / np.linalg.norm(across, axis=1, keepdims=True)
+    assert met(x, i, j).mean() >= 0.95
+
+
+def test_links_of_a_dense_group_are_counted(spark):
+    x = np.float32(planted(4_000, 0.94, 6))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(df).collect()}
+    y = embeddings.unit([v.tobytes() for v in x], np.dtype(np.float32))
+    assert [got[k] for k in range(len(x))] == ((y @ y.T >= 0.95).sum(axis=1) - 1).tolist()
+
 
 def test_urls(spark, monkeypatch):
     rules = [*urls.RULES, ("a.b", "", "block"), ("a.b", "/x", "allow"), ("b", "/x", "block"), ("c", "/p", "allow"), ("c", "/p", "block"), (None, "/", "block"), ("d", "/", None)]
