@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowatlas.functions.scalar import uniform
 from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
 from flowatlas.operators.ordering import global_rank
 from flowatlas.operators.skew import join_unique
@@ -46,14 +47,15 @@ def modularity(edges: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels: int = 8,
-            min_gain: float = 1e-9) -> DataFrame:
+#: Shares of the vertices with a better place that a round lets move, as long as modularity rises; below, they move apart from each other.
+FIRST_SHARE, LAST_SHARE = 0.5, 1 / 64
+
+
+def louvain(edges: DataFrame, seed: int = 42, min_gain: float = 1e-9) -> DataFrame:
     """``(id, label)`` by modularity moves on the undirected graph and contraction, level by level.
 
-    All vertices are weighed in parallel; to keep neighbours from swapping, a round lets only the half
-    move that a hash of (id, round, seed) picks. A level ends when two rounds in a row raise modularity
-    by less than ``min_gain`` or ``max_rounds`` is reached, and keeps its best partition. Labels are
-    the smallest member id.
+    A level ends when no vertex has a move that raises modularity by more than ``min_gain``, and the levels end when one makes no
+    move; there is no other bound on rounds or levels. Labels are the smallest member id.
     """
     # Symmetric weights; a contracted community keeps its inner weight as a loop.
     links = settle(both_ways(edges, "weight").groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w")))
@@ -62,9 +64,10 @@ def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels:
     if whole == 0.0:
         return members.select("id", F.col("node").alias("label"))
     members = settle(members)
-    for level in range(max_levels):
-        groups, improved = _local_moves(links, whole, seed + level, max_rounds, min_gain)
-        if not improved:
+    level = 0
+    while True:
+        groups, values = local_moves(links, whole, f"{seed}-{level}", min_gain)
+        if len(values) == 1:
             break
         groups = groups.select(F.col("id").alias("node"), "label")
         count = groups.count()
@@ -75,58 +78,78 @@ def louvain(edges: DataFrame, seed: int = 42, max_rounds: int = 12, max_levels:
             join_unique(join_unique(links, source, ["src"], count), target, ["dst"], count)
             .groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("w").alias("w"))
         )
+        level += 1
     names = members.groupBy("node").agg(F.min("id").alias("label"))
     return join_unique(members, names, ["node"]).select("id", "label")
 
 
-def _local_moves(links: DataFrame, whole: float, seed: int, max_rounds: int,
-                 min_gain: float) -> tuple[DataFrame, bool]:
-    """Best partition ``(id, label)`` of one level and whether it beats single vertices."""
+def local_moves(links: DataFrame, whole: float, seed: str, min_gain: float) -> tuple[DataFrame, list[float]]:
+    """Partition ``(id, label)`` of one level and the modularity after every round, from single vertices on, always rising.
+
+    All vertices are weighed in parallel. Moves made together may spoil each other, so a round lets a share of the
+    vertices move, drawn by hash, and keeps the result only if modularity rises. If not, a smaller share tries; below ``LAST_SHARE``
+    only vertices move of which no two leave or enter the same community. Their gains add up exactly, so such a round rises
+    whenever there is any move to make.
+    """
     degree = links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
     inner = links.filter(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
     # The loop of weight 0 makes every vertex see its own community; edges carry the target's weight.
     between = with_loops(links.filter(F.col("src") != F.col("dst")), degree.select("id"), {"w": F.lit(0.0)})
-    state = store(degree.select("id", "k", F.col("id").alias("label")))
-    rows = state.count()
-    weighed = join_unique(between, state.select(F.col("id").alias("dst"), "k"), ["dst"], rows)
+    single = store(degree.select("id", "k", F.col("id").alias("label")))
+    rows = single.count()
+    weighed = join_unique(between, single.select(F.col("id").alias("dst"), "k"), ["dst"], rows)
     adjacency = Adjacency(weighed, rows)
-    best, best_value, idle, improved = state, None, 0, False
-    for turn in range(max_rounds + 1):
+
+    def weigh(state: DataFrame) -> tuple[DataFrame, float, int]:
+        """Every vertex with its best community and gain; modularity of the partition; vertices that gain."""
         totals = state.groupBy("label").agg(F.sum("k").alias("tot"))
         offers = adjacency.push(state.select("id", "label")).groupBy("dst", "label").agg(
-            F.sum("w").alias("w_in"), F.max("k").alias("k"), F.max("loop").alias("own")
-        )
+            F.sum("w").alias("w_in"), F.max("k").alias("k"), F.max("loop").alias("own"))
         offers = join_unique(offers, totals, ["label"], rows)
         tot = F.col("tot") - F.when(F.col("own"), F.col("k")).otherwise(0.0)
         gain = F.col("w_in") - tot * F.col("k") / F.lit(whole)
-        picked = offers.groupBy(F.col("dst").alias("id")).agg(
+        picked = store(offers.groupBy(F.col("dst").alias("id")).agg(
             F.max("k").alias("k"),
             F.max(F.struct(gain.alias("gain"), (-F.col("label")).alias("minus"))).alias("best"),
             F.max(F.when(F.col("own"), gain)).alias("stay"),
             F.max(F.when(F.col("own"), F.col("w_in"))).alias("w_own"),
             F.max(F.when(F.col("own"), F.col("label"))).alias("own"),
-        )
-        may_move = F.substring(F.md5(F.concat_ws("#", "id", F.lit(turn), F.lit(seed))), 1, 1) < F.lit("8")
-        moves = may_move & (F.col("best.gain") > F.col("stay") + 1e-12)
-        after = store(picked.select(
-            "id", "k", F.when(moves, -F.col("best.minus")).otherwise(F.col("own")).alias("label"), "own", "w_own"
-        ))
-        # Modularity of the partition this round started from, one pass over the round's result.
-        figures = after.groupBy("own").agg(F.sum("k").alias("t"), F.sum("w_own").alias("i")).agg(
-            F.sum("i"), F.sum(F.col("t") * F.col("t"))
-        ).first()
-        value = (figures[0] + inner) / whole - figures[1] / (whole * whole)
-        if best_value is None:
-            best_value = value
-        elif value > best_value + min_gain:
-            best, best_value, idle, improved = state, value, 0, True
+        ).select("id", "k", "own", "w_own", (-F.col("best.minus")).alias("target"),
+                 (2.0 * (F.col("best.gain") - F.col("stay")) / whole).alias("gain")))
+        figures = picked.groupBy("own").agg(F.sum("k").alias("t"), F.sum("w_own").alias("i"), F.count_if(F.col("gain") > min_gain).alias("m")).agg(
+            F.sum("i"), F.sum(F.col("t") * F.col("t")), F.sum("m")).first()
+        return picked, (figures[0] + inner) / whole - figures[1] / (whole * whole), figures[2]
+
+    current, value, movers = weigh(single)
+    values, share, turn = [value], FIRST_SHARE, 0
+    while movers:
+        apart = share < LAST_SHARE or share * movers < 1
+        draw = F.concat_ws("#", "id", F.lit(turn), F.lit(seed))
+        better = F.col("gain") > min_gain
+        if apart:
+            chosen = _apart(current.filter(better).select("id", "own", "target", F.xxhash64(draw).alias("place")))
+            moved = current.join(chosen.withColumn("moves", F.lit(True)), "id", "left")
         else:
-            idle += 1
-        if idle == 2:
-            break
-        state = after.select("id", "k", "label")
+            moved = current.withColumn("moves", better & (uniform(draw) < share))
+        trial, after, left = weigh(store(moved.select("id", "k", F.when(F.col("moves"), F.col("target")).otherwise(F.col("own")).alias("label"))))
+        turn += 1
+        if after > value:
+            current, value, movers = trial, after, left
+            values.append(value)
+            share = min(FIRST_SHARE, max(2 * share, LAST_SHARE))
+        elif apart:
+            break  # what is left to gain is lost in rounding
+        else:
+            share /= 8
     adjacency.release()
-    return best.select("id", "label"), improved
+    return current.select("id", F.col("own").alias("label")), values
+
+
+def _apart(movers: DataFrame) -> DataFrame:
+    """Ids of movers ``(id, own, target, place)`` that are first, by place, in the community they leave and in the one they enter."""
+    claims = movers.select("id", "place", F.explode(F.array("own", "target")).alias("community"))
+    first = claims.groupBy("community").agg(F.max(F.struct("place", "id")).alias("first"))
+    return first.groupBy(F.col("first.id").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") == 2).select("id")
 
 
 def community_summary(groups: DataFrame, scores: DataFrame, names: DataFrame, shown: int = 5) -> DataFrame:

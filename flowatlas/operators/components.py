@@ -1,4 +1,4 @@
-"""Weak and strong components by minimum-label propagation with pointer jumping."""
+"""Weak and strong components by minimum-label propagation with pointer jumping; spanning forests."""
 
 from __future__ import annotations
 
@@ -12,6 +12,10 @@ from flowatlas.operators.skew import join_unique
 from flowatlas.session import settle, store
 
 
+#: Share of its vertices that a round of peeling has to take for another one.
+TRIM_SHARE = 0.1
+
+
 def _smallest_reaching(edges: DataFrame, vertices: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """For every vertex the smallest id that has a path to it (itself included).
 
@@ -49,36 +53,80 @@ def weak_components(edges: DataFrame, vertices: DataFrame | None = None,
     return labels.withColumnRenamed("label", "component")
 
 
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """Edges that are left when vertices without incoming or without outgoing edges are peeled off.
+
+    Such a vertex is a component of its own. Degrees are counted once; then only vertices that were peeled send along their edges what their
+    neighbours lose. Peeling ends when a round finds fewer than one in ``1 / TRIM_SHARE`` vertices: what is left of long chains is
+    cheaper to separate by labels, which travel twice as far every round.
+    """
+    degree = edges.select(F.explode(F.array(
+        F.struct(F.col("src").alias("id"), F.lit(0).alias("came"), F.lit(1).alias("left")),
+        F.struct(F.col("dst").alias("id"), F.lit(1).alias("came"), F.lit(0).alias("left")),
+    )).alias("e")).groupBy("e.id").agg(F.sum("e.came").alias("came"), F.sum("e.left").alias("left"))
+    state = store(degree)
+    rows, links, peeled = state.count(), None, 0
+    stuck = (F.col("came") <= 0) | (F.col("left") <= 0)
+    while True:
+        gone = state.filter(stuck)
+        n = gone.count()
+        peeled += n
+        if n == 0 or n < TRIM_SHARE * rows:
+            break
+        if links is None:
+            # way 0: the target loses an incoming edge; way 1, the edge reversed: its source loses an outgoing one.
+            links = Adjacency(edges.select(F.explode(F.array(
+                F.struct(F.lit(0).alias("way"), F.col("src"), F.col("dst")),
+                F.struct(F.lit(1).alias("way"), F.col("dst").alias("src"), F.col("src").alias("dst")),
+            )).alias("e")).select("e.*"), 2 * rows, ("way",))
+        sent = links.push(gone.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("way"), "id")).groupBy(F.col("dst").alias("id")).agg(
+            F.sum(F.when(F.col("way") == 0, 1).otherwise(0)).alias("less_came"),
+            F.sum(F.when(F.col("way") == 1, 1).otherwise(0)).alias("less_left"))
+        state = store(state.filter(~stuck).join(sent, "id", "left").select(
+            "id", (F.col("came") - F.coalesce("less_came", F.lit(0))).alias("came"),
+            (F.col("left") - F.coalesce("less_left", F.lit(0))).alias("left")))
+    if links is not None:
+        links.release()
+    return edges if not peeled else store(_between(edges, state.filter(~stuck).select("id"), rows))
+
+
+def _between(edges: DataFrame, vertices: DataFrame, rows: int) -> DataFrame:
+    """Edges with both ends among ``vertices`` (unique ids, at most ``rows``)."""
+    kept = join_unique(edges, vertices.withColumnRenamed("id", "src"), ["src"], rows)
+    return join_unique(kept, vertices.withColumnRenamed("id", "dst"), ["dst"], rows).select("src", "dst")
+
+
+def _labelled(edges: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """Edges with the labels ``(id, label)`` of both ends as ``a`` and ``b``."""
+    one = join_unique(edges, labels.select(F.col("id").alias("src"), F.col("label").alias("a")), ["src"], rows)
+    return join_unique(one, labels.select(F.col("id").alias("dst"), F.col("label").alias("b")), ["dst"], rows)
+
+
 def strong_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """``(id, component)``: vertices that reach each other, named by the smallest member.
 
-    Every round finds for each vertex the smallest vertex reaching it and the smallest vertex it
-    reaches (both directions run as one keyed graph). Equal answers mean membership in that vertex's
-    component. Members of one component always agree on both answers, so edges whose ends differ, and
-    edges of finished vertices, are dropped before the next round.
+    Every round peels vertices off (``_trimmed``), then colours each vertex with the smallest vertex that reaches it. Components lie
+    within one colour, so edges between colours go. Backwards, inside the colours that are left, each vertex finds the smallest vertex it
+    reaches; if that is the one its colour is named after, the vertex belongs to that one's component. The next round takes the edges between
+    vertices that are still open and agree on both answers.
     """
     if vertices is None:
         vertices = vertex_ids(edges)
-    rest = settle(edges.filter(F.col("src") != F.col("dst")).select("src", "dst"))
+    rest = store(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct())
     found: list[DataFrame] = []
-    while not rest.isEmpty():
-        two_ways = rest.select(F.explode(F.array(
-            F.struct(F.lit(0).alias("way"), F.col("src"), F.col("dst")),
-            F.struct(F.lit(1).alias("way"), F.col("dst").alias("src"), F.col("src").alias("dst")),
-        )).alias("e")).select("e.*")
-        labels = _smallest_reaching(two_ways, vertex_ids(two_ways, ("way",)), ("way",))
-        pairs = store(labels.groupBy("id").agg(
-            F.max(F.when(F.col("way") == 0, F.col("label"))).alias("up"),
-            F.max(F.when(F.col("way") == 1, F.col("label"))).alias("down"),
-        ))
-        found.append(pairs.filter(F.col("up") == F.col("down")).select("id", F.col("up").alias("component")))
-        open_ends = pairs.filter(F.col("up") != F.col("down"))
-        source = open_ends.select(F.col("id").alias("src"), F.col("up").alias("u1"), F.col("down").alias("d1"))
-        target = open_ends.select(F.col("id").alias("dst"), F.col("up").alias("u2"), F.col("down").alias("d2"))
-        rest = store(
-            join_unique(join_unique(rest, source, ["src"]), target, ["dst"])
-            .filter((F.col("u1") == F.col("u2")) & (F.col("d1") == F.col("d2"))).select("src", "dst")
-        )
+    while True:
+        rest = _trimmed(rest)
+        if rest.isEmpty():
+            break
+        inner = settle(vertex_ids(rest))
+        rows = inner.count()
+        colours = _smallest_reaching(rest, inner, ())
+        inside = store(_labelled(rest, colours, rows).filter(F.col("a") == F.col("b")).select("src", "dst"))
+        reached = _smallest_reaching(inside.select(F.col("dst").alias("src"), F.col("src").alias("dst")), inner, ())
+        both = store(colours.join(reached.withColumnRenamed("label", "low"), "id"))
+        found.append(both.filter(F.col("label") == F.col("low")).select("id", F.col("label").alias("component")))
+        open_ = both.filter(F.col("label") != F.col("low")).select("id", F.col("low").alias("label"))
+        rest = store(_labelled(inside, open_, rows).filter(F.col("a") == F.col("b")).select("src", "dst"))
     if not found:
         return vertices.select("id", F.col("id").alias("component"))
     members = reduce(DataFrame.unionByName, found)
@@ -87,6 +135,30 @@ def strong_components(edges: DataFrame, vertices: DataFrame | None = None) -> Da
     )
 
 
+def spanning_forest(edges: DataFrame, order: str) -> DataFrame:
+    """``(src, dst, order)``: a maximum spanning forest of the undirected graph by the column ``order``.
+
+    Borůvka rounds: every component takes the greatest edge that leaves it (equal ones by their ends, so no
+    cycle can close), components tied by such edges become one, and of the edges between two components the greatest stays. Each round
+    at least halves the number of components, and edges inside a component go. For every bound s, the forest edges
+    above s connect the same vertices as all edges above s.
+    """
+    low, high = F.least("src", "dst"), F.greatest("src", "dst")
+    pairs = edges.filter(F.col("src") != F.col("dst")).groupBy(low.alias("src"), high.alias("dst")).agg(F.max(order).alias(order))
+    rest = store(pairs.select("src", "dst", F.struct(F.col(order).alias("value"), (-F.col("src")).alias("low"), (-F.col("dst")).alias("high")).alias("edge")))
+    found: list[DataFrame] = []
+    while not rest.isEmpty():
+        best = rest.select(F.explode(F.array("src", "dst")).alias("end"), F.struct("edge", "src", "dst").alias("x")).groupBy("end").agg(F.max("x").alias("x"))
+        chosen = store(best.select("x.*").distinct())
+        found.append(chosen.select((-F.col("edge.low")).alias("src"), (-F.col("edge.high")).alias("dst"), F.col("edge.value").alias(order)))
+        joined = store(weak_components(chosen.select("src", "dst")).withColumnRenamed("component", "label"))
+        rest = store(_labelled(rest, joined, joined.count()).filter(F.col("a") != F.col("b"))
+                     .groupBy(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).agg(F.max("edge").alias("edge")))
+    if not found:
+        return pairs
+    return reduce(DataFrame.unionByName, found)
+
+
 def group_sizes(groups: DataFrame, column: str) -> DataFrame:
     """Members per component or community."""
     return groups.groupBy(column).agg(F.count("*").alias("size"))

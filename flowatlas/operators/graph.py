@@ -209,3 +209,19 @@ def rank_by(scores: DataFrame, column: str, name: str = "rank") -> DataFrame:
 
 def top_by(scores: DataFrame, column: str, k: int, name: str = "rank") -> DataFrame:
     return top(scores, by_score(column), k, name)
+
+
+def main_routes(edges: DataFrame) -> DataFrame:
+    """``(src, dst, weight)``: the heaviest edge out of every vertex; among equal ones a hash of the edge decides.
+
+    At most one edge per vertex at any size, so this graph stays sparse where the whole one links nearly every pair. One combined aggregation.
+    """
+    draw = F.md5(F.concat_ws("#", "src", "dst"))
+    best = F.max(F.struct("weight", draw.alias("draw"), "dst")).alias("best")
+    return edges.groupBy("src").agg(best).select("src", "best.dst", "best.weight")
+
+
+def returning(edges: DataFrame) -> DataFrame:
+    """Edges whose reverse is an edge too."""
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return edges.join(back, ["src", "dst"], "left_semi")

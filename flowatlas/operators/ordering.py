@@ -7,6 +7,8 @@ total of the partitions before its own.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,27 @@ def running_total(df: DataFrame, order: list[Column], value: Column, name: str)
     )
 
 
+def following(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Add ``name`` = ``value`` of the next row of the same ``group`` in the given order, null at the group's end.
+
+    Groups are not brought together: rows are range partitioned by group and order, so a group that holds a third of all
+    rows spreads over many partitions, and the last row of a partition looks at the first row of the next one that has any.
+    """
+    row = F.struct(*[F.col(c).alias(f"g{k}") for k, c in enumerate(group)], *[F.col(c).alias(f"o{k}") for k, c in enumerate(order)],
+                   F.col(value).alias("value"))
+    placed = settle(df.repartitionByRange(*group, *order).withColumn("_row", row).withColumn("_slice", F.spark_partition_id()))
+    # One row per partition of the sort.
+    firsts = placed.groupBy("_slice").agg(F.min("_row").alias("_first"))
+    carried = firsts.select("_slice", F.lead("_first").over(Window.orderBy("_slice")).alias("_carry"))
+    after = F.coalesce(F.lead("_row").over(Window.partitionBy("_slice").orderBy("_row")), F.col("_carry"))
+    same = reduce(Column.__and__, [F.col(f"_after.g{k}").eqNullSafe(F.col(f"_row.g{k}")) for k in range(len(group))])
+    return (
+        placed.join(carried, "_slice").withColumn("_after", after)
+        .withColumn(name, F.when(F.col("_after").isNotNull() & same, F.col("_after.value")))
+        .drop("_row", "_slice", "_carry", "_after")
+    )
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """``row_number`` over the whole relation; ``order`` must be a total order."""
     return running_total(df, order, F.lit(1).cast("long"), name).withColumn(name, F.col(name).cast("int"))

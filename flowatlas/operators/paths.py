@@ -39,13 +39,14 @@ def distances(edges: DataFrame, sources: DataFrame, vertices: DataFrame, keys: t
 
 
 def average_path_length(edges: DataFrame, vertices: DataFrame | None = None, keys: tuple[str, ...] = (),
-                        rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
+                        rows_per_batch: int = ROWS_PER_BATCH, connected: DataFrame | None = None) -> DataFrame:
     """Mean number of hops between vertices of the largest component, edges taken both ways.
 
     Null when that component has a single vertex. All sources are used; on large components they run
-    in as many batches as keep the (source, vertex) rows of one batch near ``rows_per_batch``.
+    in as many batches as keep the (source, vertex) rows of one batch near ``rows_per_batch``. ``connected`` may hold fewer edges that
+    connect the same vertices, such as a spanning forest, to find the component with.
     """
-    core = settle(largest_component(edges, vertices, keys))
+    core = settle(largest_component(edges if connected is None else connected, vertices if vertices is not None else vertex_ids(edges, keys), keys))
     ends = core.select(*keys, F.col("id").alias("src"))
     hops = (
         both_ways(edges, *keys).distinct()

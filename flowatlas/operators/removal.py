@@ -2,6 +2,9 @@
 
 Every removed zone has a step; an edge dies at the smaller step of its two ends. All steps are then
 answered from one relation instead of one filtered graph per step.
+
+Components need no copies of the graph: in a maximum spanning forest by the step at which an edge dies, the edges that die
+after a step connect the same vertices as all edges that are left then. So one forest, found once, counts the components of all steps.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowatlas.functions.scalar import share_pct
 from flowatlas.operators.adjacency import vertex_ids
-from flowatlas.operators.components import weak_components
+from flowatlas.operators.components import spanning_forest
 from flowatlas.operators.graph import by_score, top_by
 from flowatlas.operators.paths import average_path_length
 from flowatlas.operators.rank import pagerank
@@ -40,6 +43,14 @@ class Removal:
             edges.join(source, "src", "left").join(target, "dst", "left").select("src", "dst", "weight", death.alias("death"))
         )
 
+        self._forest: DataFrame | None = None
+
+    def forest(self) -> DataFrame:
+        """``(src, dst, death)``: fewer edges than vertices, whose living part connects what the living edges connect."""
+        if self._forest is None:
+            self._forest = settle(spanning_forest(self.edges, "death"))
+        return self._forest
+
     def _alive(self, relation: DataFrame, first: int) -> DataFrame:
         """A copy per step the row survives: at most k + 1 copies."""
         last = F.col("death") - 1
@@ -71,12 +82,18 @@ class Removal:
 
     def components(self) -> DataFrame:
         """Weak components left at every step; vertices that lost all edges count as their own."""
-        groups = weak_components(self._alive(self.edges, 0), self._alive(self.vertices, 0), STEP)
-        return groups.filter(F.col("id") == F.col("component")).groupBy("step").agg(F.count("*").alias("num_components"))
+        # Per step of death: k + 2 rows at most from here on.
+        lives = self.vertices.select("death", F.lit(1).alias("v"), F.lit(0).alias("f")).unionByName(
+            self.forest().select("death", F.lit(0).alias("v"), F.lit(1).alias("f"))).groupBy(F.col("death").alias("step")).agg(F.sum("v").alias("v"), F.sum("f").alias("f"))
+        steps = self.removed.sparkSession.range(self.k + 2).select(F.col("id").cast("int").alias("step"))
+        later = Window.orderBy("step").rowsBetween(1, Window.unboundedFollowing)
+        left = steps.join(lives, "step", "left").select(
+            "step", F.sum(F.coalesce("v", F.lit(0))).over(later).alias("v"), F.sum(F.coalesce("f", F.lit(0))).over(later).alias("f"))
+        return left.filter(F.col("v") > 0).select("step", (F.col("v") - F.col("f")).alias("num_components"))
 
     def paths(self) -> DataFrame:
         """Average hops within the largest component at every step."""
-        return average_path_length(self._alive(self.edges, 0), self._alive(self.vertices, 0), STEP)
+        return average_path_length(self._alive(self.edges, 0), self._alive(self.vertices, 0), STEP, connected=self._alive(self.forest(), 0))
 
     def new_leaders(self, top_n: int = 3, max_iter: int = 10, weighted: bool = False) -> DataFrame:
         """Best zones by PageRank recomputed after every removal."""
@@ -97,3 +114,11 @@ class Removal:
         return rows.withColumn("flow_drop", drop).withColumn(
             "cumulative_loss", F.sum("flow_drop").over(order.rowsBetween(Window.unboundedPreceding, 0))
         ).withColumn("splits", F.coalesce((before == 1) & (F.col("num_components") > 1), F.lit(False)))
+
+    def named_timeline(self, names: DataFrame, top_n: int = 3) -> DataFrame:
+        """The timeline with the name of each removed zone and, in order, the names of the best zones afterwards; ``names`` has ``(id, name)``."""
+        names = names.select("id", "name")
+        leaders = self.new_leaders(top_n).join(names, "id", "left").groupBy("step").agg(
+            F.array_sort(F.collect_list(F.struct("place", "name"))).alias("_best"))  # top_n rows per step
+        rows = self.timeline(paths=False).join(names.withColumnsRenamed({"id": "removed_id", "name": "removed_name"}), "removed_id", "left")
+        return rows.join(leaders, "step", "left").withColumn("new_leaders", F.transform("_best", lambda b: b["name"])).drop("_best")

@@ -481,6 +481,45 @@ def largest_component(spark, sf):
     return components.largest_component(fx.depot_graph(spark, sf, fx.MIN_MOVES))
 
 
+@query
+def hop_edges(spark, sf):
+    """From each order line's supplier to the next line's."""
+    return fx.hops(spark, sf)
+
+
+@query
+def main_routes(spark, sf):
+    return fx.routes(spark, sf)
+
+
+@query
+def wcc_routes(spark, sf):
+    return components.weak_components(fx.routes(spark, sf))
+
+
+@query
+def scc_routes(spark, sf):
+    return components.strong_components(fx.routes(spark, sf))
+
+
+@query
+def component_sizes_routes(spark, sf):
+    return components.group_sizes(components.weak_components(fx.routes(spark, sf)), "component")
+
+
+@query
+def largest_component_routes(spark, sf):
+    return components.largest_component(fx.routes(spark, sf))
+
+
+@query
+def isolated_ratio_routes(spark, sf):
+    """Suppliers without a main route that is also the main route back."""
+    suppliers = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
+    edges = settle(graph.returning(fx.routes(spark, sf)))
+    return graph.isolated_ratio(graph.add_isolated(vertex_ids(edges), suppliers), edges)
+
+
 @query
 def wcc_whole(spark, sf):
     return components.weak_components(fx.depot_graph(spark, sf))
@@ -531,6 +570,18 @@ def louvain(spark, sf):
     return community.louvain(fx.depot_graph(spark, sf))
 
 
+@query
+def louvain_invariants(spark, sf):
+    """Every vertex once, labels are members, modularity not below that of label propagation."""
+    edges = fx.depot_graph(spark, sf)
+    groups = settle(community.louvain(edges))
+    labels = settle(community.label_propagation(edges))
+    better = community.modularity(edges, groups).scalar() >= community.modularity(edges, labels).scalar()
+    named = groups.groupBy("label").agg(F.min("id").alias("first")).agg(F.every(F.col("first") == F.col("label"))).scalar()
+    return groups.agg(F.count("*").alias("vertices"), F.count_distinct("id").alias("ids")).select(
+        "*", named.alias("named_by_smallest"), better.alias("not_below_labels"))
+
+
 @query
 def louvain_summary(spark, sf):
     edges = fx.depot_graph(spark, sf)
@@ -561,6 +612,31 @@ def removal_components(spark, sf):
     return _removal(spark, sf, fx.MIN_MOVES, SPLITTING).components()
 
 
+def _route_removal(spark, sf, k: int) -> Removal:
+    """The largest component of the main routes: connected at first."""
+    edges = fx.routes(spark, sf)
+    core = settle(components.largest_component(edges))
+    edges = settle(edges.join(core.withColumnRenamed("id", "src"), "src", "left_semi"))
+    return Removal(edges, settle(pagerank(edges)), k)
+
+
+@query
+def removal_components_routes(spark, sf):
+    return _route_removal(spark, sf, 40).components()
+
+
+@query
+def removal_timeline_routes(spark, sf):
+    return _rounded(_route_removal(spark, sf, 5).timeline(), "remaining_flow_pct", "remaining_edge_pct", "avg_path", "flow_drop", "cumulative_loss")
+
+
+@query
+def removal_forest(spark, sf):
+    """Edges of the forest that counts the components of all steps, by the step at which they die."""
+    forest = _route_removal(spark, sf, 40).forest()
+    return forest.groupBy("death").agg(F.count("*").alias("edges"))
+
+
 @query
 def removal_components_whole(spark, sf):
     return _removal(spark, sf, k=SPLITTING).components()
@@ -675,6 +751,15 @@ def visible_map(spark, sf):
     return nodes.unionByName(lines)
 
 
+@query
+def removal_report(spark, sf):
+    """Removal of the five most critical zones with the names of the removed and of the new leaders."""
+    city = _City(spark, sf)
+    table = Removal(city.edges, city.scores).named_timeline(city.vertices)
+    return _rounded(table.withColumn("new_leaders", F.array_join("new_leaders", "; ")),
+                    "remaining_flow_pct", "remaining_edge_pct", "flow_drop", "cumulative_loss")
+
+
 def _document(spark, sf) -> dict[str, DataFrame]:
     city = _City(spark, sf)
     features = city.features()

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowatlas.operators.cleaning import od_edges
+from flowatlas.operators.graph import main_routes
+from flowatlas.operators.ordering import following
 from flowatlas.session import settle
 
 _C = F.col
@@ -92,6 +94,22 @@ def depot_graph(spark: SparkSession, sf_dir: str, min_trips: int = 1) -> DataFra
     return settle(depot_edges(spark, sf_dir).filter(_C("weight") >= min_trips))
 
 
+def hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the supplier of an order line to the supplier of the order's next line, counted.
+
+    The next line is found without a window per order, so an order with a third of all lines is no hot key.
+    """
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    moved = following(line, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "l_suppkey", "dst")
+    return moved.select(_C("l_suppkey").alias("src"), "dst").filter(_C("dst").isNotNull() & (_C("src") != _C("dst"))) \
+        .groupBy("src", "dst").agg(F.count("*").alias("weight"))
+
+
+def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's main route in ``hops``: sparse, with several components, at every size."""
+    return settle(main_routes(hops(spark, sf_dir)))
+
+
 def outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-sided outline per nation."""
     corner = F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k")

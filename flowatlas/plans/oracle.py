@@ -442,6 +442,40 @@ ORACLES["removal_timeline"] = sql(
 for _name in ("isolated_ratio", "wcc", "scc", "component_sizes", "largest_component", "removal_components", "removal_timeline"):
     ORACLES[f"{_name}_whole"] = ORACLES[_name].replace(THIN[-1], ALL[-1])
 
+# --- component queries on the main routes of the supplier hops --------------------------------------------------------
+
+HOPS = ["""hops AS MATERIALIZED (
+  SELECT src, dst, count(*) AS weight FROM (
+    SELECT l_suppkey AS src, lead(l_suppkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS dst FROM lineitem)
+  WHERE dst IS NOT NULL AND src <> dst GROUP BY src, dst)""",
+        """routes AS MATERIALIZED (SELECT src, dst, weight FROM (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, md5(src || '#' || dst) DESC) AS n FROM hops) WHERE n = 1)"""]
+ROUTES = [*HOPS, "e AS MATERIALIZED (SELECT * FROM routes)"]
+CORE_ROUTES = [*HOPS, """near AS (
+  SELECT src AS a, src AS b FROM (SELECT src FROM routes UNION SELECT dst FROM routes) UNION
+  SELECT near.a, x.dst FROM near JOIN (SELECT src, dst FROM routes UNION SELECT dst, src FROM routes) x ON near.b = x.src)""",
+               "grouped AS MATERIALIZED (SELECT a AS id, min(b) AS c FROM near GROUP BY a)",
+               """e AS MATERIALIZED (SELECT src, dst, weight FROM routes JOIN grouped ON src = id
+  WHERE c = (SELECT c FROM grouped GROUP BY c ORDER BY count(*) DESC, c LIMIT 1))"""]
+ORACLES["hop_edges"] = sql(HOPS, "SELECT * FROM hops")
+ORACLES["main_routes"] = sql(HOPS, "SELECT * FROM routes")
+for _name in ("wcc", "scc", "component_sizes", "largest_component"):
+    ORACLES[f"{_name}_routes"] = ORACLES[_name].replace(sql(THIN, "")[:-1], sql(ROUTES, "")[:-1])
+ORACLES["isolated_ratio_routes"] = ORACLES["isolated_ratio"].replace(sql(THIN, "")[:-1], sql(
+    [*HOPS, "e AS MATERIALIZED (SELECT a.* FROM routes a JOIN routes b ON a.src = b.dst AND a.dst = b.src)"], "")[:-1])
+ORACLES["removal_components_routes"] = sql([*CORE_ROUTES, *RANKED, *removal(40), *REMOVAL_WCC], "SELECT * FROM rcount")
+ORACLES["removal_timeline_routes"] = sql(
+    [*CORE_ROUTES, *RANKED, *removal(5), *REMOVAL_WCC, *REMOVAL_PATHS],
+    f"""SELECT step, removed_id, remaining_flow, remaining_edges, {_r('remaining_flow_pct')}, {_r('remaining_edge_pct')},
+    nodes_remaining, num_components, {_r('avg_path')}, flow_drop, cumulative_loss, splits FROM (
+    {_TIMELINE.format(', avg_path', ' JOIN rpaths p ON f.step = p.step')})""")
+# Forest edges that die at a step: vertices that die then, and what the number of components falls by.
+ORACLES["removal_forest"] = sql([*CORE_ROUTES, *RANKED, *removal(40), *REMOVAL_WCC], """SELECT CAST(step + 1 AS INTEGER) AS death, edges FROM (
+  SELECT s.step, ((SELECT count(*) FROM vd WHERE death > s.step) - coalesce(c.num_components, 0))
+    - ((SELECT count(*) FROM vd WHERE death > s.step + 1) - coalesce(d.num_components, 0)) AS edges
+  FROM steps s LEFT JOIN rcount c ON s.step = c.step LEFT JOIN rcount d ON s.step + 1 = d.step) WHERE edges > 0""")
+ORACLES["louvain_invariants"] = sql([*ALL, VERTICES], "SELECT count(*) AS vertices, count(*) AS ids, true AS named_by_smallest, true AS not_below_labels FROM v")
+
 # --- reports on the trip graph --------------------------------------------------------------------------------------------
 
 _CITY_ALL = [*CITY, *RANKED, NAMED, FLOWS, *LABELS]
@@ -538,3 +572,9 @@ ORACLES["polygon_centroid"] = """WITH o AS (
  s AS (SELECT a.z, a.x, a.y, b.x AS x2, b.y AS y2, a.x * b.y - b.x * a.y AS c FROM o a JOIN o b ON a.z = b.z AND b.k = (a.k + 1) % 6)
  SELECT z AS zone_id, round(abs(sum(c) / 2), 8) AS area, round(sum((x + x2) * c) / (3 * sum(c)), 8) + 0 AS x,
    round(sum((y + y2) * c) / (3 * sum(c)), 8) + 0 AS y FROM s GROUP BY z"""
+
+ORACLES["removal_report"] = sql([*_CITY_ALL, *REMOVAL, *REMOVAL_WCC, *_step_ranks()], f"""SELECT step, removed_id, r.name AS removed_name, remaining_flow, remaining_edges,
+  {_r('remaining_flow_pct')}, {_r('remaining_edge_pct')}, nodes_remaining, num_components, flow_drop, cumulative_loss, splits, l.names AS new_leaders
+  FROM (SELECT * FROM ({_TIMELINE.format('', '')})) t LEFT JOIN names r ON removed_id = r.id LEFT JOIN (
+    SELECT step AS s, string_agg(name, '; ' ORDER BY place) AS names FROM (
+      SELECT step, id, row_number() OVER (PARTITION BY step ORDER BY CAST(r AS FLOAT) DESC, id) AS place FROM q_10) p JOIN names USING (id) WHERE place <= 3 GROUP BY step) l ON step = l.s""")

@@ -49,8 +49,11 @@ def test_keyed_pagerank_runs_graphs_side_by_side(spark):
 def test_components(graph, layout):
     edges, ids, df = graph
     assert as_map(components.weak_components(df), "component") == brute.weak(edges, ids)
-    if layout == "broadcast":
-        assert as_map(components.strong_components(df), "component") == brute.strong(edges, ids)
+
+
+def test_strong_components(graph, layout):
+    edges, ids, df = graph
+    assert as_map(components.strong_components(df), "component") == brute.strong(edges, ids)
 
 
 def test_long_chain_is_one_component(spark):
@@ -124,13 +127,42 @@ def test_louvain_separates_cliques(spark):
     assert community.modularity(df, groups).first()[0] > 0.6 > community.modularity(df, single).first()[0]
 
 
-def test_louvain_is_the_same_in_both_layouts(graph, monkeypatch):
-    _, ids, df = graph
-    first = as_map(community.louvain(df, max_rounds=2, max_levels=1), "label")
-    assert sorted(first) == ids
+def test_louvain_is_the_same_in_both_layouts(spark, monkeypatch):
+    edges = brute.random_graph(5, n=9, m=14)
+    df = spark.createDataFrame(edges, SCHEMA)
+    first = as_map(community.louvain(df), "label")
+    assert sorted(first) == brute.vertices(edges)
     monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(skew, "ROWS_PER_PART", 3)
-    assert as_map(community.louvain(df, max_rounds=2, max_levels=1), "label") == first
+    assert as_map(community.louvain(df), "label") == first
+
+
+def quality(links, label, whole):
+    total, inside = {}, 0.0
+    for (a, b), w in links.items():
+        total[label[a]] = total.get(label[a], 0) + w
+        inside += w * (label[a] == label[b])
+    return inside / whole - sum(t * t for t in total.values()) / whole ** 2
+
+
+@pytest.mark.parametrize("seed, last_share", [(6, 1 / 64), (7, 1.0)])
+def test_louvain_rounds_rise_to_a_local_optimum(spark, monkeypatch, seed, last_share):
+    """Also where all moves are made apart from each other (``last_share`` above the first share)."""
+    monkeypatch.setattr(community, "LAST_SHARE", last_share)
+    links = {}
+    for a, b, w in brute.random_graph(seed, n=20, m=60):
+        links[a, b] = links.get((a, b), 0) + w
+        links[b, a] = links.get((b, a), 0) + w
+    whole = float(sum(links.values()))
+    df = spark.createDataFrame([(a, b, float(w)) for (a, b), w in links.items()], "src long, dst long, w double")
+    groups, values = community.local_moves(df, whole, "s", 1e-9)
+    label = as_map(groups, "label")
+    assert all(x < y for x, y in zip(values, values[1:])) and len(values) > 1
+    assert values[0] == pytest.approx(quality(links, {v: v for v in label}, whole))
+    assert values[-1] == pytest.approx(quality(links, label, whole))
+    for v in label:
+        for other in set(label.values()):
+            assert quality(links, {**label, v: other}, whole) <= values[-1] + 1e-8
 
 
 def test_empty_graph(spark):
