@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import column, extended, map_arrow, read_table, slices, without
+from flowatlas.llm.common import column, extended, map_arrow, read_table, slices, without, written
 
 LONGEST, BITS, ALPHA = 3, 15, 0.5
 #: Languages times buckets at most in the matrix sent to all workers.
@@ -96,7 +96,7 @@ def counts(rows: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log-priors, log-probabilities by language and bucket)."""
-    found = counts(rows, text, lang)
+    found = written(counts(rows, text, lang))
     langs = [r[0] for r in found.filter("bucket = -1").select("lang").orderBy("lang").limit(MATRIX_CELLS // (1 << BITS) + 1).collect()]
     if len(langs) << BITS > MATRIX_CELLS:
         raise ValueError("too many languages for a matrix on every worker")
