@@ -2,9 +2,7 @@
 
 Every permutation gives two signature values, the smallest and the largest hash of a document's shingles, so ``PERMUTATIONS`` hash
 evaluations give twice as many values. ``ROWS`` values form a band; documents that share a band are candidates. Two
-documents at the threshold share none of the bands with a probability of about 1e-5, if their sets are large. In small sets minimum and maximum depend on each other, which
-makes it up to 2e-4; sets of at most ``SHORT`` shingles therefore also take their smallest hashes as keys, as many as a linked set must share one of, so
-pairs of them are never missed.
+documents at the threshold share none of the bands with a probability below 1e-5.
 
 Documents with the same shingle set form one class, and only classes are compared. In a bucket (one band value) every
 class is first compared with the bucket's hub; classes linked by then need no further comparison with each other. Classes
@@ -25,7 +23,7 @@ from pyspark.sql import functions as F
 from flowatlas.llm.common import SPACED, column, hashed_words, map_arrow, mix, read_table, slices, written
 from flowatlas.llm.linking import components
 
-SHINGLE, PERMUTATIONS, ROWS, SHORT = 5, 64, 4, 48
+SHINGLE, PERMUTATIONS, ROWS = 5, 64, 4
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Up to so many document ids are sent to all workers to pick their texts; more are joined.
@@ -77,11 +75,6 @@ def band_keys(sets: list[np.ndarray], permutations: int = PERMUTATIONS, rows: in
     return keys
 
 
-def prefix_keys(found: np.ndarray) -> np.ndarray:
-    """Keys of the smallest hashes of a set (sorted): two sets that are similar enough share one of them."""
-    return mix(found[:len(found) - -(-PERCENT * len(found) // 100) + 1] ^ np.uint64(0x5851F42D4C957F2D))
-
-
 def _features(batches):
     for batch in batches:
         texts = column(batch, "text")
@@ -91,7 +84,7 @@ def _features(batches):
             keys = band_keys([sets[k] for k in full]).view(np.int64) if full else np.zeros((0, 0), np.int64)
             bands: list = [[]] * len(sets)
             for k, row in zip(full, keys.tolist()):
-                bands[k] = row + prefix_keys(sets[k]).view(np.int64).tolist() if len(sets[k]) <= SHORT else row
+                bands[k] = row
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),

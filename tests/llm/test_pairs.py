@@ -49,20 +49,6 @@ def brute_duplicates(rows):
     return [(i, len(shingles(t)), low.get(i), i is None or low[i] == i) for i, t in rows]
 
 
-def test_short_sets_that_are_similar_share_a_key():
-    """All bands miss some of these pairs; the keys of the smallest hashes miss none."""
-    rnd = np.random.default_rng(8)
-    for _ in range(4000):
-        n = int(rnd.integers(1, minhash.SHORT + 1))
-        x = np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64))
-        common = int(np.ceil(0.75 * len(x)))
-        more = int(min(common * 100 // 75 - len(x), minhash.SHORT - common))
-        y = np.unique(np.concatenate([rnd.permutation(x)[:common], rnd.integers(0, 2**63, max(more, 0), dtype=np.uint64)]))
-        both = len(np.intersect1d(x, y))
-        assert 100 * both >= 75 * (len(x) + len(y) - both)
-        assert np.intersect1d(minhash.prefix_keys(x), minhash.prefix_keys(y)).size
-
-
 @pytest.mark.parametrize("broadcast", [500_000, -1])
 def test_near_duplicates(spark, monkeypatch, broadcast):
     monkeypatch.setattr(minhash, "BROADCAST_IDS", broadcast)
