@@ -2,7 +2,8 @@
 
 Every permutation gives two signature values, the smallest and the largest hash of a document's shingles, so ``PERMUTATIONS`` hash
 evaluations give twice as many values. ``ROWS`` values form a band; documents that share a band are candidates. Two
-documents at the threshold share none of the bands with a probability below 1e-5.
+documents at the threshold share none of the bands with a probability of about 1e-5, if their sets are large. In small sets minimum and maximum depend on each other, which
+makes it up to 2e-4 with these bands; sets of at most ``SHORT`` shingles therefore have twice as many permutations, which makes it less than 1e-7.
 
 Documents with the same shingle set form one class, and only classes are compared. In a bucket (one band value) every
 class is first compared with the bucket's hub; classes linked by then need no further comparison with each other. Classes
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from flowatlas.llm.common import SPACED, column, hashed_words, map_arrow, mix, read_table, slices, written
 from flowatlas.llm.linking import components
 
-SHINGLE, PERMUTATIONS, ROWS = 5, 64, 4
+SHINGLE, PERMUTATIONS, ROWS, SHORT = 5, 64, 4, 32
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Up to so many document ids are sent to all workers to pick their texts; more are joined.
@@ -80,11 +81,12 @@ def _features(batches):
         texts = column(batch, "text")
         for a, b in slices(texts, BATCH_CHARS):
             sets = shingle_sets(texts[a:b])
-            full = [k for k, s in enumerate(sets) if len(s)]
-            keys = band_keys([sets[k] for k in full]).view(np.int64) if full else np.zeros((0, 0), np.int64)
             bands: list = [[]] * len(sets)
-            for k, row in zip(full, keys.tolist()):
-                bands[k] = row
+            # The first bands are the same for all sets, so short and long ones meet in them.
+            for times, some in ((2, [k for k, s in enumerate(sets) if 0 < len(s) <= SHORT]), (1, [k for k, s in enumerate(sets) if len(s) > SHORT])):
+                keys = band_keys([sets[k] for k in some], times * PERMUTATIONS).view(np.int64) if some else np.zeros((0, 0), np.int64)
+                for k, row in zip(some, keys.tolist()):
+                    bands[k] = row
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
