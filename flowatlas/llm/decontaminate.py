@@ -6,10 +6,10 @@ doubles the length compared). Every suffix of every benchmark item is then binar
 The matches found are maximal: the same words, longer on neither side, at least a window long.
 
 A window is ``window`` consecutive words of an item; an item with fewer words, but not none, is one window. Items are the stated query
-set: they go to the workers in blocks of at most ``ITEM_BLOCK_WORDS`` words, one pass over the documents per block, so what is
-broadcast is bounded for benchmarks of any size. Documents are never shuffled; only rows with matches are.
+set: they go to the workers in blocks of at most ``ITEM_BLOCK_WORDS`` words. All blocks are held by every worker during the one pass over the
+documents, so the whole benchmark must fit a worker's memory; no bound is checked. Documents are never shuffled.
 
-Nulls and empty texts have no words: such documents are not hit, such items match nothing. Repeated rows are treated one by one.
+Nulls and empty texts have no words: such documents are not hit, such items match nothing. A null item id counts as the empty one. Repeated rows are treated one by one.
 """
 
 from __future__ import annotations
