@@ -17,7 +17,7 @@ from flowatlas.operators import (cleaning, community, components, embed, geo, gr
 from flowatlas.operators.adjacency import vertex_ids
 from flowatlas.operators.rank import pagerank
 from flowatlas.operators.removal import Removal
-from flowatlas.plans import fixtures as fx
+from flowatlas.plans import fixtures as fx, job
 from flowatlas.session import scratch_path, settle
 from flowatlas.sources import sinks, zones as zone_sources
 from flowatlas.sources.trips import IBB_MAPPING, TLC_MAPPING, read_any, read_months, read_trips, to_trips
@@ -810,6 +810,16 @@ def summary_report(spark, sf):
     return _rounded(report.summary_report(stats, city.scores, city.vertices, timeline), "value")
 
 
+@query
+def job_tables(spark, sf):
+    """The whole job written to a run folder and all its tables read back through the manifest."""
+    folder = scratch_path(spark, "run")
+    job.run_stages(spark, folder, job.analysis_stages(fx.trips(spark, sf), fx.zones(spark, sf)))
+    return job.inventory(job.read_run(spark, folder), {
+        "edges": "weight", "vertices": "id", "scores": "id", "betweenness": "id", "communities": "community", "components": "component", "timeline": "remaining_flow",
+        "node_features": "rank", "edge_features": "weight", "community_summary": "size", "stats": "flow", "summary": "0"})
+
+
 # --- walks and vectors --------------------------------------------------------------------------------------
 
 @query

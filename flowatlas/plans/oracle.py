@@ -578,3 +578,10 @@ ORACLES["removal_report"] = sql([*_CITY_ALL, *REMOVAL, *REMOVAL_WCC, *_step_rank
   FROM (SELECT * FROM ({_TIMELINE.format('', '')})) t LEFT JOIN names r ON removed_id = r.id LEFT JOIN (
     SELECT step AS s, string_agg(name, '; ' ORDER BY place) AS names FROM (
       SELECT step, id, row_number() OVER (PARTITION BY step ORDER BY CAST(r AS FLOAT) DESC, id) AS place FROM q_10) p JOIN names USING (id) WHERE place <= 3 GROUP BY step) l ON step = l.s""")
+
+ORACLES["job_tables"] = sql([*_CITY_ALL, *REMOVAL, *REMOVAL_WCC, *WCC, f"ef AS MATERIALIZED ({_EDGE_FEATURES})"], " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS rows, CAST(sum({total}) AS DOUBLE) AS total FROM {relation}" for name, total, relation in (
+        ("edges", "weight", "e"), ("vertices", "id", "v"), ("scores", "id", "pr"), ("betweenness", "id", "v"), ("communities", "community", "comm"),
+        ("components", "component", "wcc"), ("timeline", "remaining_flow", "flow_pct"), ("node_features", "n", "(SELECT row_number() OVER () AS n FROM v)"),
+        ("edge_features", "weight", "ef"), ("community_summary", "size", "sizes"), ("stats", "w", "(SELECT sum(weight) AS w FROM e)"),
+        ("summary", "0", "(SELECT unnest(range(8 + (SELECT least(5, count(*)) FROM v))))"))))
