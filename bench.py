@@ -26,7 +26,7 @@ from flowatlas.session import build_session, scratch_path, settle  # noqa: E402
 
 HEADLINE = os.environ.get(
     "BENCH_QUERIES",
-    "od_edges_base cleaning_report filter_ablation graph_stats pagerank_weighted label_propagation betweenness_hops summary_report",
+    "od_edges_base cleaning_report filter_ablation graph_stats pagerank_weighted label_propagation betweenness_hops wcc_whole scc_whole summary_report",
 ).split()
 
 
