@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowatlas.functions.scalar import compact_count, slug
 from flowatlas.operators import (cleaning, community, components, embed, geo, graph, paths, quality, report,
-                                 zoning)
+                                 skipgram, zoning)
 from flowatlas.operators.adjacency import vertex_ids
 from flowatlas.operators.rank import pagerank
 from flowatlas.operators.removal import Removal
@@ -824,13 +824,19 @@ def job_tables(spark, sf):
 
 @query
 def random_walks(spark, sf):
-    return embed.walk_rows(embed.random_walks(fx.depot_graph(spark, sf)))
+    return embed.walk_steps(fx.depot_graph(spark, sf))
+
+
+@query
+def biased_walks(spark, sf):
+    """Walks that turn back rather often and leave the neighbourhood rather seldom."""
+    return embed.walk_steps(fx.depot_graph(spark, sf), num_walks=2, walk_length=6, p=0.5, q=2.0)
 
 
 @query
 def node_embeddings(spark, sf):
     edges = fx.depot_graph(spark, sf)
-    vectors = embed.train_vectors(embed.random_walks(edges))
+    vectors = skipgram.train_vectors(embed.random_walks(edges))
     return embed.check_coverage(vertex_ids(edges), vectors).select("id", F.size("vector").alias("dimensions"))
 
 
@@ -865,10 +871,18 @@ def embedding_pca(spark, sf):
 def embedding_feed(spark, sf):
     city = _City(spark, sf)
     features = graph.rank_by(city.scores, "pagerank").join(city.communities.select("id", "community"), "id")
-    vectors = embed.train_vectors(embed.random_walks(city.edges))
+    vectors = skipgram.train_vectors(embed.random_walks(city.edges))
     return report.embedding_feed(embed.project(vectors), features)
 
 
+@query
+def embedding_feed_checks(spark, sf):
+    """The feed with a flag for learned positions that are numbers, the only part that SQL cannot give."""
+    feed = embedding_feed(spark, sf)
+    placed = ~F.isnan("x") & ~F.isnan("y") & (F.abs("x") < 1e6) & (F.abs("y") < 1e6)
+    return feed.select("id", "community", "rank", "labelled", _r("size", 6), placed.alias("placed"))
+
+
 # --- outlines --------------------------------------------------------------------------------------------------
 
 @query

@@ -545,6 +545,35 @@ ORACLES["random_walks"] = sql([*ALL, VERTICES,
     AND r.lo <= floor({_UNIFORM("walk_id || '#' || (pos + 1) || '#42'")} * t.total)
     AND floor({_UNIFORM("walk_id || '#' || (pos + 1) || '#42'")} * t.total) < r.hi
   WHERE pos < 79)"""], "SELECT walk_id, pos, node FROM walk")
+ORACLES["node_embeddings"] = sql([*ALL, VERTICES], "SELECT id, CAST(128 AS INTEGER) AS dimensions FROM v")
+
+
+ORACLES["embedding_feed_checks"] = sql(_CITY_ALL, f"""SELECT p.id, community, rank, rank <= 15 AS labelled,
+  round(30.0 + pagerank / (SELECT max(pagerank) FROM pr) * 250.0, 6) AS size, true AS placed FROM ({_PLACED}) p JOIN comm c ON p.id = c.id""")
+
+
+def _biased_walks(num_walks: int, walk_length: int, p: float, q: float, attempts: int = 120) -> list[str]:
+    """Steps unrolled; of all attempts of a step the first kept one counts. With a quarter kept at least, 120 attempts
+    leave none open but for a chance of 1e-15."""
+    largest = max(1 / p, 1, 1 / q)
+    steps = [f"""w0 AS MATERIALIZED (SELECT id || '-' || n AS walk_id, CAST(NULL AS BIGINT) AS prev, id AS node FROM v,
+      (SELECT range AS n FROM range({num_walks})))"""]
+    for k in range(1, walk_length):
+        tries = f"SELECT range AS a FROM range({attempts if k > 1 else 1})"
+        name = f"walk_id || '#{k}#42'" + (" || '#' || a" if k > 1 else "")
+        keep = f"""{_UNIFORM(name + " || '#keep'")} * {largest} < CASE WHEN r.dst = c.prev THEN {1 / p}
+          WHEN EXISTS (SELECT 1 FROM e WHERE e.src = c.prev AND e.dst = r.dst) THEN 1.0 ELSE {1 / q} END""" if k > 1 else "true"
+        steps.append(f"""w{k} AS MATERIALIZED (SELECT walk_id, node AS prev, arg_min(dst, a) AS node FROM (
+          SELECT c.walk_id, c.node, c.a, r.dst FROM (SELECT walk_id, prev, node, a, floor({_UNIFORM(name)} * t.total) AS x
+            FROM w{k - 1}, ({tries}), t WHERE t.src = node) c
+          JOIN r ON r.src = c.node AND r.lo <= c.x AND c.x < r.hi WHERE {keep}) GROUP BY walk_id, node)""")
+    return steps
+
+
+ORACLES["biased_walks"] = sql([*ALL, VERTICES,
+    "r AS MATERIALIZED (SELECT src, dst, sum(weight) OVER w AS hi, sum(weight) OVER w - weight AS lo, sum(weight) OVER (PARTITION BY src) AS total FROM e WINDOW w AS (PARTITION BY src ORDER BY dst ROWS UNBOUNDED PRECEDING))",
+    "t AS MATERIALIZED (SELECT DISTINCT src, CAST(total AS BIGINT) AS total FROM r)", *_biased_walks(2, 6, 0.5, 2.0)],
+    " UNION ALL ".join(f"SELECT walk_id, CAST({k} AS INTEGER) AS pos, node FROM w{k}" for k in range(6)))
 ORACLES["embedding_coverage"] = "SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT vec_id FROM embeddings)"
 _VECTORS = """vec AS MATERIALIZED (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
  lens AS MATERIALIZED (SELECT id, x, sqrt(list_sum(list_transform(x, lambda a: a * a))) AS n FROM vec)"""
