@@ -2,12 +2,15 @@
 
 Each task cuts its documents into shards of bounded size and sorts all word positions of a shard by the words that follow
 (prefix doubling on ranks: each round sorts only positions that still share their first words with another one, and
-doubles the length compared). Every suffix of every benchmark item is then binary-searched in the shard's suffix array, all at once.
-The matches found are maximal: the same words, longer on neither side, at least a window long.
+doubles the length compared). The suffixes of the benchmark items are then binary-searched in the shard's suffix array, all at once, those
+that begin with the same window once. The matches found are maximal: the same words, longer on neither side, at least a window long.
+Only their two ends are looked for: pairs of places that share a window but not the word before it (or not the word behind it). The
+pairs in between are never listed, so a word repeated thousands of times in both texts costs their lengths, not the product.
 
 A window is ``window`` consecutive words of an item; an item with fewer words, but not none, is one window. Items are the stated query
-set: they go to the workers in blocks of at most ``ITEM_BLOCK_WORDS`` words. All blocks are held by every worker during the one pass over the
-documents, so the whole benchmark must fit a worker's memory; no bound is checked. Documents are never shuffled.
+set: they go to the workers in blocks of about ``ITEM_BLOCK_WORDS`` words (one item at least), one pass over the documents per block, and a block is
+given back before the next one is sent. Between passes the documents are written with the matches so far; a benchmark of
+one block needs no such table. Documents are never shuffled.
 
 Nulls and empty texts have no words: such documents are not hit, such items match nothing. A null item id counts as the empty one. Repeated rows are treated one by one.
 """
@@ -19,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import ALNUM, column, extended, hashed_words, map_arrow, read_table, slices, without
+from flowatlas.llm.common import ALNUM, column, hashed_words, map_arrow, read_table, slices, without, written
 
 WINDOW = 13
-#: Words of benchmark items sent to the workers at once.
+#: Words of benchmark items held by the workers at once: about 100 MB.
 ITEM_BLOCK_WORDS = 1_000_000
 #: Characters of the documents of one shard, about; one document at least.
 SHARD_CHARS = 4_000_000
@@ -99,18 +102,72 @@ class SuffixArray:
         return low
 
 
+#: Stand for the missing word at the end of a text and of an item; they equal no word and not each other.
+NO_DOC_WORD, NO_ITEM_WORD = -1, -2
+
+
 class Items:
-    """Words of a block of benchmark items and the windows that are looked up."""
+    """Words of a block of benchmark items and the different windows that are looked up."""
 
     def __init__(self, ids: list[str], texts: list, window: int):
         self.ids = ids
-        self.words, self.bounds = hashed_words(texts, ALNUM)
-        sizes = np.diff(self.bounds)
+        words, bounds = hashed_words(texts, ALNUM)
+        sizes = np.diff(bounds)
         starts = np.where(sizes >= window, sizes - window + 1, np.minimum(sizes, 1))
-        self.item = np.repeat(np.arange(len(ids)), starts)
-        inside = np.arange(len(self.item)) - np.repeat(np.cumsum(starts) - starts, starts)
-        self.first = self.bounds[self.item] + inside
-        self.length = np.minimum(window, sizes[self.item])
+        item = np.repeat(np.arange(len(ids)), starts)
+        inside = np.arange(len(item)) - np.repeat(np.cumsum(starts) - starts, starts)
+        first = bounds[item] + inside
+        length = np.minimum(window, sizes[item])
+        self.words, self.known = words, np.unique(words)
+        kind = self._kinds(first, length)
+        # One place for each different window, which is what is searched.
+        _, where = np.unique(kind, return_index=True)
+        self.first, self.length = first[where], length[where]
+        numbers, behind = self.number(words), first + length
+        before, after = first, behind
+        if len(first):
+            before = np.where(inside > 0, numbers[first - 1], NO_ITEM_WORD)
+            after = np.where(behind < bounds[item + 1], numbers[np.minimum(behind, len(words) - 1)], NO_ITEM_WORD)
+        self.ends = [self._listed(kind, near, item, inside) for near in (before, after)]
+
+    def _kinds(self, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Equal numbers for windows of the same words."""
+        kinds, numbers, upto = np.zeros(len(first), np.int64), self.number(self.words), 0
+        for size in np.unique(length):
+            rows = np.flatnonzero(length == size)
+            same = numbers[first[rows]]
+            for k in range(1, size):
+                _, same = np.unique(same * (len(self.known) + 1) + numbers[first[rows] + k], return_inverse=True)
+            _, same = np.unique(same, return_inverse=True)
+            kinds[rows] = same + upto
+            upto += len(rows)
+        return np.unique(kinds, return_inverse=True)[1]
+
+    def number(self, words: np.ndarray) -> np.ndarray:
+        """Place of each word among the different words of the items; those of no item share the last number."""
+        if not len(self.known):
+            return np.zeros(len(words), np.int64)
+        at = np.searchsorted(self.known, words)
+        return np.where(self.known[np.minimum(at, len(self.known) - 1)] == words, at, len(self.known))
+
+    def _key(self, kind: np.ndarray, near: np.ndarray) -> np.ndarray:
+        return kind * (len(self.known) + 3) + near + 2
+
+    def _listed(self, kind, near, item, inside):
+        """Places of the items by window and neighbouring word."""
+        by = np.lexsort((near, kind))
+        return self._key(kind[by], near[by]), np.searchsorted(kind[by], np.arange(len(self.first) + 1)), item[by], inside[by]
+
+    def _differing(self, end: int, kind: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the documents with all places of the items that share the window but not the neighbour: (which, item, word)."""
+        keys, begin, item, inside = self.ends[end]
+        mine = self._key(kind, near)
+        low = np.concatenate([begin[kind], np.searchsorted(keys, mine, side="right")])
+        high = np.concatenate([np.searchsorted(keys, mine, side="left"), begin[kind + 1]])
+        sizes = high - low
+        which = np.repeat(np.tile(np.arange(len(kind)), 2), sizes)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
+        return which, item[place], inside[place]
 
     def matches(self, texts: list) -> list[tuple[int, list]]:
         """Per text the number of words and the maximal matches (item id, word in the text, word in the item, words)."""
@@ -121,21 +178,23 @@ class Items:
             suffixes = SuffixArray(hashes, bounds, int(self.length.max()))
             low, high = suffixes.ranges(self.words, self.first, self.length)
             hits = high - low
-            query = np.repeat(np.arange(len(hits)), hits)
-            at = suffixes.order[np.arange(len(query)) - np.repeat(np.cumsum(hits) - hits, hits) + np.repeat(low, hits)]
-            start = self.first[query]
-            # Windows that follow each other on one diagonal of the same item and text are one match.
-            text, item = np.searchsorted(bounds, at, side="right") - 1, self.item[query]
-            by = np.lexsort((at, at - start, item, text))
-            at, start, text, item, size = at[by], start[by], text[by], item[by], self.length[query][by]
-            if len(at):
-                joins = (np.diff(at) == 1) & (np.diff(start) == 1) & (np.diff(text) == 0) & (np.diff(item) == 0)
-                heads = np.flatnonzero(np.concatenate([[True], ~joins]))
-                tails = np.append(heads[1:], len(at)) - 1
-                words = at[tails] - at[heads] + size[heads]
-                for t, i, p, q, w in zip(text[heads].tolist(), item[heads].tolist(), (at[heads] - bounds[text[heads]]).tolist(),
-                                         (start[heads] - self.bounds[item[heads]]).tolist(), words.tolist()):
-                    found[t].append((self.ids[i], p, q, w))
+            kind = np.repeat(np.arange(len(hits)), hits)
+            at = suffixes.order[np.arange(len(kind)) - np.repeat(np.cumsum(hits) - hits, hits) + np.repeat(low, hits)]
+            text = np.searchsorted(bounds, at, side="right") - 1
+            numbers = self.number(hashes)
+            behind = at + self.length[kind]
+            near = (np.where(at > bounds[text], numbers[at - 1], NO_DOC_WORD),
+                    np.where(behind < bounds[text + 1], numbers[np.minimum(behind, len(hashes) - 1)], NO_DOC_WORD))
+            # On one diagonal of a text and an item first and last windows of matches take turns.
+            sides = []
+            for end in (0, 1):
+                which, item, inside = self._differing(end, kind, near[end])
+                place = at[which] - bounds[text[which]]
+                by = np.lexsort((place, place - inside, self.length[kind[which]], item, text[which]))
+                sides.append((text[which][by], item[by], place[by], inside[by], self.length[kind[which]][by]))
+            (owner, item, start, inside, _), (_, _, last, _, size) = sides
+            for t, i, p, q, w in zip(owner.tolist(), item.tolist(), start.tolist(), inside.tolist(), (last - start + size).tolist()):
+                found[t].append((self.ids[i], p, q, w))
         return list(zip(counts.tolist(), found))
 
 
@@ -157,25 +216,42 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
     """``docs`` without the text column, plus ``n_words`` and ``matches`` (see ``MATCH``): the longest verbatim matches
     with each item and where they lie in both.
 
-    Columns that are already called so are replaced.
+    Columns that are already called so are replaced. One pass over ``docs`` per block of items.
     """
     kept = without(docs.columns, text, "n_words", "matches")
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(Items(ids, texts, window)) for ids, texts in item_blocks(benchmark, item_id, "text")]
-    schema = extended(docs, kept, f"n_words long, matches {MATCH}")
+    # Packed, so that no column of docs can clash with a result.
+    rows = docs.select(F.col(text).alias("text"), F.struct(*kept, F.lit(None).cast("int").alias("_")).alias("row"),
+                       F.lit(0).cast("long").alias("n_words"), F.array().cast(MATCH).alias("matches"))
+    blocks = item_blocks(benchmark, item_id, "text")
+    block = next(blocks)
+    while block:
+        following = next(blocks, None)
+        held = docs.sparkSession.sparkContext.broadcast(Items(*block, window))
+        rows = _search(rows, held, last=following is None)
+        if following:
+            rows = written(rows, "matches")
+            held.unpersist()
+        block = following
+    return rows.select(*[F.col("row").getField(n).alias(n) for n in kept], "n_words", "matches")
+
+
+def _search(rows: DataFrame, held, last: bool) -> DataFrame:
+    """``rows`` with the matches of one block of items added; the texts are passed on but for the last block."""
     kind = pa.list_(pa.struct([("item", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("words", pa.int32())]))
+    parts = ("item", "doc_word", "item_word", "words")
+    names = [n for n in rows.columns if not (last and n == "text")]
 
     def scan(batches):
         for batch in batches:
-            texts = column(batch, text)
-            rest = batch.select(kept)
+            texts, earlier = column(batch, "text"), column(batch, "matches")
             for a, b in slices(texts, SHARD_CHARS):
-                rows = [block.value.matches(texts[a:b]) for block in blocks]
-                found = [[dict(zip(("item", "doc_word", "item_word", "words"), m)) for r in row for m in r[1]] for row in zip(*rows)]
-                yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, pa.array([r[0] for r in rows[0]], pa.int64()), pa.array(found, kind)],
-                                                 names=[*rest.schema.names, "n_words", "matches"])
+                found = held.value.matches(texts[a:b])
+                added = [old + [dict(zip(parts, m)) for m in new] for old, (_, new) in zip(earlier[a:b], found)]
+                results = {"n_words": pa.array([n for n, _ in found], pa.int64()), "matches": pa.array(added, kind)}
+                whole = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([results[n] if n in results else whole.column(n) for n in names], names=names)
 
-    return map_arrow(docs, scan, schema)
+    return map_arrow(rows, scan, rows.select(*names).schema)
 
 
 def covered_words(found: str = "matches") -> Column:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -133,6 +134,50 @@ def test_decontamination(spark, monkeypatch, shard):
         assert decontaminate.judged(frame(spark), benchmark.limit(0)).filter("contaminated").isEmpty()
 
 
+def plain_matches(text, item, window):
+    """Maximal common word runs by comparing every pair of places."""
+    a, b = words(text, ALNUM), words(item, ALNUM)
+    least = min(window, len(b))
+    found = set()
+    for p in range(len(a)):
+        for q in range(len(b)):
+            if p and q and a[p - 1] == b[q - 1]:
+                continue
+            n = 0
+            while p + n < len(a) and q + n < len(b) and a[p + n] == b[q + n]:
+                n += 1
+            if n >= least:
+                found.add((p, q, n))
+    return found
+
+
+def test_matches_equal_comparing_all_places():
+    """Few different words, so that windows repeat in texts and items; short, empty and repeated items; words of no item."""
+    rnd = np.random.default_rng(3)
+    for trial in range(40):
+        draw = lambda n, letters: " ".join(rnd.choice(list(letters), n))
+        items = [draw(n, "ab" if trial % 2 else "abc") for n in (12, 3, 1, 30)] + ["a a a a a a a a", "", "x y"]
+        items.append(items[0])
+        texts = [draw(n, "abz") for n in (40, 0, 2, 60)] + [None, "a " * 30, "a b " * 15, items[3]]
+        block = decontaminate.Items([str(n) for n in range(len(items))], items, 4)
+        got = block.matches(texts)
+        for text, (n_words, found) in zip(texts, got):
+            assert n_words == len(words(text, ALNUM)) and len(found) == len(set(found))
+            for n, item in enumerate(items):
+                assert {m[1:] for m in found if m[0] == str(n)} == plain_matches(text, item, 4), (trial, text, item)
+
+
+def test_repeated_words_cost_their_length():
+    """20,000 times a word against 3,000 times the same word: 60 million pairs of places, some ten thousand matches."""
+    block = decontaminate.Items(["x"], ["a " * 3000], 13)
+    tracemalloc.start()
+    (n_words, found), = block.matches(["a " * 20000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n_words == 20000 and max(m[3] for m in found) == 3000 and len(found) < 23000
+    assert peak < 200e6
+
+
 def test_longest_matches_and_their_places(spark):
     body = documents()[0][1].split()
     docs = frame(spark, [(1, " ".join(["q"] * 5 + body[20:60] + ["q"] * 5))])
