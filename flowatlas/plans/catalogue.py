@@ -20,7 +20,7 @@ from flowatlas.operators.removal import Removal
 from flowatlas.plans import fixtures as fx, job
 from flowatlas.session import scratch_path, settle
 from flowatlas.sources import sinks, zones as zone_sources
-from flowatlas.sources.trips import IBB_MAPPING, TLC_MAPPING, read_any, read_months, read_trips, to_trips
+from flowatlas.sources.trips import merge_sources, split_trips, IBB_MAPPING, TLC_MAPPING, read_any, read_months, read_trips, to_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,6 +155,36 @@ def merge_mixed_types(spark, sf):
     return _pair_totals(read_months(spark, written))
 
 
+@query
+def merge_by_pattern(spark, sf):
+    """Months with an integer, a long and a double passenger count merged by one pattern that the output matches too, counted by origin."""
+    trips = fx.trips(spark, sf)
+    folder = scratch_path(spark, "merge")
+    kinds = ("int", "long", "double")
+    for n, kind in enumerate(kinds):
+        part = trips.filter(F.month("pickup_datetime") % 3 == n).withColumn("passenger_count", F.col("passenger_count").cast(kind))
+        sinks.write_table(part, f"{folder}/{kind}.parquet")
+    output = f"{folder}/all.parquet"
+    for _ in range(2):  # the second merge finds the output of the first
+        merge_sources(spark, f"{folder}/*.parquet", output, "origin").write.mode("overwrite").parquet(output)
+    merged = spark.read.parquet(output)
+    name = F.regexp_extract("origin", r"/(\w+)\.parquet/", 1)
+    return merged.groupBy(name.alias("origin")).agg(
+        F.count("*").alias("trips"), F.sum("passenger_count").cast("long").alias("passengers"), F.lit(dict(merged.dtypes)["passenger_count"]).alias("type"))
+
+
+@query
+def rejected_trips(spark, sf):
+    """The dotted feed written in one pass, unreadable rows aside: rows counted while written, rows read back, their months."""
+    raw = read_any(spark, _dotted_feed(spark, sf))
+    trips, rejected, counts = split_trips(raw, scratch_path(spark, "intake"), IBB_MAPPING, ["dd.MM.yyyy HH:mm:ss"])
+    seen = spark.createDataFrame(list(counts.items()), "reason string, observed long")
+    month = F.date_format("pickup_datetime", "yyyy-MM")
+    back = trips.groupBy(F.lit("kept").alias("reason"), month.alias("month")).agg(F.count("*").alias("trips")).unionByName(
+        rejected.groupBy("reason", F.get_json_object("raw", "$.pickup_datetime").alias("month")).agg(F.count("*").alias("trips")))
+    return back.join(F.broadcast(seen), "reason")
+
+
 @query
 def glob_scan(spark, sf):
     """Trips written by month and read back through one pattern."""
@@ -206,13 +236,17 @@ def source_json_array(spark, sf):
     return _pair_totals(read_trips(spark, path))
 
 
-@query
-def source_dotted_dates(spark, sf):
-    """A feed with dates such as 15.01.2023 10:00:00; every tenth pickup cannot be read."""
+def _dotted_feed(spark, sf) -> str:
     raw = fx.raw_feed(spark, sf, IBB_MAPPING)
     dotted = {c: F.date_format(c, "dd.MM.yyyy HH:mm:ss") for c in ("BINIS_TARIH", "INIS_TARIH")}
     broken = F.when(F.col("YOLCU_SAYISI") == 3, F.lit("unknown")).otherwise(dotted["BINIS_TARIH"])
-    path = sinks.write_table(raw.withColumns({**dotted, "BINIS_TARIH": broken}), scratch_path(spark, "dotted.csv"))
+    return sinks.write_table(raw.withColumns({**dotted, "BINIS_TARIH": broken}), scratch_path(spark, "dotted.csv"))
+
+
+@query
+def source_dotted_dates(spark, sf):
+    """A feed with dates such as 15.01.2023 10:00:00; pickups of trips with three passengers cannot be read."""
+    path = _dotted_feed(spark, sf)
     trips = read_trips(spark, path, IBB_MAPPING, timestamp_formats=["dd.MM.yyyy HH:mm:ss"])
     month = F.coalesce(F.date_format("pickup_datetime", "yyyy-MM"), F.lit("unreadable"))
     return trips.groupBy(month.alias("month")).agg(F.count("*").alias("trips"), F.sum("trip_duration_minutes").alias("minutes"))

@@ -261,6 +261,11 @@ for _name in ("convert_mapped_trips", "convert_tlc_trips", "merge_sources_monthl
     ORACLES[_name] = sql([TRIPS], _PAIRS)
 ORACLES["source_dotted_dates"] = sql([TRIPS], """SELECT CASE WHEN pass = 3 THEN 'unreadable' ELSE strftime(pickup_datetime, '%Y-%m') END AS month,
   count(*) AS trips, sum(CASE WHEN pass <> 3 THEN dur END) AS minutes FROM trips GROUP BY 1""")
+ORACLES["merge_by_pattern"] = sql([TRIPS], """SELECT ['int', 'long', 'double'][month(pickup_datetime) % 3 + 1] AS origin, count(*) AS trips,
+  CAST(sum(pass) AS BIGINT) AS passengers, 'double' AS type FROM trips GROUP BY 1""")
+ORACLES["rejected_trips"] = sql([TRIPS], """SELECT CASE WHEN pass = 3 THEN 'unreadable pickup_datetime' ELSE 'kept' END AS reason,
+  CASE WHEN pass = 3 THEN 'unknown' ELSE strftime(pickup_datetime, '%Y-%m') END AS month, count(*) AS trips,
+  CAST(sum(count(*)) OVER (PARTITION BY pass = 3) AS BIGINT) AS observed FROM trips GROUP BY 1, 2, pass = 3""")
 ORACLES["source_lenient_ts"] = """SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'unreadable' ELSE strftime(o_orderdate, '%Y-%m') END AS month,
   count(*) AS orders FROM orders GROUP BY 1"""
 ORACLES["zone_lookup_files"] = """SELECT n_nationkey AS zone_id, n_name AS zone_name,

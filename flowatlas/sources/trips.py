@@ -6,7 +6,7 @@ import os
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,8 +63,8 @@ def _read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
 
 
-def read_any(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
-    """Read by extension (glob patterns too). Text formats arrive as strings, so there is no
+def read_any(spark: SparkSession, path: str | list[str], layout: str | None = None) -> DataFrame:
+    """Read by extension (glob patterns and lists of one format too). Text formats arrive as strings, so there is no
     inference scan; ``to_trips`` gives them their types.
 
     JSON records come one per line (``layout="lines"``) or as one array or object per file (``"document"``); for
@@ -72,10 +72,11 @@ def read_any(spark: SparkSession, path: str, layout: str | None = None) -> DataF
     """
     if layout not in (None, "lines", "document"):
         raise ValueError(f"unknown layout {layout!r}; use 'lines' or 'document'")
-    extension = os.path.splitext(path.rstrip("/"))[1].lower()
+    first = path if isinstance(path, str) else path[0]
+    extension = os.path.splitext(first.rstrip("/"))[1].lower()
     reader = spark.read
     if extension == ".parquet":
-        load = reader.parquet
+        load = reader.format("parquet").load
     elif extension == ".csv":
         load = reader.option("header", True).csv
     elif extension == ".tsv":
@@ -132,7 +133,13 @@ def require_columns(df: DataFrame, columns: list[str] = REQUIRED) -> DataFrame:
 
 def to_trips(df: DataFrame, mapping: dict[str, str] | None = None, timestamp_formats: list[str] | None = None) -> DataFrame:
     """Rename, derive the duration and give every column its declared type."""
-    df = require_columns(derive_duration(rename_columns(df, mapping or {}), timestamp_formats))
+    return _typed(rename_columns(df, mapping or {}), timestamp_formats)
+
+
+def _typed(df: DataFrame, timestamp_formats: list[str] | None, *others: str) -> DataFrame:
+    """The required columns with their types, and ``others`` as they are."""
+    df = derive_duration(df, timestamp_formats)
+    require_columns(df)
     columns = []
     for field in TRIP_SCHEMA:
         if df.schema[field.name].dataType == field.dataType:
@@ -145,7 +152,35 @@ def to_trips(df: DataFrame, mapping: dict[str, str] | None = None, timestamp_for
         else:
             value = F.col(field.name).try_cast(field.dataType)
         columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *others)
+
+
+def split_trips(df: DataFrame, folder: str, mapping: dict[str, str] | None = None,
+                timestamp_formats: list[str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``(trips, rejected, counts)``: one pass writes the readable trips and the others, with their reason, below ``folder``.
+
+    A row is rejected if a required column holds text that its type cannot take; the first such column gives the reason
+    (``unreadable pickup_datetime``). Nulls and blank text are missing values, not unreadable ones, and are kept.
+    ``rejected`` is ``(reason, raw)`` with the row as it came as JSON. ``counts`` has the rows of every
+    outcome, ``kept`` included, observed while they are written.
+    """
+    df = rename_columns(df, mapping or {})
+    given = [c for c in REQUIRED if c in df.columns]
+    rows = _typed(df.withColumn("_raw", F.struct(*df.columns)), timestamp_formats, "_raw")
+
+    def unreadable(name: str) -> Column:
+        return F.col(name).isNull() & (F.trim(F.col(f"_raw.{name}").cast("string")) != "")
+
+    reason = F.coalesce(*[F.when(unreadable(c), F.lit(f"unreadable {c}")) for c in given], F.lit("kept"))
+    outcomes = ["kept", *[f"unreadable {c}" for c in given]]
+    seen = Observation()
+    rows = rows.withColumn("reason", reason).observe(seen, *[F.count_if(F.col("reason") == o).alias(o) for o in outcomes])
+    raw = F.when(F.col("reason") != "kept", F.to_json("_raw")).alias("raw")
+    rows.select(*REQUIRED, raw, "reason").write.partitionBy("reason").parquet(folder)
+    schema = T.StructType([*TRIP_SCHEMA, T.StructField("raw", T.StringType()), T.StructField("reason", T.StringType())])
+    written = df.sparkSession.read.schema(schema).parquet(folder)
+    counts = {name: n for name, n in seen.get.items() if n}
+    return written.filter(F.col("reason") == "kept").select(*REQUIRED), written.filter(F.col("reason") != "kept").select("reason", "raw"), counts
 
 
 def read_trips(spark: SparkSession, path: str, mapping: dict[str, str] | None = None, layout: str | None = None,
@@ -162,12 +197,41 @@ def read_months(spark: SparkSession, paths: list[str], mapping: dict[str, str] |
     return reduce(DataFrame.unionByName, parts)
 
 
-def merge_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Bag union of several inputs in name order; each must have the required columns."""
-    if not paths:
-        raise ValueError("no input files")
-    merged = None
-    for path in sorted(set(paths)):
-        part = require_columns(read_any(spark, path))
-        merged = part if merged is None else merged.unionByName(part)
-    return merged
+def matching_inputs(spark: SparkSession, pattern: str, output: str | None = None) -> list[str]:
+    """Files and table folders that match ``pattern``, in name order, without ``output`` and what lies in it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def qualified(path: str):
+        path = jvm.org.apache.hadoop.fs.Path(path)
+        system = path.getFileSystem(conf)
+        return system, system.makeQualified(path)
+
+    system, path = qualified(pattern)
+    found = sorted(str(status.getPath()) for status in system.globStatus(path) or [])
+    if output is not None:
+        own = str(qualified(output)[1])
+        found = [f for f in found if f != own and not f.startswith(own + "/")]
+    return found
+
+
+def merge_sources(spark: SparkSession, paths: str | list[str], output: str | None = None, origin: str | None = None) -> DataFrame:
+    """Bag union of several inputs, given one by one or as a pattern; each must have the required columns.
+
+    Types come from the schemas alone (footers, for Parquet): inputs of the same format and schema are one scan, and columns that differ
+    in type between scans (an integer, a long, a double) get the type that holds both. ``output`` is left out, so that
+    a merge written next to its inputs can be repeated. ``origin`` names a column for the file a row came from.
+    """
+    found = matching_inputs(spark, paths, output) if isinstance(paths, str) else sorted(set(paths))
+    if not found:
+        raise ValueError(f"no input files: {paths}")
+    scans: dict[tuple, list[str]] = {}
+    for path in found:
+        part = read_any(spark, path)
+        require_columns(part)
+        # Column order counts: the header of the first of several text files is taken for all.
+        scans.setdefault((os.path.splitext(path)[1].lower(), part.schema.json()), []).append(path)
+    parts = []
+    for group in scans.values():
+        part = read_any(spark, group)
+        parts.append(part.select(*REQUIRED, *([F.col("_metadata.file_path").alias(origin)] if origin else [])))
+    return reduce(DataFrame.unionByName, parts)

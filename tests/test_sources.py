@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowatlas.operators import report
 from flowatlas.session import scratch_path, shared_root
 from flowatlas.sources import sinks, zones
-from flowatlas.sources.trips import (IBB_MAPPING, TRIP_SCHEMA, merge_sources, read_any, read_months, read_trips, require_columns,
+from flowatlas.sources.trips import (IBB_MAPPING, TRIP_SCHEMA, merge_sources, read_any, read_months, read_trips, require_columns, split_trips,
                                      to_trips)
 
 CSV = """pickup_datetime,dropoff_datetime,PULocationID,DOLocationID,trip_distance,trip_duration_minutes,fare_amount,passenger_count
@@ -86,6 +86,42 @@ def test_merge(spark, tmp_path):
         require_columns(spark.range(1))
 
 
+def test_merge_by_pattern_leaves_out_its_output(spark, tmp_path):
+    rows = [("2023-01-01 00:00:00", "2023-01-01 00:10:00", 1, 2, 3.0, 10.0, 5.0, 1)]
+    df = spark.createDataFrame(rows, "pickup_datetime string, dropoff_datetime string, PULocationID int, DOLocationID int, trip_distance double, "
+                                     "trip_duration_minutes double, fare_amount double, passenger_count int")
+    for name, kind in (("a", "int"), ("b", "long"), ("c", "double"), ("d", "int")):
+        df.withColumn("passenger_count", F.col("passenger_count").cast(kind)).write.parquet(str(tmp_path / f"{name}.parquet"))
+    (tmp_path / "e.csv").write_text("x\n1\n")
+    output = str(tmp_path / "merged.parquet")
+    for _ in range(2):
+        merged = merge_sources(spark, str(tmp_path / "*.parquet"), output, "origin")
+        assert dict(merged.dtypes)["passenger_count"] == "double" and merged.count() == 4
+        merged.write.mode("overwrite").parquet(output)
+    assert {r["origin"].split("/")[-2] for r in spark.read.parquet(output).collect()} == {f"{n}.parquet" for n in "abcd"}
+    # Inputs of one schema are one scan.
+    assert merged._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 3
+    with pytest.raises(ValueError, match="no input"):
+        merge_sources(spark, str(tmp_path / "*.tsv"))
+
+
+def test_rejected_rows_go_aside_in_one_scan(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "BINIS_TARIH,INIS_TARIH,BINIS_BOLGE_ID,INIS_BOLGE_ID,MESAFE_KM,UCRET,YOLCU_SAYISI\n"
+        "01.02.2023 10:00:00,01.02.2023 10:30:00,1,2,3.5,10,1\n"
+        "soon,01.02.2023 10:30:00,1,2,3.5,10,1\n"
+        "01.02.2023 10:00:00,01.02.2023 10:30:00,x,2,far,10,1\n"
+        "01.02.2023 10:00:00,01.02.2023 10:30:00,1,2,,10,\n")
+    raw = read_any(spark, str(tmp_path / "t.csv"))
+    trips, rejected, counts = split_trips(raw, str(tmp_path / "out"), IBB_MAPPING, ["dd.MM.yyyy HH:mm:ss"])
+    assert counts == {"kept": 2, "unreadable pickup_datetime": 1, "unreadable PULocationID": 1}
+    assert trips.schema == TRIP_SCHEMA and {r["trip_distance"] for r in trips.collect()} == {3.5, None}
+    assert {(r["reason"], json.loads(r["raw"])["trip_distance"]) for r in rejected.collect()} == {
+        ("unreadable pickup_datetime", "3.5"), ("unreadable PULocationID", "far")}
+    empty = split_trips(raw.limit(0), str(tmp_path / "none"), IBB_MAPPING)
+    assert empty[2] == {} and empty[0].count() == 0 and empty[1].count() == 0
+
+
 def test_zone_files(spark, tmp_path):
     lookup, centroid = tmp_path / "lookup.csv", tmp_path / "centroids.csv"
     lookup.write_bytes('﻿"LocationID","Borough","Zone","service_zone"\n1,"A"," North ","x"\nx,"A","Bad","x"\n2,"A","  ","x"\n3,"A","South","x"\n'.encode())
