@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowatlas.functions.scalar import compact_count, slug
-from flowatlas.operators import (cleaning, community, components, embed, geo, graph, paths, quality, report,
+from flowatlas.operators import (cleaning, community, components, embed, geo, graph, nearest, paths, quality, report,
                                  skipgram, zoning)
 from flowatlas.operators.adjacency import vertex_ids
 from flowatlas.operators.rank import pagerank
@@ -31,7 +31,7 @@ def query(function: Query) -> Query:
     return function
 
 
-#: Removals after which the thinned depot graph falls apart.
+#: Removals in the queries that look for splits.
 SPLITTING = 12
 
 
@@ -353,9 +353,9 @@ def undirected_edges(spark, sf):
 
 @query
 def isolated_ratio(spark, sf):
-    """Depots (all suppliers) without an edge of at least ``MIN_MOVES`` moves."""
+    """Depots (all suppliers) without an edge of at least twice the mean moves."""
     depots = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
-    edges = fx.depot_graph(spark, sf, fx.MIN_MOVES)
+    edges = fx.busy_depots(spark, sf)
     return graph.isolated_ratio(graph.add_isolated(vertex_ids(edges), depots), edges)
 
 
@@ -434,8 +434,8 @@ def pagerank_converged(spark, sf):
     return scores.select("id", _r("pagerank"))
 
 
-def _ranked_zones(spark, sf, min_trips: int = 1) -> tuple[DataFrame, DataFrame]:
-    edges = fx.depot_graph(spark, sf, min_trips)
+def _ranked_zones(spark, sf, graph_of=fx.depot_graph) -> tuple[DataFrame, DataFrame]:
+    edges = graph_of(spark, sf)
     return edges, settle(pagerank(edges))
 
 
@@ -497,22 +497,22 @@ def pr_vs_betweenness(spark, sf):
 
 @query
 def wcc(spark, sf):
-    return components.weak_components(fx.depot_graph(spark, sf, fx.MIN_MOVES))
+    return components.weak_components(fx.busy_depots(spark, sf))
 
 
 @query
 def scc(spark, sf):
-    return components.strong_components(fx.depot_graph(spark, sf, fx.MIN_MOVES))
+    return components.strong_components(fx.busy_depots(spark, sf))
 
 
 @query
 def component_sizes(spark, sf):
-    return components.group_sizes(components.weak_components(fx.depot_graph(spark, sf, fx.MIN_MOVES)), "component")
+    return components.group_sizes(components.weak_components(fx.busy_depots(spark, sf)), "component")
 
 
 @query
 def largest_component(spark, sf):
-    return components.largest_component(fx.depot_graph(spark, sf, fx.MIN_MOVES))
+    return components.largest_component(fx.busy_depots(spark, sf))
 
 
 @query
@@ -631,8 +631,8 @@ def avg_path_length(spark, sf):
 
 # --- removal ------------------------------------------------------------------------------------------
 
-def _removal(spark, sf, min_trips: int = 1, k: int = 5) -> Removal:
-    edges, scores = _ranked_zones(spark, sf, min_trips)
+def _removal(spark, sf, graph_of=fx.depot_graph, k: int = 5) -> Removal:
+    edges, scores = _ranked_zones(spark, sf, graph_of)
     return Removal(edges, scores, k)
 
 
@@ -643,7 +643,7 @@ def removal_flow(spark, sf):
 
 @query
 def removal_components(spark, sf):
-    return _removal(spark, sf, fx.MIN_MOVES, SPLITTING).components()
+    return _removal(spark, sf, fx.busy_depots, SPLITTING).components()
 
 
 def _route_removal(spark, sf, k: int) -> Removal:
@@ -688,7 +688,7 @@ def removal_new_top3(spark, sf):
 
 @query
 def removal_timeline(spark, sf):
-    table = _removal(spark, sf, fx.MIN_MOVES, SPLITTING).timeline()
+    table = _removal(spark, sf, fx.busy_depots, SPLITTING).timeline()
     return _rounded(
         table, "remaining_flow_pct", "remaining_edge_pct", "avg_path", "flow_drop", "cumulative_loss"
     )
@@ -896,6 +896,24 @@ def similar_zones(spark, sf):
     return _rounded(embed.similar_zones(fx.vectors(spark, sf), scores, names), "similarity", "pagerank")
 
 
+@query
+def nearest_all(spark, sf):
+    """Five nearest vectors of every vector."""
+    return nearest.nearest_vectors(fx.vectors(spark, sf)).select("anchor", "place", "id", _r("similarity"))
+
+
+@query
+def vectors_written(spark, sf):
+    """Vectors and their neighbours written and read back: per vector its length, its best neighbour and how many name it."""
+    vectors = fx.vectors(spark, sf)
+    path = sinks.write_vectors(vectors, nearest.nearest_vectors(vectors), scratch_path(spark, "vectors"))
+    again, pairs = sinks.read_vectors(spark, path)
+    best = pairs.filter("place = 1").select(F.col("anchor").alias("id"), F.col("id").alias("best"), "similarity")
+    named = pairs.groupBy("id").agg(F.count("*").alias("named_by"))
+    return again.join(best, "id", "left").join(named, "id", "left").select(
+        "id", F.size("vector").alias("dimensions"), "best", _r("similarity"), F.coalesce("named_by", F.lit(0)).alias("named_by"))
+
+
 @query
 def embedding_pca(spark, sf):
     return embed.project(fx.vectors(spark, sf))

@@ -85,13 +85,15 @@ def depot_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moves.filter(_C("src") != _C("dst")).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-#: Minimum number of moves in queries about components: without it every depot is linked with every other one.
-MIN_MOVES = 12
+def depot_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All depot edges, aggregated once."""
+    return settle(depot_edges(spark, sf_dir))
 
 
-def depot_graph(spark: SparkSession, sf_dir: str, min_trips: int = 1) -> DataFrame:
-    """Depot edges with at least ``min_trips`` moves (the minimum-trips rule), aggregated once."""
-    return settle(depot_edges(spark, sf_dir).filter(_C("weight") >= min_trips))
+def busy_depots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minimum-trips rule: depot edges with at least twice the moves of the mean edge, whatever the size of the tables."""
+    edges = depot_graph(spark, sf_dir)
+    return settle(edges.filter(_C("weight") >= 2 * edges.agg(F.avg("weight")).scalar()))
 
 
 def hops(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ DEPOTS = """depots AS MATERIALIZED (
     SELECT l_suppkey AS src, l_partkey % (SELECT count(*) FROM supplier) AS dst FROM lineitem)
   WHERE src <> dst GROUP BY src, dst)"""
 ALL = [ZONES, DEPOTS, "e AS MATERIALIZED (SELECT * FROM depots)"]
-THIN = [ZONES, DEPOTS, "e AS MATERIALIZED (SELECT * FROM depots WHERE weight >= 12)"]
+THIN = [ZONES, DEPOTS, "e AS MATERIALIZED (SELECT * FROM depots WHERE weight >= 2 * (SELECT avg(weight) FROM depots))"]
 VERTICES = "v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e)"
 NAMED = """names AS (
   SELECT id, coalesce(zone_name, 'Zone-' || id) AS name, coalesce(latitude, 0) AS latitude,
@@ -589,6 +589,14 @@ ORACLES["cosine_topn"] = sql([*ALL, FLOWS, _VECTORS,
     SELECT anchor, id, s, row_number() OVER (PARTITION BY anchor ORDER BY CAST(s AS FLOAT) DESC, id) AS place FROM (
       SELECT a.id AS anchor, b.id, {_COSINE} AS s FROM lens a JOIN lens b ON a.id <> b.id WHERE a.id IN (SELECT id FROM anchors)))
   WHERE place <= 5""")
+_NEAREST = f"""near AS MATERIALIZED (
+  SELECT anchor, CAST(place AS INTEGER) AS place, id, round(s, 8) AS similarity FROM (
+    SELECT anchor, id, s, row_number() OVER (PARTITION BY anchor ORDER BY CAST(s AS FLOAT) DESC, id) AS place FROM (
+      SELECT a.id AS anchor, b.id, {_COSINE} AS s FROM lens a JOIN lens b ON a.id <> b.id WHERE a.n > 0 AND b.n > 0))
+  WHERE place <= 5)"""
+ORACLES["nearest_all"] = sql([_VECTORS, _NEAREST], "SELECT * FROM near")
+ORACLES["vectors_written"] = sql([_VECTORS, _NEAREST], """SELECT vec.id, CAST(len(x) AS INTEGER) AS dimensions, n.id AS best, similarity,
+  (SELECT count(*) FROM near WHERE near.id = vec.id) AS named_by FROM vec LEFT JOIN near n ON n.anchor = vec.id AND n.place = 1""")
 ORACLES["similar_zones"] = sql([*ALL, *RANKED, NAMED, _VECTORS, f"placed AS MATERIALIZED ({_PLACED})"], f"""
   SELECT s.anchor, a.name AS anchor_name, p.rank AS anchor_rank, CAST(place AS INTEGER) AS place, s.id, n.name,
     round(s.s, 8) AS similarity, round(q.pagerank, 8) AS pagerank FROM (

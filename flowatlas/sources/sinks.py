@@ -1,10 +1,10 @@
-"""Written results: Parquet, CSV, TSV, JSON lines, and the sectioned map document."""
+"""Written results: Parquet, CSV, TSV, JSON lines, the sectioned map document, and vectors with their neighbours."""
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str) -> str:
@@ -33,3 +33,15 @@ def write_map_document(sections: dict[str, DataFrame], path: str) -> str:
     for name, section in sections.items():
         section.write.mode("overwrite").json(os.path.join(path, name))
     return path
+
+
+def write_vectors(vectors: DataFrame, neighbours: DataFrame, path: str) -> str:
+    """``(id, vector)`` and the pairs ``(anchor, id, similarity, place)`` as two Parquet tables below ``path``."""
+    vectors.select("id", "vector").write.mode("overwrite").parquet(os.path.join(path, "vectors"))
+    neighbours.select("anchor", "id", "similarity", "place").write.mode("overwrite").parquet(os.path.join(path, "neighbours"))
+    return path
+
+
+def read_vectors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(vectors, neighbours) written by ``write_vectors``."""
+    return spark.read.parquet(os.path.join(path, "vectors")), spark.read.parquet(os.path.join(path, "neighbours"))
