@@ -202,53 +202,73 @@ def test_language(spark):
     assert {r["lang_pred"] for r in everything.collect()} == {"und"} and everything.count() == len(documents())
 
 
-def brute_model(train, texts):
-    sentences = [[*words(t, SPACED), "</s>"] for t in train]
-    counts = collections.Counter(w for s in sentences for w in s)
-    pairs = collections.Counter(p for s in sentences for p in zip(["<s>", *s], s))
+def brute_model(train, texts, order):
+    """Kneser-Ney by its definition: counts of the longest n-grams and of those at a text's start, else different words before."""
+    sentences = [["<s>", *words(t, SPACED), "</s>"] for t in train]
+    raw = [collections.Counter(tuple(s[i:i + n]) for s in sentences for i in range(len(s) - n + 1)) for n in range(1, order + 1)]
+    tables = []
+    for n in range(1, order + 1):
+        if n == order:
+            tables.append(raw[n - 1])
+            continue
+        table = collections.Counter(g[1:] for g in raw[n])
+        if n > 1:
+            table.update({g: c for g, c in raw[n - 1].items() if g[0] == "<s>"})
+        tables.append(table)
+    counts = collections.Counter(w for s in sentences for w in s[1:])
     total, size = sum(counts.values()), len(counts)
+    cuts = [language_model.discounts([sum(c == n for c in t.values()) for n in (1, 2, 3, 4)]).tolist() for t in tables]
+    mass, given = collections.Counter(), collections.Counter()
+    for table, cut in zip(tables, cuts):
+        for g, c in table.items():
+            mass[g[:-1]] += c
+            given[g[:-1]] += cut[min(c, 3)]
+
+    def probability(context, w):
+        p = probability(context[1:], w) if context else 1 / (size + 1)
+        if not mass[context]:
+            return p
+        c = tables[len(context)][(*context, w)]
+        return (max(c - cuts[len(context)][min(c, 3)], 0) + given[context] * p) / mass[context]
 
-    def cut(table):
-        return language_model.discounts([sum(c == n for c in table.values()) for n in (1, 2, 3, 4)]).tolist()
-
-    before = collections.Counter(w for _, w in pairs)
-    high, low = cut(pairs), cut(before)
-    rest = sum(low[min(c, 3)] for c in before.values()) / max(len(pairs), 1) if pairs else 1.0
-    contexts, given = collections.Counter(), collections.Counter()
-    for (u, _), c in pairs.items():
-        contexts[u] += c
-        given[u] += high[min(c, 3)]
     out = []
     for t in texts:
-        s = [*words(t, SPACED), "</s>"]
-        score = 0.0
-        for u, w in zip(["<s>", *s], s):
-            p = max(before[w] - low[min(before[w], 3)], 0) / max(len(pairs), 1) + rest / (size + 1)
-            if contexts[u]:
-                p = (max(pairs[u, w] - high[min(pairs[u, w], 3)], 0) + given[u] * p) / contexts[u]
-            score += math.log10(p)
-        out.append((len(s), sum(w in counts for w in s), sum(math.log10((counts[w] + 1) / (total + size + 1)) for w in s), score))
+        s = ["<s>", *words(t, SPACED), "</s>"]
+        score = sum(math.log10(probability(tuple(s[max(0, i - order + 1):i]), s[i])) for i in range(1, len(s)))
+        out.append((len(s) - 1, sum(w in counts for w in s[1:]), sum(math.log10((counts[w] + 1) / (total + size + 1)) for w in s[1:]), score))
     return out
 
 
-@pytest.mark.parametrize("flush,ranges", [(4_000_000, 4_000_000), (50, 300)])
-def test_language_model(spark, monkeypatch, flush, ranges):
-    monkeypatch.setattr(language_model, "FLUSH", flush)
-    monkeypatch.setattr(language_model, "RANGE_TOKENS", ranges)
-    texts = [t for _, t in documents()] + ["the the the " * 400, "unknown words here"]
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("flush,ranges,size", [(4_000_000, 4_000_000, 1 << 25), (50, 300, 2000)])
+def test_language_model(spark, monkeypatch, flush, ranges, size, order):
+    for name, value in {"FLUSH": flush, "RANGE_TOKENS": ranges, "WORD_RANGE_BYTES": size, "WIDE": 2 if flush == 50 else 16}.items():
+        monkeypatch.setattr(language_model, name, value)
+    texts = [t for _, t in documents()] + ["the the the " * 400, " ".join(f"so be {k % 90}" for k in range(700)), "so be unknown words here the the end"]
     train = texts[:-1]
-    model = language_model.train(frame(spark, list(enumerate(train))))
+    model = language_model.train(frame(spark, list(enumerate(train))), order=order)
     assert model["tokens"] == sum(len(words(t, SPACED)) + 1 for t in train)
+    if order == 3 and flush == 50:
+        assert len(model["gram_bounds"]) > len(model["pair_bounds"])  # "so be" is heavier than a range
     rows = {r["doc_id"]: r for r in language_model.scored(frame(spark, list(enumerate(texts))), model).collect()}
-    for k, (n, known, base, score) in enumerate(brute_model(train, texts)):
+    for k, (n, known, base, score) in enumerate(brute_model(train, texts, order)):
         assert (rows[k]["n_tokens"], rows[k]["n_known"]) == (n, known)
         assert rows[k]["base_score"] == pytest.approx(base, abs=1e-6) and rows[k]["score"] == pytest.approx(score, abs=1e-6)
 
 
+def test_discounts_are_never_nothing():
+    for times in ([5, 1, 1, 9], [1, 9, 1, 9], [3, 0, 2, 1], [0, 0, 0, 0]):
+        d = language_model.discounts(times)
+        assert d[0] == 0 and (d[1:] > 0).all() and (d[1:] <= [1, 2, 3]).all()
+
+
 def test_language_model_without_training(spark):
-    model = language_model.train(frame(spark, []))
-    rows = language_model.scored(frame(spark, [(1, None), (2, "a b")]), model).collect()
-    assert sorted((r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows) == [(1, 0, 0.0, 0.0), (3, 0, 0.0, 0.0)]
+    for order in (2, 3):
+        model = language_model.train(frame(spark, []), order=order)
+        rows = language_model.scored(frame(spark, [(1, None), (2, "a b")]), model).collect()
+        assert sorted((r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows) == [(1, 0, 0.0, 0.0), (3, 0, 0.0, 0.0)]
+    with pytest.raises(ValueError, match="trigrams"):
+        language_model.train(frame(spark, []), order=4)
 
 
 def test_quality_on_held_out_documents(spark):
