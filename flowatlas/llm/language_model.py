@@ -91,6 +91,21 @@ def _in_bytes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return times, out
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers with their lowest bytes first, then the next ones, and so on: the zeros of small numbers stand together and compress in the shuffle."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _from_planes(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, len(blob) // size).T).view(kind).ravel()
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Sorted numbers as differences."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def _classes(counts: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Per group of neighbours that begins at ``heads``: counts of 1, of 2, of 3 or more, and their sum."""
     return np.stack([np.add.reduceat(x.astype(np.int64), heads) for x in (counts == 1, counts == 2, counts >= 3, counts)], axis=1) \
@@ -238,7 +253,7 @@ def _word_rows(bounds: np.ndarray):
         cuts = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
         for part in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[part], cuts[part + 1]
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([x[a:b].tobytes()], pa.binary()) for x in (keys, counts))],
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([_planes(x)], pa.binary()) for x in (_steps(keys[a:b]), counts[a:b]))],
                                              names=["part", "keys", "counts"])
 
     return emit
@@ -266,8 +281,8 @@ def _coded(bounds: np.ndarray, shift: int):
             contexts = np.repeat(contexts - first_of[part], times)
             if contexts[-1] >= 2**32:
                 raise ValueError("a range of more contexts than 32 bits count")
-            blobs = (contexts.astype(np.uint32), runs, (mine & np.uint64(2**shift - 1)).astype(np.uint32), counts[cuts[part]:cuts[part + 1]])
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)],
+            blobs = (_steps(contexts).astype(np.uint32), runs, (mine & np.uint64(2**shift - 1)).astype(np.uint32), counts[cuts[part]:cuts[part + 1]])
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([_planes(x)], pa.binary()) for x in blobs)],
                                              names=["part", "context", "runs", "word", "counts"])
 
     return emit
@@ -277,19 +292,23 @@ def _join(pdf: pd.DataFrame, name: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in pdf[name]]
 
 
+def _unpacked(pdf: pd.DataFrame, name: str, kind) -> list[np.ndarray]:
+    return [_from_planes(x, kind) for x in pdf[name]]
+
+
 def _decoded(pdf: pd.DataFrame, bounds: np.ndarray, shift: int) -> tuple[int, np.ndarray, np.ndarray]:
     """Range, its distinct sorted numbers and their counts."""
     part = int(pdf["part"].iloc[0])
     first = _first_contexts(bounds, shift)[part]
-    keys = [(np.repeat(c, r).astype(np.uint64) + first) << np.uint64(shift) | w for c, r, w in
-            zip(_join(pdf, "context", np.uint32), _join(pdf, "runs", np.uint8), _join(pdf, "word", np.uint32))]
-    return part, *_merge(keys, _join(pdf, "counts", np.uint8))
+    keys = [(np.repeat(np.cumsum(c, dtype=np.uint64), r) + first) << np.uint64(shift) | w for c, r, w in
+            zip(_unpacked(pdf, "context", np.uint32), _unpacked(pdf, "runs", np.uint8), _unpacked(pdf, "word", np.uint32))]
+    return part, *_merge(keys, _unpacked(pdf, "counts", np.uint8))
 
 
 def _finish_words(folder: str):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
-        keys, counts = _merge(_join(pdf, "keys", np.uint64), _join(pdf, "counts", np.int64))
+        keys, counts = _merge([np.cumsum(x) for x in _unpacked(pdf, "keys", np.uint64)], _unpacked(pdf, "counts", np.int64))
         _save(folder, f"words{part}", keys)
         _save(folder, f"count{part}", counts)
         return pd.DataFrame({"part": [part], "n": [len(keys)], "total": [int(counts.sum())]})
