@@ -21,6 +21,7 @@ are 1, so scores are 0.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import urllib.parse
 
@@ -39,6 +40,7 @@ BATCH_CHARS, FLUSH, RANGE_TOKENS = 1_000_000, 4_000_000, 4_000_000
 WORD_RANGE_BYTES, WIDE = 1 << 25, 16
 #: Words of the longest n-grams.
 ORDER = 3
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for the end of a text among the word hashes.
 END = np.uint64(0x5EED0FE4D0F7E87)
 
@@ -484,10 +486,26 @@ def _by_part(rows: DataFrame, ranges: int):
     return rows.repartition(ranges, "part").groupBy("part")
 
 
+@contextlib.contextmanager
+def _shuffles_released(spark: SparkSession):
+    """Jobs begun inside remove their shuffle files when they end: what they leave are the model's files. The session's setting comes back."""
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_RELEASE) if before is None else spark.conf.set(_RELEASE, before)
+
+
 def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> dict:
     """Model of all texts in ``docs``, of bigrams (``order`` 2) or trigrams (3): a folder of arrays and the numbers that belong to it."""
     if order not in (2, 3):
         raise ValueError("bigrams (2) or trigrams (3)")
+    with _shuffles_released(docs.sparkSession):
+        return _train(docs, text, order)
+
+
+def _train(docs: DataFrame, text: str, order: int) -> dict:
     spark = docs.sparkSession
     folder = _folder(docs)
     docs = docs.select(text)
