@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowatlas.operators.adjacency import Adjacency, both_ways, vertex_ids, with_loops
@@ -90,6 +90,13 @@ def _trimmed(edges: DataFrame) -> DataFrame:
     return edges if not peeled else store(_between(edges, state.filter(~stuck).select("id"), rows))
 
 
+def largest_groups(groups: DataFrame, label: str, shown: int = 5) -> DataFrame:
+    """``(rank, label, size)`` of the ``shown`` largest groups, smaller labels first among equals; cut in every task before they meet."""
+    best = group_sizes(groups, label).orderBy(F.desc("size"), label).limit(shown)
+    place = F.row_number().over(Window.orderBy(F.desc("size"), label))  # ``shown`` rows
+    return best.select(place.alias("rank"), label, "size")
+
+
 def _between(edges: DataFrame, vertices: DataFrame, rows: int) -> DataFrame:
     """Edges with both ends among ``vertices`` (unique ids, at most ``rows``)."""
     kept = join_unique(edges, vertices.withColumnRenamed("id", "src"), ["src"], rows)

@@ -510,6 +510,12 @@ def component_sizes(spark, sf):
     return components.group_sizes(components.weak_components(fx.busy_depots(spark, sf)), "component")
 
 
+@query
+def largest_components(spark, sf):
+    """The five largest components of the depot edges with at least twice the mean moves."""
+    return components.largest_groups(components.weak_components(fx.busy_depots(spark, sf)), "component")
+
+
 @query
 def largest_component(spark, sf):
     return components.largest_component(fx.busy_depots(spark, sf))
@@ -536,6 +542,12 @@ def scc_routes(spark, sf):
     return components.strong_components(fx.routes(spark, sf))
 
 
+@query
+def largest_components_routes(spark, sf):
+    """The five largest components of the main routes."""
+    return components.largest_groups(components.weak_components(fx.routes(spark, sf)), "component")
+
+
 @query
 def component_sizes_routes(spark, sf):
     return components.group_sizes(components.weak_components(fx.routes(spark, sf)), "component")

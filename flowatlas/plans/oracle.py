@@ -464,7 +464,9 @@ CORE_ROUTES = [*HOPS, """near AS (
   WHERE c = (SELECT c FROM grouped GROUP BY c ORDER BY count(*) DESC, c LIMIT 1))"""]
 ORACLES["hop_edges"] = sql(HOPS, "SELECT * FROM hops")
 ORACLES["main_routes"] = sql(HOPS, "SELECT * FROM routes")
-for _name in ("wcc", "scc", "component_sizes", "largest_component"):
+ORACLES["largest_components"] = sql([*THIN, VERTICES, *WCC], """SELECT CAST(row_number() OVER (ORDER BY size DESC, component) AS INTEGER) AS rank, component, size
+  FROM (SELECT component, count(*) AS size FROM wcc GROUP BY component) ORDER BY rank LIMIT 5""")
+for _name in ("wcc", "scc", "component_sizes", "largest_component", "largest_components"):
     ORACLES[f"{_name}_routes"] = ORACLES[_name].replace(sql(THIN, "")[:-1], sql(ROUTES, "")[:-1])
 ORACLES["isolated_ratio_routes"] = ORACLES["isolated_ratio"].replace(sql(THIN, "")[:-1], sql(
     [*HOPS, "e AS MATERIALIZED (SELECT a.* FROM routes a JOIN routes b ON a.src = b.dst AND a.dst = b.src)"], "")[:-1])
