@@ -5,8 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from flowatlas.operators import paths, skew
+from flowatlas.operators import components, paths, skew
+from flowatlas.operators.adjacency import Adjacency
 from flowatlas.plans import catalogue
+from flowatlas.sources.trips import read_any
 
 
 def test_hops_of_all_pairs_as_bits(spark, monkeypatch):
@@ -33,3 +35,43 @@ def test_removal_takes_all_edges(spark, tmp_path):
     assert steps[0] == 1 and len(steps) == 6
     timeline = {r["step"]: r["remaining_edges"] for r in catalogue.QUERIES["removal_timeline"](spark, folder).collect()}
     assert timeline[0] == 6 and timeline[1] == 4
+
+
+def test_json_arrays_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    """Trips of one nation and quarter spread over several files; all are read again."""
+    folder, lines = str(tmp_path), 200
+    day = F.lit("1996-02-01").cast("timestamp_ntz")
+    spark.range(lines).select(
+        F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), F.lit(0).cast("long").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        (F.col("id") + 0.1).alias("l_quantity"), F.lit(0.5).alias("l_discount"), F.lit(10.0).alias("l_extendedprice"), F.lit(0.1).alias("l_tax"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(lines).select(F.col("id").alias("o_orderkey"), F.lit(0).cast("long").alias("o_custkey"), day.alias("o_orderdate")).write.parquet(f"{folder}/orders.parquet")
+    spark.range(1).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey")).write.parquet(f"{folder}/customer.parquet")
+    spark.range(1).select(F.col("id").alias("s_suppkey"), F.lit(2).alias("s_nationkey")).write.parquet(f"{folder}/supplier.parquet")
+    monkeypatch.setattr(catalogue, "ARRAY_ROWS", 20)
+    made = []
+    real = catalogue.scratch_path
+    monkeypatch.setattr(catalogue, "scratch_path", lambda *a: made.append(real(*a)) or made[-1])
+    arrays = catalogue.QUERIES["source_json_array"](spark, folder).collect()
+    files = [f for f in os.listdir(made[0]) if f.endswith(".txt")]
+    assert 5 < len(files) <= 10
+    assert arrays == catalogue.QUERIES["source_roundtrip_parquet"](spark, folder).collect() and arrays[0]["trips"] == lines
+
+
+def test_json_numbers_keep_their_text_unless_told(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"fare": 1.10},\n{"fare": 25}]')
+    def fares(**how):
+        return sorted(r["fare"] for r in read_any(spark, str(tmp_path / "a.json"), **how).collect())
+    assert fares() == ["1.10", "25"] and fares(exact=False) == ["1.1", "25"]
+
+
+def test_sparse_graphs_are_not_broadcast(spark, monkeypatch):
+    """A chain has no more edges than vertices: beyond a few, nothing of it is sent through the driver."""
+    monkeypatch.setattr(skew, "SMALL_ROWS", 5)
+    chain = spark.range(60).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1).alias("weight"))
+    links = Adjacency(chain, 61)
+    pushed = links.push(spark.range(61).select("id", F.col("id").alias("label")))
+    assert links.mode == "shuffle" and pushed.count() == 60
+    assert {r["component"] for r in components.weak_components(chain).collect()} == {0}
+    dense = spark.range(400).select((F.col("id") % 7).alias("src"), (F.col("id") % 11).alias("dst"))
+    assert Adjacency(dense, 7).mode == "state"
