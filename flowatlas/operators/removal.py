@@ -18,7 +18,7 @@ from flowatlas.operators.components import spanning_forest
 from flowatlas.operators.graph import by_score, top_by
 from flowatlas.operators.paths import average_path_length
 from flowatlas.operators.rank import pagerank
-from flowatlas.session import settle
+from flowatlas.session import settle, widened
 
 STEP = ("step",)
 #: Removed zones travel to all tasks and every step is a copy of the graph.
@@ -48,7 +48,8 @@ class Removal:
     def forest(self) -> DataFrame:
         """``(src, dst, death)``: fewer edges than vertices, whose living part connects what the living edges connect."""
         if self._forest is None:
-            self._forest = settle(spanning_forest(self.edges, "death"))
+            with widened(self.edges.sparkSession, self.edges.count()):
+                self._forest = settle(spanning_forest(self.edges, "death"))
         return self._forest
 
     def _alive(self, relation: DataFrame, first: int) -> DataFrame:

@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from flowatlas.operators import components, paths, skew
+from flowatlas import session
+from flowatlas.operators import community, components, paths, skew
 from flowatlas.operators.adjacency import Adjacency
 from flowatlas.plans import catalogue
 from flowatlas.sources.trips import read_any
@@ -75,3 +76,17 @@ def test_sparse_graphs_are_not_broadcast(spark, monkeypatch):
     assert {r["component"] for r in components.weak_components(chain).collect()} == {0}
     dense = spark.range(400).select((F.col("id") % 7).alias("src"), (F.col("id") % 11).alias("dst"))
     assert Adjacency(dense, 7).mode == "state"
+
+
+def test_more_rows_get_more_tasks(spark, monkeypatch):
+    """Label propagation holds about the same rows in a task at any size, and the session's settings come back."""
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 500)
+    widths, real = [], community.settle
+    key = "spark.sql.shuffle.partitions"
+    monkeypatch.setattr(community, "settle", lambda df: widths.append(int(spark.conf.get(key))) or real(df))
+    before = spark.conf.get(key), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    edges = spark.range(3_000).select((F.col("id") % 60).alias("src"), F.floor(60 + F.col("id") / 60).alias("dst"))
+    labels = community.label_propagation(edges, rounds=1)
+    # 6,000 votes and 110 loops.
+    assert labels.count() == 110 and widths[-1] == 12
+    assert (spark.conf.get(key), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == before
