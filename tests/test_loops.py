@@ -173,3 +173,29 @@ def test_empty_graph(spark):
     assert community.label_propagation(df).count() == 0
     assert community.louvain(df).count() == 0
     assert paths.betweenness(df).count() == 0
+
+
+def test_louvain_round_is_one_pass_over_packed_edges(spark, monkeypatch):
+    """Same moves and figures as by joins, from several units, with null ends and weights; a round takes few jobs."""
+    monkeypatch.setattr(community, "EDGES_PER_TASK", 40)
+    links = {}
+    for a, b, w in brute.random_graph(8, n=30, m=120):
+        links[a, b] = links.get((a, b), 0) + w
+        links[b, a] = links.get((b, a), 0) + w
+    rows = [(a, b, float(w)) for (a, b), w in links.items()] + [(3, None, 2.0), (None, 3, 2.0), (4, 400, None), (400, 4, None)]
+    df = spark.createDataFrame(rows, "src long, dst long, w double").cache()
+    whole, context = float(sum(w for *_, w in rows if w)), spark.sparkContext
+    single = df.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k")).cache()
+    state = single.select("id", "k", F.least(F.col("id"), F.col("id") % 7).alias("label"))
+    found, jobs = [], []
+    for number, make in enumerate((community._weigh_joined, community._weigh_packed)):
+        weigh, release = make(df, single, single.count(), whole, 0.0, 1e-9)
+        context.setJobGroup(f"round-{number}", "a round")
+        picked, value, movers = weigh(state)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"round-{number}")))
+        context.setLocalProperty("spark.jobGroup.id", None)
+        gains = {r["id"]: (r["own"], r["target"], round(r["gain"], 12)) for r in picked.collect() if (r["gain"] or 0) > 1e-9}
+        found.append((gains, round(value, 12), movers))
+        release()
+    assert found[0] == found[1] and len(found[0][0]) == found[0][2] > 5
+    assert jobs[1] < jobs[0]
