@@ -46,8 +46,12 @@ def _pack(unit: list[str], edge: list[str]):
 
 
 def ends(edge: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the sources and targets of packed edges in their chunks."""
-    return np.frombuffer(edge["s"], np.int32), np.frombuffer(edge["d"], np.int32)
+    """Rows of the sources and targets of packed edges in their chunks, of those that last beyond the age of the graph."""
+    source, target = np.frombuffer(edge["s"], np.int32), np.frombuffer(edge["d"], np.int32)
+    if "last" not in edge:
+        return source, target
+    alive = np.frombuffer(edge["last"], np.int16) > edge["age"]
+    return source[alive], target[alive]
 
 
 def runs(target: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[int, int, int]]]:
@@ -65,10 +69,17 @@ class Blocks:
     """Edges ``(keys..., src, dst[, cost])`` laid out for states of ``wide`` columns and all ``vertices`` ``(keys..., id)``.
 
     Rows with a null end or cost are left out: they carry nothing.
+
+    With ``lasting``, a number in each edge, the edges have no key: they belong to all graphs of ``vertices`` whose only key, a number, is below it. They are
+    packed once, not once per graph.
     """
 
-    def __init__(self, edges: DataFrame, vertices: DataFrame, wide: int, keys: tuple[str, ...] = ()):
+    def __init__(self, edges: DataFrame, vertices: DataFrame, wide: int, keys: tuple[str, ...] = (), lasting: str | None = None):
+        if lasting and len(keys) != 1:
+            raise ValueError("lasting edges need one key")
         self.keys, self.wide = list(keys), wide
+        if lasting:
+            edges = edges.select("src", "dst", F.col(lasting).cast("short").alias("last"))
         ids = vertices.select("id").distinct().filter(F.col("id").isNotNull())
         place = (F.col("place") - 1).cast("long")
         ranked = settle(global_rank(ids, [F.col("id")], "place").select("id", place.alias("place")))
@@ -77,24 +88,32 @@ class Blocks:
         self.size = max(1, -(-self.n // self.chunks))
         self.chunks = -(-self.n // self.size)
         self.places = ranked.select("id", "place", F.floor(F.col("place") / self.size).cast("int").alias("chunk"), (F.col("place") % self.size).cast("int").alias("row"))
-        unit, kinds = [*self.keys, "a", "b", "part"], dict(edges.dtypes)
-        edge = ["s", "d", *(["cost"] if "cost" in edges.columns else [])]
+        own = [] if lasting else self.keys
+        unit, kinds = [*own, "a", "b", "part"], dict(edges.dtypes)
+        edge = ["s", "d", *[c for c in ("cost", "last") if c in edges.columns]]
         tips = self.places.select("id", "chunk", "row")
-        placed = edges.dropna(subset=[c for c in ("src", "dst", "cost") if c in edges.columns])
+        placed = edges.dropna(subset=[c for c in ("src", "dst", "cost", "last") if c in edges.columns])
         placed = join_unique(placed, tips.toDF("src", "a", "s"), ["src"], self.n)
-        placed = join_unique(placed, tips.toDF("dst", "b", "d"), ["dst"], self.n).select(*self.keys, "a", "b", *edge)
+        placed = join_unique(placed, tips.toDF("dst", "b", "d"), ["dst"], self.n).select(*own, "a", "b", *edge)
         # A row per pair of chunks (and key).
-        counts = settle(placed.groupBy(*self.keys, "a", "b").agg(F.ceil(F.count("*") / EDGES_PER_UNIT).cast("int").alias("parts")))
+        counts = settle(placed.groupBy(*own, "a", "b").agg(F.ceil(F.count("*") / EDGES_PER_UNIT).cast("int").alias("parts")))
         part = F.pmod(F.xxhash64("s", "d"), "parts").cast("int").alias("part")
         self.where = settle(counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*unit))
-        self.units = self.where.count()
-        self.single = self.chunks <= 1 and self.units == counts.count()
-        schema = f"{''.join(f'{c} {kinds[c]}, ' for c in self.keys)}a int, b int, part int, {', '.join(f'{c} binary' for c in edge)}"
+        packs = self.where.count()
+        self.single = self.chunks <= 1 and packs == counts.count()
+        schema = f"{''.join(f'{c} {kinds[c]}, ' for c in own)}a int, b int, part int, {', '.join(f'{c} binary' for c in edge)}"
         # Whole parts go to a task each, about, and are sorted there; an aggregation would hold all edges of a task as objects.
         self.edges = settle(
-            placed.join(F.broadcast(counts), [*self.keys, "a", "b"]).select(*self.keys, "a", "b", part, *edge)
-            .repartition(max(1, min(2 * self.units, MAX_WIDTH)), *unit).groupBy(*unit).applyInPandas(_pack(unit, edge), schema))
-        self.on, self.laid = [*unit, "block"], None
+            placed.join(F.broadcast(counts), [*own, "a", "b"]).select(*own, "a", "b", part, *edge)
+            .repartition(max(1, min(2 * packs, MAX_WIDTH)), *unit).groupBy(*unit).applyInPandas(_pack(unit, edge), schema))
+        self.units = packs
+        if lasting:
+            # A row per graph: the number of graphs side by side.
+            graphs = settle(vertices.select(*self.keys).distinct().dropna())
+            self.units = packs * graphs.count()
+            self.where = settle(self.where.crossJoin(F.broadcast(graphs)))
+            self.edges = self.edges.crossJoin(F.broadcast(graphs)).withColumn("age", F.col(self.keys[0]))
+        self.on, self.laid = [*self.keys, "a", "b", "part", "block"], None
 
     def lay(self, blocks: range) -> None:
         """Copies the packed edges for every block that is in work, once for all rounds."""

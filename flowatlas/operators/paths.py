@@ -19,17 +19,22 @@ ROWS_PER_BATCH = 200_000_000
 
 
 def average_path_length(edges: DataFrame, vertices: DataFrame | None = None, keys: tuple[str, ...] = (),
-                        rows_per_batch: int = ROWS_PER_BATCH, connected: DataFrame | None = None) -> DataFrame:
+                        rows_per_batch: int = ROWS_PER_BATCH, connected: DataFrame | None = None, lasting: str | None = None) -> DataFrame:
     """Mean number of hops between vertices of the largest component, edges taken both ways.
 
     Null when that component has a single vertex. All sources are used, as bits (``total_hops``); on large components they run
     in as many batches as keep the (source, vertex) pairs of one batch near ``rows_per_batch``. ``connected`` may hold fewer edges that
-    connect the same vertices, such as a spanning forest, to find the component with.
+    connect the same vertices, such as a spanning forest, to find the component with. With ``lasting`` edges have no key (``Blocks``), only
+    ``connected``, which is needed then, has.
     """
     core = settle(largest_component(edges if connected is None else connected, vertices if vertices is not None else vertex_ids(edges, keys), keys))
     # Repeated edges stay: a hop over them is the same hop.
-    hops = both_ways(edges.filter(F.col("src") != F.col("dst")), *keys).join(core.select(*keys, F.col("id").alias("src")), [*keys, "src"], "left_semi")
-    totals = total_hops(hops, core, keys, rows_per_batch)
+    linked = edges.filter(F.col("src") != F.col("dst"))
+    if lasting:
+        hops = both_ways(linked, lasting)  # edges outside the component are met by none of its vertices
+    else:
+        hops = both_ways(linked, *keys).join(core.select(*keys, F.col("id").alias("src")), [*keys, "src"], "left_semi")
+    totals = total_hops(hops, core, keys, rows_per_batch, lasting)
     sizes = core.groupBy(*keys).agg(F.count("*").alias("core_size"))
     if keys:
         joined = sizes.join(totals, list(keys), "left")
@@ -115,7 +120,8 @@ def _all_hops(words: int, keys: list[str]):
     return search
 
 
-def total_hops(hops: DataFrame, vertices: DataFrame, keys: tuple[str, ...] = (), rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
+def total_hops(hops: DataFrame, vertices: DataFrame, keys: tuple[str, ...] = (), rows_per_batch: int = ROWS_PER_BATCH,
+               lasting: str | None = None) -> DataFrame:
     """``(keys..., total)``: hops from every vertex ``(keys..., id)`` to every vertex it reaches over ``hops`` ``(keys..., src, dst)``, added up.
 
     Breadth first from all sources of a batch together, on matrices of bits (``blocks``): which of the block's sources reach a vertex, and which did so in
@@ -127,7 +133,7 @@ def total_hops(hops: DataFrame, vertices: DataFrame, keys: tuple[str, ...] = (),
     vertices = vertices.select(*keys, "id").distinct()
     rows, n = vertices.count(), vertices.select("id").distinct().count()
     words = max(1, min(WORDS, -(-n // 64)))
-    graph = Blocks(hops.select(*keys, "src", "dst"), vertices, words, keys)
+    graph = Blocks(hops if lasting else hops.select(*keys, "src", "dst"), vertices, words, keys, lasting)
     blocks = -(-n // (64 * words))
     batches = max(1, min(blocks, -(-n * rows // (8 * rows_per_batch))))  # a pair takes two bits
     per = max(1, -(-blocks // batches))

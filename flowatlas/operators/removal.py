@@ -94,7 +94,7 @@ class Removal:
 
     def paths(self) -> DataFrame:
         """Average hops within the largest component at every step."""
-        return average_path_length(self._alive(self.edges, 0), self._alive(self.vertices, 0), STEP, connected=self._alive(self.forest(), 0))
+        return average_path_length(self.edges, self._alive(self.vertices, 0), STEP, connected=self._alive(self.forest(), 0), lasting="death")
 
     def new_leaders(self, top_n: int = 3, max_iter: int = 10, weighted: bool = False) -> DataFrame:
         """Best zones by PageRank recomputed after every removal."""

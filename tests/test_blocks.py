@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowatlas.operators import blocks, paths
 from flowatlas.operators.adjacency import vertex_ids
+from flowatlas.operators.removal import Removal
 
 SCHEMA = "src long, dst long, weight long"
 
@@ -65,3 +66,46 @@ def test_hops_of_a_long_path_need_no_job_per_hop(spark, request, units):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert totals == {1: (n - 1) * n * (n + 1) // 3, 2: 8}
     assert units == "many" or jobs < 70
+
+
+@pytest.mark.parametrize("units", ["one", "many"])
+def test_edges_of_all_removal_steps_are_packed_once(spark, request, monkeypatch, units):
+    if units == "many":
+        request.getfixturevalue("many")
+    packs, real = [], blocks.settle
+
+    def counted(df):
+        out = real(df)
+        packs.append(out.count() if "s" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(blocks, "settle", counted)
+    edges = brute.random_graph(9, n=14, m=24) + [(3, 3, 2)]
+    ids = brute.vertices(edges)
+    scores = {v: (v * 7) % 15 for v in ids}
+    df = spark.createDataFrame([*edges, (5, None, 1)], SCHEMA)
+    ranked = spark.createDataFrame([(v, float(x)) for v, x in scores.items()], "id long, pagerank double")
+    got = {r["step"]: (r["core_size"], r["avg_path"]) for r in Removal(df, ranked, 6).paths().collect()}
+    order = sorted(ids, key=lambda v: (-scores[v], v))
+    for step in range(7):
+        gone = set(order[:step])
+        left = [(a, b, w) for a, b, w in edges if a not in gone and b not in gone]
+        near = {v: set() for v in ids if v not in gone}
+        for a, b, _ in left:
+            near[a].add(b)
+            near[b].add(a)
+        groups = {}
+        for v, c in brute.weak(left, list(near)).items():
+            groups.setdefault(c, []).append(v)
+        core = max(groups.values(), key=lambda g: (len(g), -min(g)))
+        total = 0
+        for v in core:
+            seen, line = {v: 0}, [v]
+            for at in line:
+                for to in near[at] - seen.keys():
+                    seen[to] = seen[at] + 1
+                    line.append(to)
+            total += sum(seen.values())
+        n = len(core)
+        assert got[step] == (n, pytest.approx(total / (n * (n - 1))) if n > 1 else None), step
+    assert units == "many" or max(packs) == 1
