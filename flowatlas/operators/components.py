@@ -103,10 +103,10 @@ def _between(edges: DataFrame, vertices: DataFrame, rows: int) -> DataFrame:
     return join_unique(kept, vertices.withColumnRenamed("id", "dst"), ["dst"], rows).select("src", "dst")
 
 
-def _labelled(edges: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Edges with the labels ``(id, label)`` of both ends as ``a`` and ``b``."""
-    one = join_unique(edges, labels.select(F.col("id").alias("src"), F.col("label").alias("a")), ["src"], rows)
-    return join_unique(one, labels.select(F.col("id").alias("dst"), F.col("label").alias("b")), ["dst"], rows)
+def _labelled(edges: DataFrame, labels: DataFrame, rows: int, edge_rows: int | None = None) -> DataFrame:
+    """Edges with the labels ``(id, label)`` of both ends as ``a`` and ``b``; sparse edges, if counted, are shuffled."""
+    one = join_unique(edges, labels.select(F.col("id").alias("src"), F.col("label").alias("a")), ["src"], rows, big_rows=edge_rows)
+    return join_unique(one, labels.select(F.col("id").alias("dst"), F.col("label").alias("b")), ["dst"], rows, big_rows=edge_rows)
 
 
 def strong_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
@@ -154,12 +154,12 @@ def spanning_forest(edges: DataFrame, order: str) -> DataFrame:
     pairs = edges.filter(F.col("src") != F.col("dst")).groupBy(low.alias("src"), high.alias("dst")).agg(F.max(order).alias(order))
     rest = store(pairs.select("src", "dst", F.struct(F.col(order).alias("value"), (-F.col("src")).alias("low"), (-F.col("dst")).alias("high")).alias("edge")))
     found: list[DataFrame] = []
-    while not rest.isEmpty():
+    while left := rest.count():
         best = rest.select(F.explode(F.array("src", "dst")).alias("end"), F.struct("edge", "src", "dst").alias("x")).groupBy("end").agg(F.max("x").alias("x"))
         chosen = store(best.select("x.*").distinct())
         found.append(chosen.select((-F.col("edge.low")).alias("src"), (-F.col("edge.high")).alias("dst"), F.col("edge.value").alias(order)))
         joined = store(weak_components(chosen.select("src", "dst")).withColumnRenamed("component", "label"))
-        rest = store(_labelled(rest, joined, joined.count()).filter(F.col("a") != F.col("b"))
+        rest = store(_labelled(rest, joined, joined.count(), left).filter(F.col("a") != F.col("b"))
                      .groupBy(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).agg(F.max("edge").alias("edge")))
     if not found:
         return pairs

@@ -6,7 +6,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from flowatlas.operators import components, graph
+from flowatlas.operators import components, graph, skew
 from flowatlas.operators.ordering import following
 from flowatlas.operators.removal import Removal
 
@@ -95,3 +95,18 @@ def test_main_routes(spark):
     routes = {tuple(r) for r in graph.main_routes(edges).collect()}
     assert {(1, 3, 7), (3, 1, 1)} <= routes and len(routes) == 3 and len(routes & {(2, 1, 4), (2, 3, 4)}) == 1
     assert {tuple(r)[:2] for r in graph.returning(graph.main_routes(edges)).collect()} == {(1, 3), (3, 1)}
+
+
+def test_sparse_forests_are_not_broadcast(spark, monkeypatch):
+    """Labels that are about as many as the edges are shuffled: a broadcast of them would pass through the driver in every round."""
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+    asked, plain = [], components.join_unique
+
+    def seen(big, small, on, rows=None, how="inner", big_rows=None):
+        asked.append(rows <= skew.BROADCAST_ROWS if big_rows is None else skew.worth_broadcasting(rows, big_rows))
+        return plain(big, small, on, rows, how, big_rows)
+
+    monkeypatch.setattr(components, "join_unique", seen)
+    edges = [(v, v * 7 % 31, v % 5) for v in range(31)]
+    components.spanning_forest(spark.createDataFrame(edges, SCHEMA), "weight").collect()
+    assert asked and not any(asked)
