@@ -17,7 +17,7 @@ from flowatlas.operators.adjacency import vertex_ids
 from flowatlas.operators.components import spanning_forest
 from flowatlas.operators.graph import by_score, top_by
 from flowatlas.operators.paths import average_path_length
-from flowatlas.operators.rank import pagerank
+from flowatlas.operators.rank import pagerank_lasting
 from flowatlas.session import settle, widened
 
 STEP = ("step",)
@@ -98,8 +98,7 @@ class Removal:
 
     def new_leaders(self, top_n: int = 3, max_iter: int = 10, weighted: bool = False) -> DataFrame:
         """Best zones by PageRank recomputed after every removal."""
-        scores = pagerank(self._alive(self.edges, 1), weighted=weighted, max_iter=max_iter,
-                          vertices=self._alive(self.vertices, 1), keys=STEP)
+        scores = pagerank_lasting(self.edges, self.vertices, range(1, self.k + 1), weighted, max_iter)
         place = F.row_number().over(Window.partitionBy("step").orderBy(*by_score("pagerank")))
         return scores.withColumn("place", place).filter(F.col("place") <= top_n)
 

@@ -4,9 +4,10 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from flowatlas.operators import community, components, paths, skew
+from flowatlas.operators import community, components, paths, rank, skew
 from flowatlas.operators.adjacency import Adjacency, vertex_ids
 from flowatlas.operators.rank import pagerank
+from flowatlas.operators.removal import Removal
 
 SCHEMA = "src long, dst long, weight long"
 
@@ -199,3 +200,23 @@ def test_louvain_round_is_one_pass_over_packed_edges(spark, monkeypatch):
         release()
     assert found[0] == found[1] and len(found[0][0]) == found[0][2] > 5
     assert jobs[1] < jobs[0]
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_scores_of_all_steps_need_no_copies_of_the_edges(spark, monkeypatch, weighted):
+    """Scores of steps side by side in one row equal those of a copy of the graph per step; edges meet a state once, not once per step."""
+    edges = brute.random_graph(11, n=14, m=40)
+    df, ids = spark.createDataFrame(edges, "src long, dst long, weight long"), brute.vertices(edges)
+    removal = Removal(df, spark.createDataFrame([(v, float((v * 5) % 13)) for v in ids], "id long, pagerank double"), 4)
+    copies = rank.pagerank(removal._alive(removal.edges, 1), weighted=weighted, max_iter=3, vertices=removal._alive(removal.vertices, 1), keys=("step",))
+    want = {(r["step"], r["id"]): r["pagerank"] for r in copies.collect()}
+    laid, plain = [], rank.Adjacency
+
+    def counted(edges, *args):
+        laid.append(edges.count())
+        return plain(edges, *args)
+
+    monkeypatch.setattr(rank, "Adjacency", counted)
+    monkeypatch.setattr(rank, "STEPS_AT_ONCE", 3)
+    got = {(r["step"], r["id"]): r["pagerank"] for r in rank.pagerank_lasting(removal.edges, removal.vertices, range(1, 5), weighted, 3).collect()}
+    assert got == pytest.approx(want) and max(laid) <= len(edges)
