@@ -1,0 +1,30 @@
+"""Trips written as JSON arrays are compressed on disk and read back whole."""
+
+import datetime
+import os
+from urllib.parse import urlparse
+
+from flowatlas.plans import catalogue
+from flowatlas.session import shared_root
+
+
+def test_json_arrays_are_compressed(spark, tmp_path):
+    n, day = 3_000, datetime.datetime(2024, 1, 1)
+    tables = {
+        "lineitem": ([(k % 50, k, k % 4, k % 7 + 1, 5.0, 10.0 * k, 0.05, 0.02) for k in range(n)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+        "orders": ([(k, k % 9, day + datetime.timedelta(days=k)) for k in range(50)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        "customer": ([(k, k % 3) for k in range(9)], "c_custkey long, c_nationkey int"),
+        "supplier": ([(k, k % 2) for k in range(4)], "s_suppkey long, s_nationkey int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    top = urlparse(shared_root(spark)).path
+
+    def written():
+        return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) if d.endswith("arrays.json") for f in files if f.startswith("part-")}
+
+    before = written()
+    got = catalogue.source_json_array(spark, str(tmp_path)).collect()
+    assert sum(r["trips"] for r in got) == n
+    assert sum(size for f, size in written().items() if f not in before) < 50 * n  # some 230 bytes a trip as plain text
