@@ -3,7 +3,7 @@
 import brute
 import pytest
 
-from flowatlas.operators import components, skew
+from flowatlas.operators import components, inside as one_task, skew
 
 SCHEMA = "src long, dst long, weight long"
 
@@ -70,3 +70,18 @@ def test_small_graphs_take_few_jobs(spark):
     jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("small"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs < 15
+
+
+def test_dense_graphs_are_thinned_out_first(spark, monkeypatch):
+    """Components of a graph of many edges, nulls included, from fewer edges than vertices per task."""
+    edges = [(a, b, 1) for base in (0, 100) for a in range(base, base + 40) for b in range(base, base + 40) if a != b] + [(7, None, 1), (None, 103, 1), (300, 301, 1)]
+    df = spark.createDataFrame(edges, SCHEMA).repartition(3)
+    thin = [tuple(r) for r in one_task.stars(df).collect()]
+    assert len(thin) < 3 * 85 and {(7, None), (None, 103)} <= set(thin)
+    monkeypatch.setattr(skew, "fits_task", lambda rows: rows < 1_000)
+    monkeypatch.setattr(one_task, "EDGES_AT_ONCE", 500)
+    seen, plain = [], components._smallest_reaching
+    monkeypatch.setattr(components, "_smallest_reaching", lambda edges, *args: seen.append(edges.count()) or plain(edges, *args))
+    got = {r["id"]: r["component"] for r in components.weak_components(df).collect()}
+    assert got == {**{v: 0 for v in range(40)}, **{v: 100 for v in range(100, 140)}, 300: 300, 301: 300, None: 0}
+    assert max(seen) < len(edges)
